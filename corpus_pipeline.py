@@ -8,10 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talus.llm import exact_dedup, mixing, simhash
+from talus.llm import exact_dedup, mixing, packing, quality, simhash
 from talus.llm.common import materialise, read
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
@@ -24,10 +28,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.take_mix(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed(docs)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("exact_dedup", exact_copies),
     ("simhash_dedup", near_copies),
     ("mix_sources", mix_sources),
+    ("packing", pack),
 ]
 
 #: Learned rules, fingerprints and packing are beyond SQL; tests hold the stages against brute force.

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, simhash
+from . import exact_dedup, mixing, packing, quality, simhash
 from .common import read
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("rate", "copies")
 
@@ -22,10 +26,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_mix_sources": op3_mix_sources,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_pack": op9_pack,
 }
 
 ORACLE_SQL: dict[str, str] = {
