@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, simhash
+from . import exact_dedup, mixing, packing, quality, simhash, urls
 from .common import read
 
 
@@ -22,6 +22,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = urls.entries(spark, urls.RULES, "rules")
+    listed = urls.entries(spark, urls.LISTED, "listed")
+    return urls.judge(read(spark, sf_dir, "pages"), rules, listed).drop("listed")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
@@ -34,10 +40,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_mix_sources": op3_mix_sources,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_url_filter": op6_url_filter,
     "op8_simhash": op8_simhash,
     "op9_pack": op9_pack,
 }
 
+_VALUES = [f"('{h}', '{p}', '{a}', 'rule')" for h, p, a in urls.RULES]
+_VALUES += [f"('{h}', '{p}', '{a}', 'listed')" for h, p, a in urls.LISTED]
+
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": """
         WITH t AS (
@@ -51,4 +61,29 @@ ORACLE_SQL: dict[str, str] = {
                sha256(norm) AS text_sha256
         FROM t
     """,
+    "op6_url_filter": f"""
+        WITH u AS (
+          SELECT page_id, url,
+                 regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1) AS raw,
+                 regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path,
+                 row_number() OVER () AS n
+          FROM pages
+        ),
+        p AS (
+          SELECT page_id, n, path,
+                 translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+          FROM u
+        ),
+        r(r_host, r_path, action, kind) AS (VALUES {", ".join(_VALUES)}),
+        fit AS (
+          SELECT n, kind, arg_max({{'rule': r_host || r_path, 'action': action}}, length(r_host || r_path) * 10000 + length(r_host)) AS best
+          FROM p JOIN r ON (host = r_host OR suffix(host, '.' || r_host)) AND starts_with(path, r_path)
+          GROUP BY n, kind
+        )
+        SELECT page_id, host, path, a.best.rule AS rule,
+               coalesce(a.best.action, b.best.action, 'allow') AS verdict
+        FROM p
+        LEFT JOIN fit a ON a.n = p.n AND a.kind = 'rule'
+        LEFT JOIN fit b ON b.n = p.n AND b.kind = 'listed'
+    """,
 }
