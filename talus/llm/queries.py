@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, simhash, urls
+from . import exact_dedup, langid, licenses, mixing, packing, quality, simhash, token_counts, toxicity, urls
 from .common import read
 
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("rate", "copies")
 
@@ -22,12 +26,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.histogram(read(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = urls.entries(spark, urls.RULES, "rules")
     listed = urls.entries(spark, urls.LISTED, "listed")
     return urls.judge(read(spark, sf_dir, "pages"), rules, listed).drop("listed")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
@@ -36,13 +48,21 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("blocks")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_toxicity": op2_toxicity,
     "op3_mix_sources": op3_mix_sources,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_token_counts": op5_token_counts,
     "op6_url_filter": op6_url_filter,
+    "op7_language": op7_language,
     "op8_simhash": op8_simhash,
     "op9_pack": op9_pack,
+    "op10_licenses": op10_licenses,
 }
 
 _VALUES = [f"('{h}', '{p}', '{a}', 'rule')" for h, p, a in urls.RULES]
