@@ -1,0 +1,4 @@
+"""Nothing here yet: the engine's inputs are one-shot tables and no operator needs a stream.
+
+Scenario predicates are stateless columns, so they apply to a streaming DataFrame as they are.
+"""
