@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talus.functions.normalize import id_text, uppered
 
@@ -71,6 +72,18 @@ def elevation(df: DataFrame, low: float | None = None, high: float | None = None
     return out
 
 
+def pushable_elevation(df: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
+    """A raw frame without rows that :func:`elevation` is bound to drop, in a form that reaches the scan.
+
+    Normalised doubles hide behind the test for NaN; the raw comparison doesn't
+    and lets no more than NaN through.
+    """
+    for name, bound, test in (("elevMin", low, Column.__ge__), ("elevMax", high, Column.__le__)):
+        if bound is not None and name in df.columns and isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+            df = df.where(test(F.col(name), float(bound)))
+    return df
+
+
 def where_all(df: DataFrame, predicates: Iterable[Column | None]) -> DataFrame:
     for p in predicates:
         if p is not None:

@@ -45,7 +45,7 @@ def filter_scenario(df: DataFrame, s: Scenario, rows: list[matrix.Cell] | None =
     ``rows`` is another hazard matrix. Raises UnusableKeys where a surviving
     row's matrix key isn't whole.
     """
-    out = filtered(normalize(df), s)
+    out = filtered(normalize(predicates.pushable_elevation(df, s.elev_min, s.elev_max)), s)
     if s.debug_keys and set(MATRIX_KEY) <= set(out.columns):
         for r in diagnostics.join_key_topn(out).collect():
             log.info("matrix key %s", r.asDict())
