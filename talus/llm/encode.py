@@ -10,13 +10,14 @@ from __future__ import annotations
 import re
 
 #: Parts and pieces that a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 #: Longer parts are encoded each time.
 LONG = 64
 
-#: Printable ASCII parts split into the pieces that the tokenizer itself splits them into.
-_PLAIN = re.compile(rb"[\x21-\x7e]+")
-_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Parts of these characters alone are their own normal form but for case, and split into the
+#: pieces that the tokenizer itself splits them into.
+_PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 class WordEncoder:
@@ -24,31 +25,37 @@ class WordEncoder:
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
-
-        self._encode = Tokenizer.from_file(path).encode
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        tokenizer = Tokenizer.from_file(path)
+        self._encode = tokenizer.encode
+        self._merge = tokenizer.model.tokenize
+        # The letters that the byte-level step writes for the bytes of each plain character.
+        signs = ByteLevel(add_prefix_space=False, use_regex=False)
+        plain = (chr(c) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100)))
+        self._signs = {ord(c): signs.pre_tokenize_str(c)[0][0] for c in plain}
         self._parts: dict[bytes, bytes] = {}
-        self._pieces: dict[bytes, bytes] = {}
-
-    def _ids(self, part: str) -> bytes:
-        ids = self._encode(part, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        self._pieces: dict[str, bytes] = {}
 
-    def _piece(self, piece: bytes) -> bytes:
+    def _piece(self, piece: str) -> bytes:
         found = self._pieces.get(piece)
         if found is None:
             if len(self._pieces) >= REMEMBERED:
                 self._pieces.clear()
-            found = self._ids(piece.decode())
+            merged = self._merge(piece.translate(self._signs))
+            found = b"".join(t.id.to_bytes(4, "little") for t in merged)
             if len(piece) <= LONG:
                 self._pieces[piece] = found
         return found
 
     def _part(self, part: bytes) -> bytes:
+        text = part.decode()
         # "<|" may begin a special token, whose text is matched before anything is split.
-        if _PLAIN.fullmatch(part) and b"<|" not in part:
-            found = b"".join(map(self._piece, _PIECES.findall(part.lower())))
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            found = b"".join(map(self._piece, _PIECES.findall(text.lower())))
         else:
-            found = self._ids(part.decode())
+            ids = self._encode(text, add_special_tokens=False).ids
+            found = b"".join(i.to_bytes(4, "little") for i in ids)
         if len(part) <= LONG:
             if len(self._parts) >= REMEMBERED:
                 self._parts.clear()
