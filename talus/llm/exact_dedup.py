@@ -108,14 +108,19 @@ def exact_groups(
     recipes = materialise(_ids(docs, text, id_col, pattern), "recipes")
     rows = _identified(recipes)
     key = ["ids", "apart"]
-    groups = rows.groupBy(*key).agg(
-        F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")
+    groups = (
+        rows.groupBy(*key)
+        .agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
+        .where("group_size > 1")
     )
-    return rows.join(groups, key).select(
+    # As a table of its own, so that both sides of the join are plain exchanges: then a group with
+    # very many copies is split over tasks.
+    groups = materialise(groups, "groups")
+    return rows.join(groups, key, "left").select(
         "doc_id",
-        F.col("best.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("row") == F.col("best.row")).alias("kept"),
+        F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        (F.col("best").isNull() | (F.col("row") == F.col("best.row"))).alias("kept"),
         F.col("sha256").alias("text_sha256"),
     )
 
