@@ -166,6 +166,8 @@ def mix(
     dual = solve(sized.select("source", "size", "x"), source_targets(sized.select("source", "size"), weights, cap), cap)
     dual = dual.withColumnRenamed("source", "of")
     rate = F.when(F.col("lam").isNull(), F.lit(cap)).otherwise(F.least(F.lit(cap), F.exp(F.col("lam") * F.col("x"))))
+    # Sums of doubles depend on their order in the last digits; copies must not.
+    rate = F.round(rate, 9)
     rated = sized.join(dual, sized["source"].eqNullSafe(dual["of"])).withColumn("rate", rate)
     rated = materialise(rated.drop("of", "lam", "x"), "rates")
 

@@ -94,7 +94,7 @@ def _segment(fp: Column, shift: int, bits: int) -> Column:
 
 def _probes(seg: int, shift: int, bits: int, radius: int) -> Column:
     """Table keys within ``radius`` of a fingerprint's segment."""
-    masks = F.array(*(F.lit(m).cast("long") for m in _ball(bits, radius)))
+    masks = F.array(*(F.lit(m - (m >> 63 << 64)).cast("long") for m in _ball(bits, radius)))
     value = _segment(F.col("fp"), shift, bits)
     return F.transform(masks, lambda m: F.struct(F.lit(seg).alias("seg"), value.bitwiseXOR(m).alias("value")))
 
@@ -156,9 +156,10 @@ def near_groups(
 def drop_near_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: that with the smallest id.
 
-    Rows with a null id stay. Rows that repeat an id stay or go together.
+    Rows with a null id stay. Rows that repeat an id go only if all of them would.
     """
     groups = near_groups(docs, text, id_col, **how)
     (gone,) = fresh(docs, "gone")
-    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    others = groups.groupBy(F.col("doc_id").alias(gone)).agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("all"))
+    others = others.where("all").select(gone)
     return docs.join(others, docs[id_col] == others[gone], "left_anti")
