@@ -200,16 +200,15 @@ class Boosted:
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots of the best non-decreasing fit."""
-    order = np.argsort(x, kind="stable")
+    places, which = np.unique(x, return_inverse=True)
+    sums, weights = np.bincount(which, y), np.bincount(which).astype(float)
     pools: list[list[float]] = []  # sum of y, weight, first x, last x
-    for xi, yi in zip(x[order], y[order]):
-        pools.append([yi, 1.0, xi, xi])
-        while len(pools) > 1 and (
-            pools[-2][3] == pools[-1][2] or pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]
-        ):
-            s, w, _, last = pools.pop()
-            pools[-1][0] += s
-            pools[-1][1] += w
+    for at, total, weight in zip(places, sums, weights):
+        pools.append([total, weight, at, at])
+        while len(pools) > 1 and pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]:
+            total, weight, _, last = pools.pop()
+            pools[-1][0] += total
+            pools[-1][1] += weight
             pools[-1][3] = last
     knots = [(at, s / w) for s, w, first, last in pools for at in dict.fromkeys((first, last))]
     return np.array([k[0] for k in knots]), np.array([k[1] for k in knots])

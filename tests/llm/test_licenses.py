@@ -1,0 +1,110 @@
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from talus.llm import licenses
+
+from ..conftest import DATA
+from .rows import awkward
+
+
+def brute_words(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text)
+
+
+def brute_base(text):
+    found, out = brute_words(text), []
+    for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")):
+        need = phrase.split()
+        out += [(i, label) for i in range(len(found)) if found[i : i + len(need)] == need]
+    return sorted(out)
+
+
+def brute_blocks(found, templates, threshold=licenses.THRESHOLD):
+    out = []
+    for label, text in templates:
+        wanted = set(brute_words(text))
+        step = len(wanted)
+        for start in range(0, len(found), step):
+            block = found[start : start + 2 * step]
+            share = len(wanted & set(block)) / step
+            if share >= threshold - 1e-12:
+                out.append((label, start, len(block), pytest.approx(share)))
+    return out
+
+
+def check(df):
+    rows = licenses.scan(df).collect()
+    texts = {}
+    for r in df.collect():
+        texts.setdefault(r["doc_id"], []).append(r["text"])
+    assert len(rows) == df.count()
+    for r in rows:
+        options = []
+        for t in texts[r["doc_id"]]:
+            base, blocks = brute_base(t), brute_blocks(brute_words(t), licenses.TEMPLATES)
+            own = {label for _, label in base}
+            both = own | {b[0] for b in blocks}
+            score = 1.0 if base else max((b[3].expected for b in blocks), default=0.0)
+            first, last = (base[0][0], base[-1][0]) if base else (None, None)
+            options.append((len(brute_words(t)), len(base), first, last, ",".join(sorted(own)), ",".join(sorted(both)), pytest.approx(score), len(blocks)))
+        got = (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], r["score"], len(r["blocks"]))
+        assert any(got == o for o in options)
+    return rows
+
+
+def test_whole_table(spark):
+    rows = check(spark.read.parquet(str(DATA / "sf0.01" / "documents.parquet")))
+    assert {label for r in rows for label in r["labels"].split(",")} >= {"", "mit", "apache-2.0", "gpl", "cc-by", "reserved"}
+
+
+def test_awkward_rows(spark):
+    check(awkward(spark))
+    assert licenses.scan(awkward(spark, empty=True)).count() == 0
+
+
+def test_every_template_finds_itself_and_near_versions(spark):
+    filler = " lorem ipsum dolor" * 40
+    texts = [f"{filler} {t.upper()} {filler}" for _, t in licenses.TEMPLATES]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in check(df):
+        label = licenses.TEMPLATES[r["doc_id"]][0]
+        assert label in r["labels"].split(",") and r["score"] == 1.0
+
+
+word = st.sampled_from("a b c d e f g h".split())
+
+
+@settings(max_examples=300)
+@given(
+    st.lists(st.tuples(st.sampled_from("xyz"), st.lists(word, min_size=1, max_size=7).map(" ".join)), min_size=1, max_size=4),
+    st.lists(word | st.sampled_from(["q", "r"]), max_size=40),
+    st.dictionaries(word.map(str.encode), st.integers(0, 9)),
+    st.sampled_from([0.5, 0.8, 1.0]),
+)
+def test_filters_lose_nothing(templates, found, frequency, threshold):
+    index = licenses.TemplateIndex(templates, frequency, threshold)
+    got = index.blocks([w.encode() for w in found])
+    want = brute_blocks(found, templates, threshold)
+    key = lambda b: (b[0], b[1], b[2])
+    assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def test_overlapping_places():
+    found = [b"cc", b"by", b"cc", b"by", b"all", b"rights", b"reserved", b"all", b"rights", b"reserved"]
+    assert licenses.places(found) == [(0, "cc-by"), (2, "cc-by"), (4, "reserved"), (7, "reserved")]
+    assert licenses.places([b"cc"]) == [] and licenses.places([]) == []
+
+
+def test_frequencies_cover_all_documents(spark):
+    df = awkward(spark)
+    got = licenses.frequencies(df, [("x", "one two wort1")])
+    counts = {}
+    for r in df.collect():
+        for w in brute_words(r["text"]):
+            if w in ("one", "two", "wort1"):
+                counts[w.encode()] = counts.get(w.encode(), 0) + 1
+    assert got == counts
