@@ -65,13 +65,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
 }
 
+
+def _list(words) -> str:
+    return "[" + ", ".join(f"'{w.decode()}'" for w in words) + "]"
+
+
+_PHRASES = ", ".join(f"({_list(licenses.words(p))}, '{label}')" for p, label in licenses.PHRASES)
+_TEMPLATES = ", ".join(f"({_list(sorted(set(licenses.words(t))))}, '{label}')" for label, t in licenses.TEMPLATES)
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 _VALUES = [f"('{h}', '{p}', '{a}', 'rule')" for h, p, a in urls.RULES]
 _VALUES += [f"('{h}', '{p}', '{a}', 'listed')" for h, p, a in urls.LISTED]
 
 ORACLE_SQL: dict[str, str] = {
-    "op4_exact_dedup": """
+    "op4_exact_dedup": f"""
         WITH t AS (
-          SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+          SELECT doc_id, {_LOWERED} AS norm
           FROM documents
         )
         SELECT doc_id,
@@ -106,4 +115,37 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN fit a ON a.n = p.n AND a.kind = 'rule'
         LEFT JOIN fit b ON b.n = p.n AND b.kind = 'listed'
     """,
+    "op10_licenses": f"""
+        WITH d AS (
+          SELECT row_number() OVER () AS n, doc_id,
+                 regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+          FROM documents
+        ),
+        phrase(words, label) AS (VALUES {_PHRASES}),
+        template(words, label) AS (VALUES {_TEMPLATES}),
+        place AS (
+          SELECT n, label, i - 1 AS word_at
+          FROM (SELECT n, w, unnest(generate_series(1, len(w))) AS i FROM d), phrase
+          WHERE w[i] = words[1] AND w[i:i + len(words) - 1] = words
+        ),
+        base AS (
+          SELECT n, count(*) AS n_base, min(word_at) AS first_word, max(word_at) AS last_word,
+                 string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+          FROM place GROUP BY n
+        ),
+        block AS (
+          SELECT n, label, len(list_filter(words, lambda x: list_contains(w[s + 1:s + 2 * len(words)], x))) / len(words) AS share
+          FROM (SELECT n, w, words, label, unnest(generate_series(0, len(w) - 1, len(words))) AS s FROM d, template)
+        ),
+        hit AS (SELECT n, label, share FROM block WHERE share >= {licenses.THRESHOLD} - 1e-12),
+        both_labels AS (
+          SELECT n, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT n, label FROM place UNION ALL SELECT n, label FROM hit) GROUP BY n
+        ),
+        best AS (SELECT n, max(share) AS share FROM hit GROUP BY n)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+               CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+        FROM d LEFT JOIN base USING (n) LEFT JOIN both_labels USING (n) LEFT JOIN best USING (n)
+    """,
 }
