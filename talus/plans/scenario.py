@@ -76,8 +76,10 @@ def run_together(df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cel
                 test = test & p
         if s.uses_matrix and s.size == 1:
             test = test & (F.col("modType") == "rel")
-        tests.append(F.when(test, F.lit(i)))
-    hit = base.withColumn("scenario", F.explode(F.array_compact(F.array(*tests))))
+        tests.append(test)
+    # Their disjunction first: as a filter it reaches the scan.
+    matching = F.array(*(F.when(test, F.lit(i)) for i, test in enumerate(tests)))
+    hit = base.where(reduce(lambda a, b: a | b, tests)).withColumn("scenario", F.explode(F.array_compact(matching)))
 
     def of(value) -> Column:
         """A scenario's constant, looked up by position."""
