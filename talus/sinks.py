@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from talus.functions.geometry import decode, wkb_to_geojson, wkb_to_wkt
 from talus.schema import GEOMETRY
+from talus.shipping import with_package
 
 log = logging.getLogger(__name__)
 
@@ -95,7 +96,7 @@ def attributes(df: DataFrame, with_wkt: bool = False) -> DataFrame:
     """Columns for a text file: geometry dropped, or as WKT."""
     if GEOMETRY not in df.columns:
         return df
-    return df.withColumn(GEOMETRY, wkb_to_wkt(GEOMETRY)) if with_wkt else df.drop(GEOMETRY)
+    return with_package(df).withColumn(GEOMETRY, wkb_to_wkt(GEOMETRY)) if with_wkt else df.drop(GEOMETRY)
 
 
 def write_csv(df: DataFrame, path: Path, with_wkt: bool = False, single_file: bool = True) -> None:
@@ -109,7 +110,7 @@ def features(df: DataFrame) -> DataFrame:
     properties = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}) if names else F.lit("{}")
     shape = F.coalesce(wkb_to_geojson(GEOMETRY), F.lit("null")) if GEOMETRY in df.columns else F.lit("null")
     text = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), shape, F.lit("}"))
-    return df.select(text.alias("feature"))
+    return with_package(df).select(text.alias("feature"))
 
 
 def write_geojson(df: DataFrame, path: Path) -> None:

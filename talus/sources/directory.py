@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from talus.functions.geometry import geojson_to_wkb
 from talus.schema import GEOMETRY, RANGED
+from talus.shipping import with_package
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -30,7 +31,7 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType | None
         properties = found if isinstance(found, T.StructType) else T.StructType()
     feature = T.StructType().add("properties", properties).add(GEOMETRY, T.StringType())
     schema = T.StructType().add("features", T.ArrayType(feature))
-    rows = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+    rows = with_package(spark.read.schema(schema).option("multiLine", True).json(path)).select(F.explode("features").alias("f"))
     columns = [F.col(f"f.properties.`{c}`") for c in properties.names]
     return rows.select(*columns, geojson_to_wkb(F.col(f"f.{GEOMETRY}")).alias(GEOMETRY))
 

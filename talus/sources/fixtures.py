@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from talus.functions.geometry import encode
 from talus.schema import GEOMETRY
+from talus.shipping import with_package
 
 _PPM = "(2 + (l_partkey % 7) % 4)"
 _PEM = f"(1 + (l_linenumber - 1) % {_PPM})"
@@ -59,4 +60,4 @@ def with_geometry(df: DataFrame) -> DataFrame:
     def shape(pra: pd.Series, kind: pd.Series) -> pd.Series:
         return pd.Series([_square(int(p), k.strip().lower()) for p, k in zip(pra, kind)], dtype=object)
 
-    return df.withColumn(GEOMETRY, shape("praID", "modType"))
+    return with_package(df).withColumn(GEOMETRY, shape("praID", "modType"))
