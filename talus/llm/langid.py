@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from talus.shipping import with_package
+
+from .common import fold, materialise
 
 #: Character n-grams, over lower-cased letters with each other run as one space.
 GRAMS = (2, 3, 4)
@@ -27,9 +29,9 @@ SLOTS = 1 << 20
 HASHES = 2
 #: Documents of the training sample, at most.
 SAMPLE = 12_000
-#: A language contains an n-gram that it has this often, and this part as often as any language.
-LEAST_DOCS = 3
-LEAST_SHARE = 0.4
+#: A language contains an n-gram that so many documents have, and this part as frequently as in any language.
+LEAST_DOCS = 2
+LEAST_SHARE = 0.75
 #: Characters hashed together: a bound on memory for very long texts.
 BLOCK = 1 << 18
 
@@ -137,9 +139,9 @@ def fit(
 ) -> LanguageFilters:
     """Filters learned from ``train`` rows with a language (all by default), ``sample`` of them at most.
 
-    N-grams are counted by the documents that have them; no more than
-    ``SLOTS`` slots come to the driver. Languages are listed by the number of
-    sampled documents, then by name.
+    N-grams are counted by language, and kept by their part of all n-grams of
+    the language. Languages are listed by the number of sampled documents, then
+    by name.
     """
     picked = _sample(docs, text, lang, id_col, F.lit(True) if train is None else train, sample)
 
@@ -147,13 +149,17 @@ def fit(
         for batch in batches:
             frame = batch.to_pandas()
             for language, texts in frame.groupby("lang")["text"]:
-                seen = [np.unique(np.concatenate(list(grams(_plain(t))) or [np.zeros(0, np.uint64)])) for t in texts]
-                values, n = np.unique(np.concatenate(seen), return_counts=True)
+                each = [np.unique(np.concatenate(list(grams(_plain(t)))), return_counts=True) for t in texts]
+                values, which, docs_with = np.unique(
+                    np.concatenate([v for v, _ in each]), return_inverse=True, return_counts=True
+                )
+                times = np.bincount(which, np.concatenate([n for _, n in each])).astype(np.int64)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "lang": pa.array([language] * len(values), pa.string()),
                         "gram": pa.array(values.view(np.int64)),
-                        "n": pa.array(n.astype(np.int64)),
+                        "docs": pa.array(docs_with.astype(np.int64)),
+                        "n": pa.array(times),
                     }
                 )
 
@@ -161,21 +167,20 @@ def fit(
     filters = LanguageFilters(sorted(sizes, key=lambda name: (-sizes[name], name)))
     if not sizes:
         return filters
-    counts = picked.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    docs_of = F.element_at(F.create_map(*(F.lit(x) for kv in sizes.items() for x in kv)), F.col("lang"))
-    shares = counts.withColumn("share", F.col("n") / docs_of)
-    by_gram = shares.groupBy("gram").agg(
-        F.max("share").alias("most"), F.collect_list(F.struct("lang", "n", "share")).alias("langs")
-    )
-    kept = (
-        by_gram.select("gram", "most", F.explode("langs").alias("l"))
-        .where((F.col("l.n") >= LEAST_DOCS) & (F.col("l.share") >= LEAST_SHARE * F.col("most")))
-        .select("gram", F.col("l.lang").alias("lang"))
+    counted = with_package(picked).mapInArrow(count, "lang string, gram long, docs long, n long")
+    counts = materialise(
+        counted.groupBy("lang", "gram").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "grams"
     )
-    for i, name in enumerate(filters.languages):
-        # The sample bounds these; a filter of SLOTS slots is full long before that.
-        found = np.array([r["gram"] for r in kept.where(F.col("lang") == name).select("gram").toLocalIterator()], dtype=np.int64)
-        filters.add(i, found.view(np.uint64))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()
+    total = F.element_at(F.create_map(*(F.lit(x) for r in totals for x in (r["lang"], r["total"]))), F.col("lang"))
+    place = F.element_at(F.create_map(*(F.lit(x) for i, name in enumerate(filters.languages) for x in (name, i))), F.col("lang"))
+    shares = counts.select("gram", place.alias("place"), "docs", (F.col("n") / total).alias("share"))
+    most = shares.groupBy("gram").agg(F.max("share").alias("most"))
+    kept = shares.join(most, "gram").where((F.col("docs") >= LEAST_DOCS) & (F.col("share") >= LEAST_SHARE * F.col("most")))
+    # The sample bounds these; a filter of SLOTS slots is full long before they fill the driver.
+    found = kept.select("gram", "place").toPandas()
+    for i, own in found.groupby("place")["gram"]:
+        filters.add(int(i), own.to_numpy(np.int64).view(np.uint64))
     return filters.seal()
 
 
@@ -192,7 +197,7 @@ def predict(docs: DataFrame, filters: LanguageFilters, text: str = "text", id_co
         for texts in batches:
             yield pd.DataFrame([decider.decide(t) for t in texts], columns=["lang_pred", "score"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), decide(F.col(text).cast("string")).alias("p")).select("doc_id", "p.*")
+    return with_package(docs).select(F.col(id_col).alias("doc_id"), decide(F.col(text).cast("string")).alias("p")).select("doc_id", "p.*")
 
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", held_out: int = 2) -> DataFrame:

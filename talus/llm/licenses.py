@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talus.shipping import with_package
+
 THRESHOLD = 0.8
 
 #: On UTF-8 bytes: letters a-z, digits and all that isn't ASCII, after lower-casing A-Z.
@@ -164,7 +166,7 @@ def frequencies(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATE
             {"word": pa.array(list(seen), pa.binary()), "n": pa.array(list(seen.values()), pa.int64())}
         )
 
-    counted = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word binary, n long")
+    counted = with_package(docs).select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word binary, n long")
     return {bytes(r["word"]): r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -223,5 +225,5 @@ def scan(
             columns = [pa.array(c, t) for c, t in zip(zip(*made), types)] if made else [pa.array([], t) for t in types]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    read = with_package(docs).select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return read.mapInArrow(judge, SCHEMA)

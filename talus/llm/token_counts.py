@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from talus.shipping import with_package
+
 from .common import materialise
 from .encode import encoder, word_vocabulary
 
@@ -38,7 +40,7 @@ def lengths(docs: DataFrame, vocabulary: str | None = None, text: str = "text")
             {"length": pa.array(list(seen), pa.int64()), "docs": pa.array(list(seen.values()), pa.int64())}
         )
 
-    counted = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "length long, docs long")
+    counted = with_package(docs).select(F.col(text).cast("string").alias("text")).mapInArrow(count, "length long, docs long")
     return counted.groupBy("length").agg(F.sum("docs").alias("docs"))
 
 

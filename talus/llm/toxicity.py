@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talus.shipping import with_package
+
 from .common import fold, materialise
 
 #: Labelled documents of the sample, at most, and its parts for lexicon, trees and calibration.
@@ -267,7 +269,7 @@ def _lexicon(rows: DataFrame) -> set[str]:
             }
         )
 
-    counts = rows.select("text", "y").mapInArrow(count, "entry string, toxic long, docs long")
+    counts = with_package(rows).select("text", "y").mapInArrow(count, "entry string, toxic long, docs long")
     best = (
         counts.groupBy("entry")
         .agg(F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
@@ -290,7 +292,7 @@ def _features(rows: DataFrame, lexicon: set[str]) -> pd.DataFrame:
                 names=["part", "y", "x"],
             )
 
-    return rows.mapInArrow(featurize, "part int, y int, x array<double>").toPandas()
+    return with_package(rows).mapInArrow(featurize, "part int, y int, x array<double>").toPandas()
 
 
 def fit(
@@ -336,7 +338,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", id_col: str
         for texts in batches:
             yield pd.Series(shared.value.scores(np.array([of(t) for t in texts]).reshape(len(texts), len(FEATURES))))
 
-    out = docs.select(F.col(id_col).alias("doc_id"), scored(F.col(text).cast("string")).alias("score"))
+    out = with_package(docs).select(F.col(id_col).alias("doc_id"), scored(F.col(text).cast("string")).alias("score"))
     return out.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
