@@ -127,8 +127,13 @@ def _normal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(directory(spark, sf_dir))
 
 
-def _folder() -> Path:
-    return Path(tempfile.mkdtemp(prefix="talus-out-"))
+def _folder(spark: SparkSession) -> Path:
+    """A new folder for a round trip, within the one that the cluster's machines share where there is one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or ""
+    base = Path(shared.removeprefix("file://")) if shared.startswith(("/", "file:/")) else None
+    if base is not None:
+        base.mkdir(parents=True, exist_ok=True)
+    return Path(tempfile.mkdtemp(prefix="talus-out-", dir=base))
 
 
 @_register("scan_directory", _with("SELECT * FROM raw"))
@@ -138,7 +143,7 @@ def scan_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("scan_geojson")
 def scan_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder() / "winter.geojson"
+    path = _folder(spark) / "winter.geojson"
     sinks.write_geojson(with_geometry(scenario_winter(spark, sf_dir)), path)
     df = read_geojson(spark, f"file://{path}")
     return df.withColumn("geometry", wkb_to_geojson("geometry"))
@@ -359,7 +364,7 @@ def rel_res_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("sink_parquet", _with(_scenario_sql(WINTER)))
 def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder() / "winter.parquet"
+    path = _folder(spark) / "winter.parquet"
     sinks.write_parquet(scenario_winter(spark, sf_dir), path)
     return read_directory(spark, f"file://{path}")
 
@@ -370,28 +375,28 @@ def _csv(spark: SparkSession, path: Path, like: DataFrame) -> DataFrame:
 
 @_register("csv_attributes", _with(_scenario_sql(WINTER)))
 def csv_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder() / "winter.csv"
+    rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder(spark) / "winter.csv"
     sinks.write_csv(rows, path)
     return _csv(spark, path, sinks.attributes(rows))
 
 
 @_register("csv_wkt")
 def csv_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder() / "winter.csv"
+    rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder(spark) / "winter.csv"
     sinks.write_csv(rows, path, with_wkt=True)
     return _csv(spark, path, sinks.attributes(rows, with_wkt=True))
 
 
 @_register("sink_geojson")
 def sink_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder() / "winter.geojson"
+    path = _folder(spark) / "winter.geojson"
     sinks.write_geojson(with_geometry(scenario_winter(spark, sf_dir)), path)
     return read_directory(spark, f"file://{path}")
 
 
 @_register("sink_gpkg")
 def sink_gpkg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder() / "winter.gpkg"
+    rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder(spark) / "winter.gpkg"
     sinks.write_gpkg(rows, path)
     found = [tuple(r[c] for c in rows.columns) for r in sinks.read_gpkg(path)]
     return spark.createDataFrame(found, rows.schema)
