@@ -26,13 +26,13 @@ from .common import fold, materialise
 
 #: Labelled documents of the sample, at most, and its parts for lexicon, trees and calibration.
 SAMPLE = 24_000
-PARTS = (0.55, 0.85)
+PARTS = (0.6, 0.85)
 #: Lexicon: entries at most; toxic documents that have an entry, at least, and its precision.
 LEXICON = 20_000
-LEAST_DOCS = 3
-LEAST_PRECISION = 0.7
+LEAST_DOCS = 4
+LEAST_PRECISION = 0.8
 #: Lengths of word beginnings that the lexicon may hold.
-STEMS = (3, 4, 5, 6, 7, 8)
+STEMS = (4, 5, 6, 7, 8)
 #: Words around a lexicon word that second-person words are looked for in.
 NEAR = 4
 THRESHOLD = 0.3
