@@ -16,9 +16,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talus.shipping import with_package
+
 from .common import fresh, materialise
 from .graph import components
 
@@ -64,7 +66,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", n:
         for batch in texts:
             yield pd.Series(np.array([fingerprint(t, n) for t in batch], dtype=np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text).cast("string")).alias("fp"))
+    return with_package(docs).select(F.col(id_col).alias("doc_id"), fp(F.col(text).cast("string")).alias("fp"))
 
 
 def segments(count: int = SEGMENTS, distance: int = DISTANCE) -> list[tuple[int, int, int]]:
@@ -99,29 +101,51 @@ def _probes(seg: int, shift: int, bits: int, radius: int) -> Column:
     return F.transform(masks, lambda m: F.struct(F.lit(seg).alias("seg"), value.bitwiseXOR(m).alias("value")))
 
 
+def _table(fps: DataFrame, plan: list[tuple[int, int, int]], *carried: str) -> DataFrame:
+    """Every fingerprint under each of its segments."""
+    keys = (
+        F.struct(F.lit(i).alias("seg"), _segment(F.col("fp"), shift, bits).alias("value"))
+        for i, (shift, bits, _) in enumerate(plan)
+    )
+    return fps.select(F.inline(F.array(*keys)), F.col("fp").alias("v"), *carried)
+
+
 def near_pairs(fps: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
     """``u, v``: all pairs of distinct fingerprints that differ in 1 to ``distance`` bits.
 
-    ``fps`` has each fingerprint once, as the long ``fp``. A pair may come from
-    several tables. The join keeps verified pairs only.
+    ``fps`` has each fingerprint once, as the long ``fp``, and may have a
+    ``chain``: pairs within one chain are then left out. A pair may come from
+    several tables. The join emits verified pairs only.
     """
     plan = segments(count, distance)
-    entries = F.array(
-        *(F.struct(F.lit(i).alias("seg"), _segment(F.col("fp"), s, b).alias("value")) for i, (s, b, _) in enumerate(plan))
-    )
-    probes = F.flatten(F.array(*(_probes(i, s, b, r) for i, (s, b, r) in enumerate(plan))))
-    table = fps.select(F.inline(entries), F.col("fp").alias("v"))
-    probe = fps.select(F.inline(probes), F.col("fp").alias("u"))
-    apart = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
-    joined = probe.alias("p").join(
-        table.alias("t"),
+    chain = ["chain"] if "chain" in fps.columns else []
+    balls = F.flatten(F.array(*(_probes(i, s, b, r) for i, (s, b, r) in enumerate(plan))))
+    probe = fps.select(F.inline(balls), F.col("fp").alias("u"), *chain)
+    on = (
         (F.col("p.seg") == F.col("t.seg"))
         & (F.col("p.value") == F.col("t.value"))
         # Either of two can be the probe; which is fixed, by value.
         & (F.col("u") < F.col("v"))
-        & (apart <= distance),
+        & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance)
     )
-    return joined.select("u", "v")
+    if chain:
+        on = on & F.coalesce(F.col("p.chain") != F.col("t.chain"), F.lit(True))
+    return probe.alias("p").join(_table(fps, plan, *chain).alias("t"), on).select("u", "v")
+
+
+def chained(fps: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
+    """``fps`` with ``chain``, the component of links between neighbours in a table's order; null without one.
+
+    A dense group of near copies has links between almost all its pairs. Those
+    between neighbours, at most one for each fingerprint and table, connect most
+    of it, and the search need not emit the rest.
+    """
+    order = Window.partitionBy("seg", "value").orderBy("v")
+    beside = _table(fps, segments(count, distance)).withColumn("u", F.lag("v").over(order))
+    links = beside.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance).select("u", "v")
+    roots = components(links)
+    members = roots.union(roots.select(F.col("root").alias("node"), "root")).distinct()
+    return fps.join(members.withColumnRenamed("root", "chain"), F.col("fp") == F.col("node"), "left").drop("node")
 
 
 def near_groups(
@@ -142,7 +166,9 @@ def near_groups(
     """
     rows = materialise(fingerprints(docs, text, id_col, n), "fingerprints")
     fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(near_pairs(fps.select("fp"), distance, count))
+    chains = materialise(chained(fps.select("fp"), distance, count), "chains")
+    along = chains.where("fp != chain").select(F.col("fp").alias("u"), F.col("chain").alias("v"))
+    roots = components(along.union(near_pairs(chains, distance, count)))
     rooted = fps.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )

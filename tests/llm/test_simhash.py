@@ -79,6 +79,20 @@ def test_no_pair_is_lost(spark, distance, count):
     assert {tuple(sorted(p)) for p in got} == want
 
 
+def test_a_dense_group_emits_few_of_its_pairs(spark):
+    rng = random.Random(5)
+    fps = {sum(1 << b for b in rng.sample(range(64), 2)) for _ in range(300)} | {rng.getrandbits(63) for _ in range(50)}
+    chains = simhash.chained(spark.createDataFrame([(f - (f >> 63 << 64),) for f in fps], "fp long"))
+    pairs = simhash.near_pairs(chains).collect()
+    links = {(r["u"], r["v"]) for r in pairs} | {(r["fp"], r["chain"]) for r in chains.where("chain != fp").collect()}
+    every = sum((a ^ b).bit_count() <= 4 for a in fps for b in fps if a < b)
+    assert len(pairs) < every / 3
+    have = {frozenset(x % (1 << 64) for x in e) for e in links}
+    assert brute_components(sorted(fps), lambda a, b: frozenset((a, b)) in have) == brute_components(
+        sorted(fps), lambda a, b: (a ^ b).bit_count() <= 4
+    )
+
+
 def test_segments_cover_64_bits():
     for distance in range(6):
         for count in range(1, distance + 2):
