@@ -92,6 +92,14 @@ def test_toxicity_of_held_out_documents(docs, labels):
     assert all(r["predicted"] == (r["score"] >= 0.3) for r in rows) and score.min() >= 0 and score.max() <= 1
 
 
+def test_the_lexicon_does_not_depend_on_partitions(spark):
+    """Five toxic documents and four clean ones have "maybe": too many clean ones, wherever they are."""
+    rows = [("surely maybe", 1)] * 5 + [("maybe fine", 0)] * 4 + [("fine", 0)] * 11
+    df = spark.createDataFrame(rows, "text string, y int")
+    for parts in (1, 4, 20):
+        assert toxicity._lexicon(df.repartition(parts)) == {"surely", "=sure", "=surel", "=surely"}
+
+
 def test_toxicity_of_awkward_rows(spark):
     df = awkward(spark)
     schema = "doc_id long, toxic int, text string"
