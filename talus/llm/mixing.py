@@ -156,12 +156,31 @@ def mix(
     Ties are broken by id, then by a hash of source and size, so reruns agree.
     No other column is read.
     """
+    copied = _copied(docs, F.monotonically_increasing_id(), text, id_col, source, weights, cap, x)
+    copies = F.col("copies")
+    return copied.select(
+        "doc_id", "size", "source_size", "target", "rate", copies, (copies * F.col("size")).alias("taken")
+    )
+
+
+def _copied(
+    docs: DataFrame,
+    row: Column,
+    text: str,
+    id_col: str,
+    source: str,
+    weights: tuple[float, ...] = WEIGHTS,
+    cap: float = CAP,
+    x: Column | None = None,
+) -> DataFrame:
+    """``row, doc_id, size, source_size, target, rate, copies`` for each row of ``docs``; ``row`` differs in each."""
     sized = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         token_count(F.col(text)).alias("size"),
         (F.lit(1.0) if x is None else x.cast("double")).alias("x"),
-    ).withColumn("row", F.monotonically_increasing_id())
+        row.alias("row"),
+    )
     sized = materialise(sized, "sizes")
     dual = solve(sized.select("source", "size", "x"), source_targets(sized.select("source", "size"), weights, cap), cap)
     dual = dual.withColumnRenamed("source", "of")
@@ -179,15 +198,17 @@ def mix(
         rated.where("size > 0")
         .join(per_source, F.col("source").eqNullSafe(F.col("of")))
         .withColumn("block", F.pmod(F.xxhash64("doc_id", "size"), F.col("blocks")))
-        # Rows that repeat an id and a size would share a block however many there are.
-        .withColumn("part", F.pmod(F.col("row"), F.lit(1 << 10)))
     )
     repeats = blocked.groupBy("source", "block").agg(F.count("*").alias("in_block"))
-    repeats = repeats.where(F.col("in_block") > 8 * BLOCK).select(F.col("source").alias("of"), F.col("block").alias("hot"))
+    repeats = repeats.where(F.col("in_block") > 8 * BLOCK).select(
+        F.col("source").alias("of"), F.col("block").alias("hot"), F.ceil(F.col("in_block") / F.lit(BLOCK)).alias("parts")
+    )
     blocked = blocked.drop("of").join(
         repeats, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("hot")), "left"
     )
-    part = F.when(F.col("hot").isNotNull(), F.col("part")).otherwise(F.lit(-1))
+    # Rows that repeat an id and a size share a block however many there are: a hash of the row
+    # splits it into parts of about BLOCK rows, each within a fraction of a document.
+    part = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("row"), F.col("parts"))).otherwise(F.lit(-1))
     order = F.struct((-F.col("size")).alias("key"), "doc_id", F.xxhash64("source", "size").alias("tie"), "row", "size", "rate")
     rounded = (
         blocked.groupBy("source", "block", part.alias("part"))
@@ -197,28 +218,19 @@ def mix(
     )
     out = rated.join(rounded, "row", "left")
     copies = F.coalesce(F.col("copies"), F.lit(1)).cast("long")
-    return out.select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        "rate",
-        copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
-    )
+    return out.select("row", "doc_id", "size", "source_size", "target", "rate", copies.alias("copies"))
 
 
 def take_mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str = "source") -> DataFrame:
     """``docs`` with each row repeated as often as :func:`mix` takes it (never: it goes).
 
-    Ids are expected to be unique; rows that share an id are each repeated as
-    often as the mix takes the id's rows on average, rounded up.
+    Copies go by row, so rows that share an id, or have none, each get their own.
     """
-    of, often, copy = fresh(docs, "of", "times", "copy")
-    times = (
-        mix(docs, text, id_col, source)
-        .groupBy(F.col("doc_id").alias(of))
-        .agg(F.ceil(F.avg("copies")).cast("int").alias(often))
+    row, of, often, copy = fresh(docs, "row", "of", "times", "copy")
+    # Written once, so that the rows' numbers are the same for the mix and for the join.
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    times = _copied(numbered, F.col(row), text, id_col, source).select(
+        F.col("row").alias(of), F.col("copies").cast("int").alias(often)
     )
-    joined = docs.join(times.where(F.col(often) > 0), docs[id_col].eqNullSafe(F.col(of)))
+    joined = numbered.join(times.where(F.col(often) > 0), F.col(row) == F.col(of))
     return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(often)))).select(*docs.columns)

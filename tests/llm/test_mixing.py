@@ -92,6 +92,18 @@ def test_a_hot_source_of_equal_rows_is_dealt_into_small_blocks(spark):
     assert taken[25500] == pytest.approx(want["hot"], rel=0.02) and taken[1500] == pytest.approx(want[None], rel=0.02)
 
 
+@pytest.mark.parametrize("key", ["1", "NULL"])
+def test_a_block_just_above_the_limit_keeps_its_rate(spark, key):
+    """Equal rows of three sources, each a hot block: 1,000 parts of 4 rows each would all round alike."""
+    df = spark.range(13_500).selectExpr(f"CAST({key} AS LONG) AS doc_id", "'a b c' AS text", "element_at(array('a', 'b', 'c'), CAST(1 + id % 3 AS INT)) AS source")
+    want = brute_targets({"a": 13_500, "b": 13_500, "c": 13_500})
+    kept = {r["source"]: 3 * r["count"] for r in mixing.take_mix(df).groupBy("source").count().collect()}
+    taken = mixing.mix(df).groupBy("target").agg(F.sum("taken").alias("n")).collect()
+    # Half a document of three words for each of 9 parts.
+    assert all(abs(kept[s] - want[s]) <= 14 for s in want)
+    assert len(taken) == 3 and all(abs(r["n"] - r["target"]) <= 14 for r in taken)
+
+
 def test_the_dual_along_a_tilt(spark):
     """Newton meets the constraints for a tilt that differs between documents, caps included."""
     df = spark.range(400).selectExpr("id AS doc_id", "concat_ws(' ', array_repeat('w', CAST(1 + id % 37 AS INT))) AS text", "CAST(id % 5 AS STRING) AS source")
