@@ -7,7 +7,8 @@ must share one of the template's first ``|T| - needed + 1`` words (prefix
 filter), hold enough words at all (length filter), and after the first shared
 word have enough words left on both sides (positional filter); those that pass
 are counted out. Blocks are windows of twice a template's words, every
-template's words apart, so each run of that many words lies within one.
+template's words apart, counted once each, so each run of that many words lies
+within one. A notice that repeats words is longer and may lie within none.
 """
 
 from __future__ import annotations
