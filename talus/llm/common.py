@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -24,14 +25,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it.
 
-    Only where the session names none (tests, a single machine) a temporary
-    one is made and set.
+    Only where the session names none and runs on one machine (tests) a
+    temporary one is made and set; a cluster has to name it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm_dir.isDefined():
             return jvm_dir.get()
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='talus-')}"
         spark.sparkContext.setCheckpointDir(path)
         path = spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -42,14 +45,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage: lost executors cost a re-read, not the work before.
-    The table goes when the driver's JVM ends.
+    The table goes with :func:`discard`, or when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/talus-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._talus_folder = folder
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialise` that nothing reads any more."""
+    for table in tables:
+        folder = table.__dict__.get("_talus_folder")
+        if folder is not None:
+            folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bloom import without
 from .common import ascii_lower, fresh, let, materialise
 
 #: Bounds of a chunk's length in characters.
@@ -65,7 +66,7 @@ def _ids(docs: DataFrame, text: str, id_col: str, pattern: str | None) -> DataFr
 
 
 def _ordinals(recipes: DataFrame) -> DataFrame:
-    """Chunks that share a 64-bit hash with another chunk, numbered apart."""
+    """Chunks that share a 64-bit hash with another chunk, numbered apart. All but always there are none."""
     store = recipes.select(F.explode("recipe").alias("c")).select("c.*").distinct()
     shared = store.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     by_hash = Window.partitionBy("h").orderBy("digest", "size")
@@ -74,7 +75,10 @@ def _ordinals(recipes: DataFrame) -> DataFrame:
 
 def _identified(recipes: DataFrame) -> DataFrame:
     """``recipes`` with each document's list of verified chunk identifiers."""
-    ordinals = _ordinals(recipes)
+    ordinals = materialise(_ordinals(recipes), "ordinals")
+    none = F.array().cast("array<struct<pos:int,ordinal:int>>")
+    if ordinals.isEmpty():
+        return recipes.select("row", "doc_id", "sha256", F.col("recipe.h").alias("ids"), none.alias("apart"))
     apart = (
         recipes.select("row", F.posexplode("recipe").alias("pos", "c"))
         .select("row", "pos", "c.*")
@@ -82,7 +86,6 @@ def _identified(recipes: DataFrame) -> DataFrame:
         .groupBy("row")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "ordinal"))).alias("apart"))
     )
-    none = F.array().cast("array<struct<pos:int,ordinal:int>>")
     return recipes.join(apart, "row", "left").select(
         "row",
         "doc_id",
@@ -132,6 +135,9 @@ def _text_digest(text: Column) -> Column:
 def drop_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose text another row with a larger id has.
 
+    Dropped ids meet the rows through :func:`without`, so the text isn't moved;
+    only rows that share an id with a row of another fate are.
+
     All columns are kept, whatever their names. Rows that repeat id and text
     leave one; rows that share an id but not a text are judged one by one; a
     null id ranks below every other.
@@ -141,11 +147,10 @@ def drop_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     by_id = judged.groupBy(F.col("doc_id").alias(gid)).agg(
         F.count("*").alias(rows), F.count_if("kept").alias(stay)
     )
-    gone = by_id.where(F.col(stay) == 0).select(gid)
-    out = docs.join(gone, docs[id_col].eqNullSafe(gone[gid]), "left_anti")
-    shared = by_id.where((F.col(stay) > 0) & (F.col(rows) > F.col(stay))).select(gid)
+    by_id = materialise(by_id.where(F.col(rows) > F.col(stay)), "dropped")
+    gone, shared = by_id.where(F.col(stay) == 0).select(gid), by_id.where(F.col(stay) > 0).select(gid)
     if shared.isEmpty():
-        return out
+        return without(docs, id_col, gone)
     among = (
         docs.join(shared, docs[id_col].eqNullSafe(shared[gid]), "left_semi")
         .withColumn(sha, _text_digest(F.col(text)))
@@ -154,5 +159,4 @@ def drop_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     )
     kept = judged.where("kept").select(F.col("doc_id").alias(gid), F.col("text_sha256").alias(of))
     among = among.join(kept, among[id_col].eqNullSafe(kept[gid]) & (among[sha] == kept[of]), "left_semi")
-    rest = out.join(shared, out[id_col].eqNullSafe(shared[gid]), "left_anti")
-    return rest.unionByName(among.select(*docs.columns))
+    return without(docs, id_col, by_id.select(gid)).unionByName(among.select(*docs.columns))

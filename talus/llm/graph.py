@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 #: Rounds grow with the logarithm of the longest path; this is far beyond any.
 ROUNDS = 60
@@ -49,7 +49,8 @@ def components(links: DataFrame) -> DataFrame:
 
     now = state(edges)
     for _ in range(ROUNDS):
-        edges = materialise(_small_star(_large_star(edges)), "star")
+        last, edges = edges, materialise(_small_star(_large_star(edges)), "star")
+        discard(last)
         before, now = now, state(edges)
         if now == before:
             return edges.selectExpr("u as node", "v as root")

@@ -16,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, fold, let, materialise, words
+from .bloom import BlockedBloom
+from .common import NOT_SPACE, fold, fresh, let, materialise, words
 
 #: Window of the repetition count, in words.
 WINDOW = 8
@@ -138,8 +139,9 @@ class Learner:
     """Bounds of the search.
 
     ``quantiles`` thresholds per feature and class, rules of ``max_conditions``
-    at most, and rules accepted at ``min_precision`` (Laplace-corrected, on the
-    prune fold, a quarter of the labelled rows) with ``min_cover`` bad rows.
+    at most. A rule is accepted if on the prune fold, a quarter of the labelled
+    rows, ``min_precision`` of the rows it covers are bad and ``min_cover`` at
+    least. A rule's own ``precision`` is that share, Laplace-corrected.
     """
 
     quantiles: int = 16
@@ -278,8 +280,14 @@ def learn_rules(
     label: str = "quality",
     learner: Learner | None = None,
 ) -> list[Rule]:
-    """The decision list that labelled documents teach (``label`` 0: low quality)."""
-    measured = _measured(docs, text, id_col)
+    """The decision list that labelled documents teach (``label`` 0: low quality).
+
+    Only texts whose id passes a Bloom filter of the labelled ids are measured,
+    where they are; the join with the labels sees their statistics alone.
+    """
+    (hit,) = fresh(docs, "hit")
+    known = BlockedBloom(labels.where(F.col(label).isNotNull()).select(id_col).distinct())
+    measured = _measured(known.mark(docs, F.col(id_col), hit).where(hit), text, id_col)
     return (learner or Learner()).fit(materialise(_labelled(measured, labels, label, id_col), "labelled"))
 
 
@@ -322,6 +330,9 @@ def keep_good(
     """``docs`` without the rows that the base rules or the learned list reject.
 
     The verdict is taken row by row where the text is, so no text is shuffled.
+    Null, empty and blank texts have no words and go; null and repeated ids are
+    judged by their texts like any other; all columns stay, whatever their names.
+    Without labels of both classes the base rules alone decide.
     """
     rules = learn_rules(docs, labels, text, id_col, label, learner)
     kept = let(statistics(F.col(text)), lambda s: ~base_failed(s) & (verdict(s, rules) == 0))
