@@ -1,14 +1,17 @@
 """Mixing sources to target weights by entropy balancing.
 
 Documents get rates ``r`` that stay as close to 1 as the token constraints
-allow: they minimise the token-weighted relative entropy
-``sum(size * (r ln r - r + 1))`` subject to ``sum(size * r) = target`` for each
-source and ``0 <= r <= cap``. The solution tilts exponentially,
-``r = min(cap, exp(lambda * x))`` with the multiplier of the document's source,
-and the convex dual is solved by Newton iterations whose sums are distributed
-aggregates over all documents. ``x`` is 1 for a mix that draws evenly from a
-source's tokens, or any positive column to tilt along. Rates are then rounded
-into whole copies, with the rounding error carried from document to document.
+allow: they minimise the relative entropy ``sum(r ln r - r + 1)`` over documents
+subject to ``sum(size * r) = target`` for each source and ``0 <= r <= cap``. The
+solution tilts exponentially, ``r = min(cap, exp(lambda * x))`` with the
+multiplier of the document's source and ``x`` its size over the source's mean
+(or any other positive column), so a source that grows repeats its long
+documents first and one that shrinks gives them up first. The convex dual is
+solved by Newton iterations, kept within a bracket, whose sums are distributed
+aggregates over all documents. Rates are then rounded into whole copies: a hash
+of the document against the rate's fraction, shifted for each source and class
+of sizes until the words that the classes owe, from large to small, are met.
+What a row takes follows from its own columns and one row for its source.
 """
 
 from __future__ import annotations
@@ -16,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, let, materialise, words
+from .bloom import MAX_BROADCAST
+from .common import discard, let, materialise, words
 
 #: Weights of the sources by rank, repeating, as the mix's contract fixes them.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -24,9 +28,13 @@ WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
 #: Newton stops when each source is this near its target, or after so many rounds.
 TOLERANCE = 1e-9
-ROUNDS = 40
-#: Documents rounded together: a bound on what one array holds.
-BLOCK = 512
+ROUNDS = 60
+#: Steps between 0 and 1 that the shift of a class takes.
+STEPS = 2048
+#: Rows that share an id and a size beyond this number are told apart by their place in the input.
+ALIKE = 8
+#: Sources up to this number are broadcast, a row of about 1 kB each.
+MAX_SOURCES = 10_000
 
 
 def token_count(text: Column) -> Column:
@@ -68,18 +76,26 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
     )
 
 
-def solve(docs: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
+def solve(levels: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
     """``source, source_size, target, lam``: the dual's solution for each source.
 
-    ``docs`` has ``source, size, x``. Every round is one aggregation of all
-    documents; a source at its ceiling has no finite multiplier and takes the
-    cap itself (``lam`` null), one with target 0 the rate 0 (``lam`` -inf).
+    ``levels`` has ``source, size, x, n``: how many documents share size and
+    ``x``. Every round is one aggregation of it; a step that leaves the bracket
+    of earlier rounds is halved into it. A source at its ceiling has no finite
+    multiplier and takes the cap itself (``lam`` null), one with target 0 the
+    rate 0 (``lam`` -inf).
     """
-    state = targets.withColumn(
-        "lam",
-        F.when(F.col("target") >= cap * F.col("source_size") * (1 - 1e-12), F.lit(None).cast("double"))
+    unknown = F.lit(None).cast("double")
+    state = targets.select(
+        "source",
+        "source_size",
+        "target",
+        F.when(F.col("target") >= cap * F.col("source_size") * (1 - 1e-12), unknown)
         .when(F.col("target") <= 0, F.lit(float("-inf")))
-        .otherwise(F.lit(0.0)),
+        .otherwise(F.lit(0.0))
+        .alias("lam"),
+        unknown.alias("low"),
+        unknown.alias("high"),
     ).withColumn("open", F.col("lam").isNotNull() & (F.col("target") > 0))
     state = materialise(state, "dual")
     for _ in range(ROUNDS):
@@ -87,55 +103,172 @@ def solve(docs: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
             break
         multiplier = state.where("open").select(F.col("source").alias("of"), "lam")
         tilt = F.exp(F.col("lam") * F.col("x"))
+        weight = F.col("n") * F.col("size")
         sums = (
-            docs.join(multiplier, docs["source"].eqNullSafe(multiplier["of"]))
+            levels.join(multiplier, levels["source"].eqNullSafe(multiplier["of"]))
             .groupBy("of")
             .agg(
-                F.sum(F.col("size") * F.least(F.lit(cap), tilt)).alias("got"),
-                F.sum(F.when(tilt < cap, F.col("size") * F.col("x") * tilt).otherwise(0.0)).alias("slope"),
+                F.sum(weight * F.least(F.lit(cap), tilt)).alias("got"),
+                F.sum(F.when(tilt < cap, weight * F.col("x") * tilt).otherwise(0.0)).alias("slope"),
             )
         )
-        joined = state.join(sums, state["source"].eqNullSafe(sums["of"]), "left")
-        gap = F.col("target") - F.col("got")
-        step = F.when(F.col("slope") > 0, gap / F.col("slope")).otherwise(F.signum(gap))
-        state = materialise(
-            joined.select(
+        gap, lam = F.col("target") - F.col("got"), F.col("lam")
+        low, high = F.when(gap > 0, lam).otherwise(F.col("low")), F.when(gap < 0, lam).otherwise(F.col("high"))
+        reach = F.greatest(F.lit(2.0), F.abs(lam))
+        step = F.when(F.col("slope") > 0, gap / F.col("slope")).otherwise(F.signum(gap) * reach)
+        newton = lam + F.greatest(-reach, F.least(reach, step))
+        outside = F.coalesce(newton <= low, F.lit(False)) | F.coalesce(newton >= high, F.lit(False))
+        moved = F.when(outside, F.coalesce((low + high) / 2, newton)).otherwise(newton)
+        done = ~F.col("open") | (F.abs(gap) <= TOLERANCE * F.col("target"))
+        last, state = state, materialise(
+            state.join(sums, state["source"].eqNullSafe(sums["of"]), "left").select(
                 "source",
                 "source_size",
                 "target",
-                # A step of more than 2 would leave the region where the dual is near its parabola.
-                F.when(F.col("open"), F.col("lam") + F.greatest(F.lit(-2.0), F.least(F.lit(2.0), step)))
-                .otherwise(F.col("lam"))
-                .alias("lam"),
-                (F.col("open") & (F.abs(gap) > TOLERANCE * F.col("target"))).alias("open"),
+                F.when(done, lam).otherwise(moved).alias("lam"),
+                low.alias("low"),
+                high.alias("high"),
+                (~done).alias("open"),
             ),
             "dual",
         )
-    return state.drop("open")
+        discard(last)
+    # Sums of doubles depend on their order in the last digits; copies must not.
+    steady = F.when(F.abs("lam") < float("inf"), F.format_string("%.10e", "lam").cast("double")).otherwise(F.col("lam"))
+    return state.select("source", "source_size", "target", steady.alias("lam"))
+
+
+def _rate(cap: float) -> Column:
+    """A row's rate from ``x`` and its source's ``lam``."""
+    tilted = F.round(F.least(F.lit(cap), F.exp(F.col("lam") * F.col("x"))), 9)
+    return F.when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(tilted)
 
 
-def _rounded(block: Column, cap: float) -> Column:
-    """Copies for a block of ``(size, row, rate)``, largest sizes first.
+def _class() -> Column:
+    """Documents of sizes from 2^c to 2^(c+1) - 1 are class c."""
+    return F.length(F.bin("size")) - 1
 
-    Each document gets the floor or the ceiling of its rate, whichever brings
-    the block's words nearer to those that the rates ask for so far.
+
+def _step(rate: Column) -> Column:
+    """Where a row stands: it is rounded up if this is under the edge of its source and class."""
+    # 52 bits of a hash, as a number from 0 to 1.
+    point = F.shiftrightunsigned(F.xxhash64("doc_id", "size", "place"), 12) / float(1 << 52)
+    return F.floor((point - (rate - F.floor(rate))) * STEPS).cast("int")
+
+
+def _edges(rows: DataFrame, cap: float) -> DataFrame:
+    """``source, edges``: the step under which each class (a map) rounds up.
+
+    ``rows`` has ``source, size, x, lam, doc_id, place``. From the class of the
+    largest documents down, the edge is put where the words rounded up come
+    nearest to what the fractions of the rates ask for, the rest of the larger
+    classes included. A source gathers at most 2 x STEPS steps for each class.
     """
-    zero = F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<struct<row:bigint,copies:bigint>>").alias("out"))
-
-    def take(acc: Column, doc: Column) -> Column:
-        size = doc["size"].cast("double")
-        low = F.floor(doc["rate"])
-        owed = acc["owed"] + doc["rate"] * size
-        more = (owed - low * size >= size / 2) & (low < F.ceil(doc["rate"])) & (low < F.lit(cap))
-        return let(
-            low + more.cast("long"),
-            lambda n: F.struct(
-                (owed - n * size).alias("owed"),
-                F.concat(acc["out"], F.array(F.struct(doc["row"].alias("row"), n.alias("copies")))).alias("out"),
-            ),
+    part = F.col("rate") - F.floor("rate")
+    open_rows = rows.withColumn("rate", _rate(cap)).withColumn("part", part).where("part > 0 AND size > 0")
+    stepped = open_rows.groupBy("source", _class().alias("class"), _step(F.col("rate")).alias("step")).agg(
+        F.sum("size").alias("words"), F.sum(F.col("part") * F.col("size")).alias("asked")
+    )
+    upward = Window.partitionBy("source", "class").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = stepped.withColumn("words", F.sum("words").over(upward))
+    by_class = summed.groupBy("source", "class").agg(
+        F.sum("asked").alias("asked"), F.sort_array(F.collect_list(F.struct("step", "words"))).alias("steps")
+    )
+    by_source = by_class.groupBy("source").agg(
+        F.sort_array(F.collect_list(F.struct("class", "asked", "steps")), asc=False).alias("classes")
+    )
+    none = F.array().cast("array<struct<class:int,edge:int>>")
+
+    def settle(acc: Column, c: Column) -> Column:
+        def nearest(owed: Column) -> Column:
+            under = F.filter(c["steps"], lambda s: s["words"] <= owed)
+            over = F.get(c["steps"], F.size(under))
+            last = F.coalesce(F.get(under, F.size(under) - 1)["words"], F.lit(0)).cast("double")
+            more = F.coalesce(over["words"] - owed < owed - last, F.lit(False))
+            # The edge lies right above the last step that is in: steps between have no rows.
+            edge = F.when(more, over["step"] + 1).otherwise(F.coalesce(F.get(under, F.size(under) - 1)["step"] + 1, F.lit(-STEPS)))
+            got = F.when(more, over["words"].cast("double")).otherwise(last)
+            return F.struct(
+                (owed - got).alias("owed"),
+                F.concat(acc["edges"], F.array(F.struct(c["class"].alias("class"), edge.cast("int").alias("edge")))).alias("edges"),
+            )
+
+        return let(F.round(acc["owed"] + c["asked"], 3), nearest)
+
+    edges = F.aggregate("classes", F.struct(F.lit(0.0).alias("owed"), none.alias("edges")), settle, lambda acc: acc["edges"])
+    return by_source.select("source", F.map_from_entries(edges).alias("edges"))
+
+
+class Mix:
+    """What each row of ``docs`` takes, as a rule that needs a row's own columns and its source's."""
+
+    def __init__(
+        self,
+        docs: DataFrame,
+        text: str,
+        id_col: str,
+        source: str,
+        weights: tuple[float, ...] = WEIGHTS,
+        cap: float = CAP,
+        x: Column | None = None,
+    ) -> None:
+        self.cap = cap
+        self._columns = [
+            F.col(id_col).alias("doc_id"),
+            F.col(source).cast("string").alias("source"),
+            token_count(F.col(text)).alias("size"),
+            (F.lit(None) if x is None else x).cast("double").alias("given"),
+            F.monotonically_increasing_id().alias("row"),
+        ]
+        self.sized = materialise(docs.select(*self._columns), "sizes")
+        self.alike = materialise(
+            self.sized.groupBy("doc_id", "size").agg(F.count("*").alias("n")).where(F.col("n") > ALIKE).drop("n"), "alike"
         )
+        self._n_alike = self.alike.count()
+        means = self.sized.where("size > 0").groupBy(F.col("source").alias("of")).agg(F.avg("size").alias("mean"))
+        targets = source_targets(self.sized.select("source", "size"), weights, cap)
+        targets = targets.join(means, targets["source"].eqNullSafe(means["of"]), "left").drop("of")
+        targets = materialise(targets, "targets")
+        counted = self.sized.where("size > 0").groupBy("source", "size", "given").agg(F.count("*").alias("n"))
+        levels = counted.join(targets.select(F.col("source").alias("of"), "mean"), F.col("source").eqNullSafe(F.col("of")))
+        levels = materialise(levels.select("source", "size", _tilt().alias("x"), "n"), "levels")
+        dual = solve(levels, targets, cap)
+        of_mean = targets.select(F.col("source").alias("of"), "mean")
+        dual = dual.join(of_mean, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+        dual = materialise(dual, "multipliers")
+        self._sources = dual.count()
+        edges = _edges(self._placed(self.sized, dual), cap).withColumnRenamed("source", "of")
+        self.params = materialise(dual.join(edges, F.col("source").eqNullSafe(F.col("of")), "left").drop("of"), "mix")
+
+    def _placed(self, rows: DataFrame, params: DataFrame) -> DataFrame:
+        """``rows`` with ``place``, ``x`` and the columns of their source."""
+        place = F.lit(0).cast("long")
+        if self._n_alike:
+            alike = self.alike.toDF("a_id", "a_size").withColumn("many", F.lit(True))
+            alike = F.broadcast(alike) if self._n_alike <= MAX_BROADCAST else alike
+            rows = rows.join(alike, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("size") == F.col("a_size")), "left")
+            place = F.when(F.col("many"), F.col("row")).otherwise(place)
+        params = params.withColumnRenamed("source", "of")
+        params = F.broadcast(params) if self._sources <= MAX_SOURCES else params
+        joined = rows.withColumn("place", place).join(params, F.col("source").eqNullSafe(F.col("of")))
+        return joined.withColumn("x", _tilt())
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        """``rows``, which have the columns of ``sized``, with ``rate`` and ``copies``."""
+        rated = self._placed(rows, self.params).withColumn("rate", _rate(self.cap))
+        up = (F.col("rate") > F.floor("rate")) & (_step(F.col("rate")) < F.element_at("edges", _class()))
+        copies = F.floor("rate") + F.coalesce(up, F.lit(False)).cast("long")
+        return rated.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(1).cast("long"))
+
+    def taken_from(self, docs: DataFrame) -> DataFrame:
+        rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), *self._columns)
+        taken = self.of(rows).where("copies > 0")
+        return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
+
 
-    return F.aggregate(block, zero, take, lambda acc: acc["out"])
+def _tilt() -> Column:
+    """The column given to tilt along, else the size over the mean size of the source."""
+    return F.coalesce(F.col("given"), F.col("size") / F.col("mean"))
 
 
 def mix(
@@ -153,84 +286,23 @@ def mix(
     target, rate, copies, taken``. A null text has no words and an empty one
     none either; such documents meet no constraint and are taken once. Rows
     that repeat an id count one by one; a null source is a source of its own.
-    Ties are broken by id, then by a hash of source and size, so reruns agree.
-    No other column is read.
+    Which documents are rounded up follows from a hash of id and size, whatever
+    the partitions, so reruns agree; rows that share both more than ``ALIKE``
+    times are told apart by their place in the input, so for them the same files
+    and split sizes give the same rows. Empty tables give empty results; no
+    other column is read.
     """
-    copied = _copied(docs, F.monotonically_increasing_id(), text, id_col, source, weights, cap, x)
-    copies = F.col("copies")
-    return copied.select(
-        "doc_id", "size", "source_size", "target", "rate", copies, (copies * F.col("size")).alias("taken")
+    made = Mix(docs, text, id_col, source, weights, cap, x)
+    return made.of(made.sized).select(
+        "doc_id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
-def _copied(
-    docs: DataFrame,
-    row: Column,
-    text: str,
-    id_col: str,
-    source: str,
-    weights: tuple[float, ...] = WEIGHTS,
-    cap: float = CAP,
-    x: Column | None = None,
-) -> DataFrame:
-    """``row, doc_id, size, source_size, target, rate, copies`` for each row of ``docs``; ``row`` differs in each."""
-    sized = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source).cast("string").alias("source"),
-        token_count(F.col(text)).alias("size"),
-        (F.lit(1.0) if x is None else x.cast("double")).alias("x"),
-        row.alias("row"),
-    )
-    sized = materialise(sized, "sizes")
-    dual = solve(sized.select("source", "size", "x"), source_targets(sized.select("source", "size"), weights, cap), cap)
-    dual = dual.withColumnRenamed("source", "of")
-    rate = F.when(F.col("lam").isNull(), F.lit(cap)).otherwise(F.least(F.lit(cap), F.exp(F.col("lam") * F.col("x"))))
-    # Sums of doubles depend on their order in the last digits; copies must not.
-    rate = F.round(rate, 9)
-    rated = sized.join(dual, sized["source"].eqNullSafe(dual["of"])).withColumn("rate", rate)
-    rated = materialise(rated.drop("of", "lam", "x"), "rates")
-
-    # Blocks of about BLOCK documents of one source: a hash of the id deals them out, so that
-    # a source with a third of all rows becomes as many small groups as it needs.
-    per_source = rated.groupBy("source").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    per_source = per_source.withColumnRenamed("source", "of")
-    blocked = (
-        rated.where("size > 0")
-        .join(per_source, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("block", F.pmod(F.xxhash64("doc_id", "size"), F.col("blocks")))
-    )
-    repeats = blocked.groupBy("source", "block").agg(F.count("*").alias("in_block"))
-    repeats = repeats.where(F.col("in_block") > 8 * BLOCK).select(
-        F.col("source").alias("of"), F.col("block").alias("hot"), F.ceil(F.col("in_block") / F.lit(BLOCK)).alias("parts")
-    )
-    blocked = blocked.drop("of").join(
-        repeats, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("hot")), "left"
-    )
-    # Rows that repeat an id and a size share a block however many there are: a hash of the row
-    # splits it into parts of about BLOCK rows, each within a fraction of a document.
-    part = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("row"), F.col("parts"))).otherwise(F.lit(-1))
-    order = F.struct((-F.col("size")).alias("key"), "doc_id", F.xxhash64("source", "size").alias("tie"), "row", "size", "rate")
-    rounded = (
-        blocked.groupBy("source", "block", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(order)).alias("docs"))
-        .select(F.explode(_rounded(F.col("docs"), cap)).alias("c"))
-        .select("c.*")
-    )
-    out = rated.join(rounded, "row", "left")
-    copies = F.coalesce(F.col("copies"), F.lit(1)).cast("long")
-    return out.select("row", "doc_id", "size", "source_size", "target", "rate", copies.alias("copies"))
-
-
 def take_mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str = "source") -> DataFrame:
     """``docs`` with each row repeated as often as :func:`mix` takes it (never: it goes).
 
-    Copies go by row, so rows that share an id, or have none, each get their own.
+    Every row is judged where it lies, so no text is shuffled. Rows that share
+    an id, or have none, each get their own copies; rows without words stay
+    once; all columns are kept, whatever their names.
     """
-    row, of, often, copy = fresh(docs, "row", "of", "times", "copy")
-    # Written once, so that the rows' numbers are the same for the mix and for the join.
-    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    times = _copied(numbered, F.col(row), text, id_col, source).select(
-        F.col("row").alias(of), F.col("copies").cast("int").alias(often)
-    )
-    joined = numbered.join(times.where(F.col(often) > 0), F.col(row) == F.col(of))
-    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(often)))).select(*docs.columns)
+    return Mix(docs, text, id_col, source).taken_from(docs)

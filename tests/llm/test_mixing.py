@@ -1,3 +1,4 @@
+import math
 import re
 from collections import defaultdict
 
@@ -119,3 +120,53 @@ def test_copies_are_taken(spark):
     df = spark.read.parquet(str(DATA / "sf0.001" / "documents.parquet"))
     want = sorted(r["doc_id"] for r in mixing.mix(df).collect() for _ in range(r["copies"]))
     assert sorted(r["doc_id"] for r in mixing.take_mix(df).collect()) == want
+
+
+def brute_rates(sizes, target, cap=3.0):
+    """The multiplier of one source by bisection, and each document's rate."""
+    mean = sum(sizes) / len(sizes)
+    low, high = -500.0, 500.0
+    for _ in range(200):
+        lam = (low + high) / 2
+        rates = [min(cap, math.exp(min(50.0, lam * n / mean))) for n in sizes]
+        low, high = (lam, high) if sum(r * n for r, n in zip(rates, sizes)) < target else (low, lam)
+    return rates
+
+
+def test_every_document_has_a_rate_of_its_own(spark):
+    """Rates are the dual's solution by brute force, and differ within a source."""
+    sizes = {"a": [1, 2, 5, 9, 40, 7, 7, 300], "b": [10, 20, 30, 1000, 4, 4], "c": [50, 60, 1], None: [8, 9, 200, 31]}
+    rows = [(i, " ".join(["w"] * n), s, n) for i, (s, n) in enumerate((s, n) for s, all_ in sizes.items() for n in all_)]
+    df = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["rate"] for r in mixing.mix(df).collect()}
+    targets = brute_targets({s: sum(all_) for s, all_ in sizes.items()})
+    for s, all_ in sizes.items():
+        mine = [got[i] for i, _, t, _ in rows if t == s]
+        if targets[s] < 3 * sum(all_) * (1 - 1e-9):
+            assert mine == pytest.approx(brute_rates(all_, targets[s]), rel=1e-5, abs=1e-8)
+            assert len({round(r, 6) for r in mine}) == len(set(all_)) or max(mine) == 3
+        else:
+            assert set(mine) == {3.0}
+
+
+def test_rates_differ_within_the_sources_of_a_table(spark):
+    rows = mixing.mix(spark.read.parquet(str(DATA / "sf0.01" / "documents.parquet"))).where("size > 0").collect()
+    by_source = defaultdict(lambda: defaultdict(set))
+    for r in rows:
+        by_source[r["source_size"]][r["size"]].add(r["rate"])
+    assert all(len(rates) == 1 for levels in by_source.values() for rates in levels.values())
+    open_sources = [r for r in rows if r["target"] < 3 * r["source_size"] * (1 - 1e-9)]
+    assert open_sources and all(len(by_source[r["source_size"]]) < 3 or len(set().union(*by_source[r["source_size"]].values())) > 1 for r in open_sources)
+
+
+def test_repeated_ids_meet_the_target_when_taken(spark):
+    """A third of all rows share an id but not a text, another third have no id."""
+    df = spark.range(6000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN id END AS doc_id",
+        "concat_ws(' ', array_repeat('w', CAST(1 + id % 11 AS INT))) AS text",
+        "CAST(id % 4 AS STRING) AS source",
+    )
+    sizes = {r["source"]: r["n"] for r in df.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    kept = mixing.take_mix(df).groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()
+    want = brute_targets(sizes)
+    assert all(abs(r["n"] - want[r["source"]]) <= 0.01 * want[r["source"]] + 3 for r in kept) and len(kept) == 4
