@@ -1,7 +1,9 @@
 """A corpus pipeline: five stages over ``documents``, each writing what the next one reads.
 
 ``STAGES`` lists them in order. Each takes ``(spark, docs, sf_dir)`` and returns
-a DataFrame; all but the last return the columns of ``documents``.
+a DataFrame; all but the last return the columns of ``documents``. Null ids,
+empty texts, repeated rows and extra columns go through every stage as the
+operators' docstrings say; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -13,22 +15,30 @@ from talus.llm.common import materialise, read
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the list learned from ``labels``; see :func:`quality.keep_good`."""
     return quality.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text, A-Z lower-cased: that with the largest id; see :func:`exact_dedup.drop_copies`."""
     return exact_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, five-word similarity 0.8 or more: that with the smallest id.
+
+    Null ids stay; see :func:`simhash.drop_near_copies`.
+    """
     return simhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target asks for, from none to three times; see :func:`mixing.take_mix`."""
     return mixing.take_mix(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document in sequences of 2,048 tokens; see :func:`packing.packed`."""
     return packing.packed(docs)
 
 
