@@ -6,15 +6,16 @@ frequency over all documents, rarest first. A block that contains a template
 must share one of the template's first ``|T| - needed + 1`` words (prefix
 filter), hold enough words at all (length filter), and after the first shared
 word have enough words left on both sides (positional filter); those that pass
-are counted out. Blocks are windows of twice a template's words, every
-template's words apart, counted once each, so each run of that many words lies
-within one. A notice that repeats words is longer and may lie within none.
+are counted out. Blocks are windows that start every ``n`` words and are 2 1/4 ``n``
+long, ``n`` being the template's words with repeats: every notice, also one with
+a quarter of its words added, lies within one, wherever it stands.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -81,20 +82,25 @@ class Template:
     label: str
     tokens: tuple[int, ...]  # ranks, rarest first
     needed: int
+    words: int  # with repeats
+
+    @property
+    def window(self) -> int:
+        return 2 * self.words + self.words // 4
 
 
 class TemplateIndex:
     """Templates over one global order of words, with an inverted index of their prefixes."""
 
     def __init__(self, templates: Iterable[tuple[str, str]], frequency: dict[bytes, int], threshold: float = THRESHOLD):
-        sets = [(label, set(words(text))) for label, text in templates]
-        order = sorted(set().union(*(s for _, s in sets)), key=lambda w: (frequency.get(w, 0), w))
+        lists = [(label, words(text)) for label, text in templates]
+        order = sorted(set().union(*(found for _, found in lists)), key=lambda w: (frequency.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(order)}
-        self.templates = [
-            Template(label, tuple(sorted(self.rank[w] for w in s)), max(1, math.ceil(threshold * len(s) - 1e-9)))
-            for label, s in sets
-            if s
-        ]
+        self.templates = []
+        for label, found in lists:
+            if tokens := tuple(sorted(self.rank[w] for w in set(found))):
+                needed = max(1, math.ceil(threshold * len(tokens) - 1e-9))
+                self.templates.append(Template(label, tokens, needed, len(found)))
         self.prefix: dict[int, list[tuple[int, int]]] = {}
         for t, template in enumerate(self.templates):
             for i, token in enumerate(template.tokens[: len(template.tokens) - template.needed + 1]):
@@ -104,11 +110,12 @@ class TemplateIndex:
         """``(label, first word, words, containment)`` of every block that contains a template."""
         rank = self.rank.get
         known = [(i, r) for i, w in enumerate(found) if (r := rank(w)) is not None]
+        at = [i for i, _ in known]
         out = []
         for t, first in sorted({window for i, r in known for window in self._windows(i, r)}):
             template = self.templates[t]
-            size = 2 * len(template.tokens)
-            block = sorted({r for i, r in known if first <= i < first + size})
+            size = template.window
+            block = sorted({r for _, r in known[bisect_left(at, first) : bisect_left(at, first + size)]})
             overlap = self._overlap(template, block)
             if overlap >= template.needed:
                 out.append((template.label, first, min(size, len(found) - first), overlap / len(template.tokens)))
@@ -117,11 +124,9 @@ class TemplateIndex:
     def _windows(self, i: int, token: int) -> Iterator[tuple[int, int]]:
         """The templates whose prefix has the token, each with the windows that hold place ``i``."""
         for t, _ in self.prefix.get(token, ()):
-            step = len(self.templates[t].tokens)
-            start = i // step * step
-            yield t, start
-            if start:
-                yield t, start - step
+            template = self.templates[t]
+            for start in range(i // template.words * template.words, max(-1, i - template.window), -template.words):
+                yield t, start
 
     def _overlap(self, template: Template, block: list[int]) -> int:
         """Shared words; 0 as soon as a filter rules the template out."""
@@ -147,10 +152,11 @@ def places(found: list[bytes], phrases: Iterable[tuple[str, str]] = PHRASES) ->
     out = []
     for phrase, label in phrases:
         needle = b" " + b" ".join(words(phrase)) + b" "
-        at = joined.find(needle)
+        at, before, nth = joined.find(needle), 0, 0
         while at >= 0:
-            out.append((joined.count(b" ", 0, at), label))
-            at = joined.find(needle, at + 1)
+            nth += joined.count(b" ", before, at)
+            out.append((nth, label))
+            before, at = at, joined.find(needle, at + 1)
     return sorted(out)
 
 

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -27,10 +28,10 @@ def brute_blocks(found, templates, threshold=licenses.THRESHOLD):
     out = []
     for label, text in templates:
         wanted = set(brute_words(text))
-        step = len(wanted)
+        step = len(brute_words(text))
         for start in range(0, len(found), step):
-            block = found[start : start + 2 * step]
-            share = len(wanted & set(block)) / step
+            block = found[start : start + 2 * step + step // 4]
+            share = len(wanted & set(block)) / len(wanted)
             if share >= threshold - 1e-12:
                 out.append((label, start, len(block), pytest.approx(share)))
     return out
@@ -93,6 +94,40 @@ def test_filters_lose_nothing(templates, found, frequency, threshold):
     assert sorted(map(key, got)) == sorted(map(key, want))
 
 
+@pytest.mark.parametrize("added", [0, 1])
+def test_notices_are_found_at_every_offset(added):
+    """Whole, and with a sixth of their words replaced and a quarter of others put between."""
+    index = licenses.TemplateIndex(licenses.TEMPLATES, {})
+    for label, text in licenses.TEMPLATES:
+        notice = brute_words(text)
+        if added:
+            distinct = list(dict.fromkeys(notice))
+            gone = set(distinct[:: len(distinct)] if len(distinct) < 6 else distinct[1::6])
+            notice = [f"x{i}" if w in gone else w for i, w in enumerate(notice)]
+            for i in range(len(notice) // 4):
+                notice.insert(4 * i + 2, f"y{i}")
+            if len(set(distinct) & set(notice)) < 0.8 * len(distinct):
+                continue
+        for offset in range(2 * len(notice) + 1):
+            found = [f"f{i}" for i in range(offset)] + notice + ["g"] * 9
+            blocks = index.blocks([w.encode() for w in found])
+            assert any(b[0] == label and (added or b[3] == 1.0) for b in blocks), (label, offset)
+
+
+def test_a_very_long_text_of_notices_takes_seconds():
+    """Half a million words, almost all of them template words: time in proportion, blocks as by brute force."""
+    mit = brute_words(licenses.TEMPLATES[1][1])
+    index = licenses.TemplateIndex(licenses.TEMPLATES, {})
+    text = f"{licenses.TEMPLATES[1][1]} all rights reserved general public license cc by " * 9_300
+    began = time.process_time()
+    found = licenses.words(text)
+    blocks, base = index.blocks(found), licenses.places(found)
+    assert time.process_time() - began < 60 and len(found) > 500_000
+    assert len(base) == 3 * 9_300 and [p for p, label in base if label == "reserved"] == [len(mit) + i * (len(mit) + 8) for i in range(9_300)]
+    want = {(label, start, size): share.expected for label, start, size, share in brute_blocks([w.decode() for w in found], licenses.TEMPLATES)}
+    assert {b[:3]: b[3] for b in blocks} == pytest.approx(want)
+
+
 def test_overlapping_places():
     found = [b"cc", b"by", b"cc", b"by", b"all", b"rights", b"reserved", b"all", b"rights", b"reserved"]
     assert licenses.places(found) == [(0, "cc-by"), (2, "cc-by"), (4, "reserved"), (7, "reserved")]
