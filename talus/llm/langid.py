@@ -10,7 +10,9 @@ positives, and the highest decides.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,8 +26,10 @@ from .common import fold, materialise
 
 #: Character n-grams, over lower-cased letters with each other run as one space.
 GRAMS = (2, 3, 4)
-#: Slots (a power of two), and slots of each n-gram.
-SLOTS = 1 << 20
+#: Slots of a table for each n-gram that it holds, rounded up to a power of two within these bounds;
+#: the upper one is 32 MB for up to 64 languages. Slots that each n-gram takes.
+SLOTS_PER_GRAM = 16
+MIN_SLOTS, MAX_SLOTS = 1 << 12, 1 << 22
 HASHES = 2
 #: Documents of the training sample, at most.
 SAMPLE = 12_000
@@ -37,11 +41,21 @@ BLOCK = 1 << 18
 
 UNDETERMINED = "und"
 
-_OTHER = re.compile(r"[\W\d_]+")
+
+@cache
+def _other() -> re.Pattern:
+    """Runs of anything but letters and the marks that stand on them."""
+    marks = "".join(chr(c) for c in range(0x300, 0x1E900) if unicodedata.category(chr(c))[0] == "M")
+    numbers = "".join(chr(c) for c in range(0xB2, 0x1FC00) if unicodedata.category(chr(c)) in ("No", "Nl"))
+    return re.compile(rf"(?:[^\w{re.escape(marks)}]|[\d_{re.escape(numbers)}])+")
 
 
 def _plain(text: str) -> str:
-    return f" {_OTHER.sub(' ', text.lower()).strip()} "
+    return f" {_other().sub(' ', text.lower()).strip()} "
+
+
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
 
 
 def grams(text: str) -> Iterator[np.ndarray]:
@@ -66,15 +80,20 @@ def grams(text: str) -> Iterator[np.ndarray]:
 
 def _slots(hashes: np.ndarray, k: int, slots: int) -> np.ndarray:
     """The ``k``-th slot of each hash, from bits of its own."""
-    return (hashes >> np.uint64(k * 21)) & np.uint64(slots - 1)
+    return (hashes >> np.uint64(k * 32)) & np.uint64(slots - 1)
+
+
+def slots_for(n_grams: int) -> int:
+    """A table size, a power of two, for so many n-grams."""
+    return min(MAX_SLOTS, max(MIN_SLOTS, 1 << (max(1, n_grams * SLOTS_PER_GRAM) - 1).bit_length()))
 
 
 class LanguageFilters:
     """Bit-sliced Bloom filters: ``masks[word, slot]`` has a bit for each of up to 64 languages a word."""
 
-    def __init__(self, languages: list[str], slots: int = SLOTS) -> None:
-        if slots & (slots - 1) or slots > 1 << 21:
-            raise ValueError("slots must be a power of two, 2^21 at most")
+    def __init__(self, languages: list[str], slots: int = MIN_SLOTS) -> None:
+        if slots & (slots - 1) or slots > 1 << 32:
+            raise ValueError("slots must be a power of two, 2^32 at most")
         self.languages = languages
         self.slots = slots
         self.masks = np.zeros((max(1, -(-len(languages) // 64)), slots), dtype=np.uint64)
@@ -106,9 +125,9 @@ class LanguageFilters:
         A text that is null or has no letter is undetermined. Ties, and texts
         with no known n-gram (score 0), go to the language first in the list.
         """
-        plain = _plain(text or "")
-        if not self.languages or plain.isspace():
+        if not self.languages or not has_letter(text):
             return UNDETERMINED, 0.0
+        plain = _plain(text)
         counts, total = np.zeros(len(self.languages)), 0
         for hashes in grams(plain):
             total += len(hashes)
@@ -122,11 +141,22 @@ class LanguageFilters:
 
 
 def _sample(docs: DataFrame, text: str, lang: str, id_col: str, train: Column, size: int) -> DataFrame:
-    """At most ``size`` training rows, the same in every run: those with the least hashes of their ids."""
-    rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    least = rows.select(F.xxhash64(id_col).alias("h")).orderBy("h").limit(size).agg(F.max("h").alias("h"), F.count("*").alias("n")).first()
-    picked = rows.where(F.xxhash64(id_col) <= F.lit(least["h"])) if least["n"] else rows.where("false")
-    return picked.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    """At most ``size`` training rows, the same in every run: those with the least hashes.
+
+    Rows with one hash are equal in id, text and language, so any of them will do.
+    """
+    rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"),
+        F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.col(id_col), F.col(text).cast("string"), F.col(lang).cast("string")).alias("h"),
+    )
+    least = materialise(rows.select("h").orderBy("h").limit(size), "least")
+    last = least.agg(F.max("h").alias("h")).first()["h"]
+    if last is None:
+        return rows.where("false").drop("h")
+    at_last = least.where(F.col("h") == last).count()
+    picked = rows.where(F.col("h") < last).unionByName(rows.where(F.col("h") == last).limit(at_last))
+    return picked.drop("h")
 
 
 def fit(
@@ -141,7 +171,8 @@ def fit(
 
     N-grams are counted by language, and kept by their part of all n-grams of
     the language. Languages are listed by the number of sampled documents, then
-    by name.
+    by name. Tables have slots for the n-grams kept, up to ``MAX_SLOTS``; fuller
+    ones have more false positives, which the counts are corrected for.
     """
     picked = _sample(docs, text, lang, id_col, F.lit(True) if train is None else train, sample)
 
@@ -164,23 +195,27 @@ def fit(
                 )
 
     sizes = {r["lang"]: r["n"] for r in picked.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    filters = LanguageFilters(sorted(sizes, key=lambda name: (-sizes[name], name)))
+    languages = sorted(sizes, key=lambda name: (-sizes[name], name))
     if not sizes:
-        return filters
+        return LanguageFilters([])
     counted = with_package(picked).mapInArrow(count, "lang string, gram long, docs long, n long")
     counts = materialise(
         counted.groupBy("lang", "gram").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "grams"
     )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()
     total = F.element_at(F.create_map(*(F.lit(x) for r in totals for x in (r["lang"], r["total"]))), F.col("lang"))
-    place = F.element_at(F.create_map(*(F.lit(x) for i, name in enumerate(filters.languages) for x in (name, i))), F.col("lang"))
+    place = F.element_at(F.create_map(*(F.lit(x) for i, name in enumerate(languages) for x in (name, i))), F.col("lang"))
     shares = counts.select("gram", place.alias("place"), "docs", (F.col("n") / total).alias("share"))
     most = shares.groupBy("gram").agg(F.max("share").alias("most"))
     kept = shares.join(most, "gram").where((F.col("docs") >= LEAST_DOCS) & (F.col("share") >= LEAST_SHARE * F.col("most")))
-    # The sample bounds these; a filter of SLOTS slots is full long before they fill the driver.
-    found = kept.select("gram", "place").toPandas()
-    for i, own in found.groupby("place")["gram"]:
-        filters.add(int(i), own.to_numpy(np.int64).view(np.uint64))
+    kept = materialise(kept.select("gram", "place"), "kept")
+    filters = LanguageFilters(languages, slots_for(kept.select("gram").distinct().count()))
+    # Folded into masks by slot, so that the driver gets a row for each slot at most, however long the texts.
+    slots = F.array(*(F.shiftrightunsigned("gram", 32 * k).bitwiseAND(F.lit(filters.slots - 1)) for k in range(HASHES)))
+    bit = kept.select(F.explode(slots).alias("slot"), F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, place & 63)").alias("bit"))
+    for word in range(len(filters.masks)):
+        found = bit.where(F.col("word") == word).groupBy("slot").agg(F.bit_or("bit").alias("mask")).toPandas()
+        filters.masks[word, found["slot"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
     return filters.seal()
 
 

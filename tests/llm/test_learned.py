@@ -1,5 +1,10 @@
 """Language identification and toxicity: held-out accuracy, the parts they are made of, and awkward rows."""
 
+import math
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from hypothesis import given
@@ -24,8 +29,6 @@ def labels(spark):
 
 
 def test_fold_is_crc32_of_the_id_text(spark):
-    import zlib
-
     rows = spark.range(50).select("id", fold(F.col("id")).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 4 for r in rows)
 
@@ -49,6 +52,73 @@ def test_language_of_awkward_rows(spark):
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
 
 
+@pytest.mark.parametrize("text", [None, "", " \t", "½ ²", "①②", "Ⅷ ⅻ", "12 345", "_ _", "\u0301", "٣ ৪", "!? 😀"])
+def test_without_a_letter_no_language_is_determined(text):
+    filters = langid.LanguageFilters(["a", "b"])
+    filters.add(0, grams("½ ² ①② Ⅷ"))
+    assert filters.seal().decide(text) == ("und", 0.0)
+
+
+def test_marks_belong_to_words_and_numbers_do_not():
+    assert langid._plain("हिन्दी में 12") == " हिन्दी में "
+    assert langid._plain("x²y Ⅷz_q") == " x y z q "
+
+
+def brute_languages(rows):
+    """Sets of n-grams as text: those of two documents or more, as frequent as in any language but for a quarter."""
+    of_docs, total, many = {}, {}, {}
+    for lang, text in rows:
+        plain = langid._plain(text)
+        every = [plain[i : i + n] for n in langid.GRAMS for i in range(len(plain) - n + 1)]
+        of_docs.setdefault(lang, Counter()).update(set(every))
+        total.setdefault(lang, Counter()).update(every)
+        many[lang] = many.get(lang, 0) + 1
+    size = {lang: sum(c.values()) for lang, c in total.items()}
+    order = sorted(many, key=lambda x: (-many[x], x))
+
+    def kept(lang, gram):
+        share = total[lang][gram] / size[lang]
+        return of_docs[lang][gram] >= langid.LEAST_DOCS and share >= langid.LEAST_SHARE * max(total[x][gram] / size[x] for x in order)
+
+    sets = {lang: {g for g in total[lang] if kept(lang, g)} for lang in order}
+
+    def decide(text):
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        plain = langid._plain(text)
+        every = [plain[i : i + n] for n in langid.GRAMS for i in range(len(plain) - n + 1)]
+        counts = [sum(g in sets[lang] for g in every) for lang in order]
+        best = max(range(len(order)), key=lambda i: (counts[i], -i))
+        return order[best], counts[best] / sum(counts) if counts[best] else 0.0
+
+    return decide
+
+
+def test_decisions_against_plain_sets(spark):
+    """The filters decide as sets of n-grams do, and their corrected scores are near."""
+    df = spark.read.parquet(str(DATA / "sf0.01" / "documents.parquet"))
+    rows = df.collect()
+    train = [(r["lang"], r["text"]) for r in rows if r["lang"] and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    decide = brute_languages(train)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(df).collect()}
+    for r in rows:
+        lang, share = decide(r["text"])
+        assert got[r["doc_id"]] == (lang, pytest.approx(share, abs=0.05))
+
+
+def test_a_sample_is_bounded_by_rows_not_ids(spark):
+    rows = [(1, "same words", "en")] * 50 + [(1, f"other words {i}", "de") for i in range(50)] + [(None, "no id", "fr")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for size in (1, 30, 70, 149, 500):
+        picked = langid._sample(df, "text", "lang", "doc_id", F.lit(True), size)
+        assert picked.count() == min(size, 150)
+
+
+def test_tables_grow_with_their_grams_up_to_a_bound():
+    assert langid.slots_for(0) == langid.MIN_SLOTS and langid.slots_for(10**9) == langid.MAX_SLOTS
+    assert 16 * 10**5 <= langid.slots_for(10**5) < 32 * 10**5
+
+
 def grams(text):
     return np.concatenate(list(langid.grams(langid._plain(text))))
 
@@ -100,6 +170,77 @@ def test_the_lexicon_does_not_depend_on_partitions(spark):
         assert toxicity._lexicon(df.repartition(parts)) == {"surely", "=sure", "=surel", "=surely"}
 
 
+def brute_features(text, lexicon):
+    """Word by word, without tables or arrays."""
+    text = text or ""
+    found = re.findall(r"[^\W_]+(?:[@$!|*_.\-][^\W_]+)*", text)
+    n, letters = max(1, len(found)), max(1, len(text))
+    signs = dict(zip("013457@$!|", "oieastasil"))
+
+    def look_up(word):
+        return word in lexicon, any("=" + word[:k] in lexicon for k in toxicity.STEMS if len(word) >= k)
+
+    whole, stems, you, odd, long_, masked = [], [], [], [], [], []
+    for i, word in enumerate(found):
+        low = plain = word.lower()
+        if low in toxicity.SECOND_PERSON:
+            you.append(i)
+        if any(c.isdecimal() or c in "@$!|*_.-" for c in low) and any(c.isalpha() for c in low):
+            odd.append(i)
+            plain = "".join(signs.get(c, c) for c in low if c not in "*_.-")
+        hit, used = look_up(plain), plain
+        if re.search(r"([^\W\d_])\1\1", low):
+            long_.append(i)
+            if not any(hit):
+                used = re.sub(r"([^\W\d_])\1{2,}", r"\1", plain)
+                hit = look_up(used)
+        whole += [i] * hit[0]
+        stems += [i] * hit[1]
+        if any(hit) and plain != low:
+            masked.append(i)
+    hits = sorted({*whole, *stems})
+    near = sum(any(abs(i - j) <= toxicity.NEAR for j in you) for i in hits)
+    bangs = sum(c in "!?" for c in text)
+    return [
+        len(whole) / n, len(stems) / n, min(50.0, len(whole)), min(50.0, len(stems)), near / n, len(you) / n,
+        sum("A" <= c <= "Z" for c in text) / letters, sum(w.isupper() for w in found) / n, bangs / n,
+        (bangs + sum(c in ".,;:\"'*#$%&" for c in text)) / n, len(odd) / n, len(long_) / n, min(50.0, len(masked)),
+    ]
+
+
+def brute_score(model, x):
+    """Each tree walked from its root, then the calibration's line between two knots."""
+    trees = model.trees
+    margin = trees.bias
+    for feature, cut, value in trees.forest:
+        node = 0
+        while node < len(feature):
+            f = feature[node]
+            node = 2 * node + 1 + (sum(e <= x[f] for e in trees.edges[f]) > cut[node])
+        margin += value[node]
+    at, y = model.knots
+    if margin <= at[0] or margin >= at[-1]:
+        level = y[0] if margin <= at[0] else y[-1]
+    else:
+        k = max(i for i in range(len(at)) if at[i] <= margin)
+        level = y[k] + (y[k + 1] - y[k]) * (margin - at[k]) / (at[k + 1] - at[k])
+    return min(1.0, max(0.0, 0.98 * level + 0.02 / (1 + math.exp(-margin))))
+
+
+def test_features_and_scores_against_brute_force(spark, docs, labels):
+    small = spark.read.parquet(str(DATA / "sf0.01" / "documents.parquet"))
+    model = toxicity.fit(docs, labels, train=fold(F.col("doc_id")) != 2)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(small, model).collect()}
+    extra = ["You 1D1OT!!", "dir dir dummmm", "a.b-c you", "x@y ... $$ 9.9 IDIOT_idiot", "٣ you", "", None]
+    of = toxicity.Featurizer(model.lexicon)
+    for text in [*extra, *sorted(model.lexicon)[:300:7]]:
+        assert of(text) == pytest.approx(brute_features(text, model.lexicon))
+    for r in small.collect():
+        x = brute_features(r["text"], model.lexicon)
+        assert of(r["text"]) == pytest.approx(x)
+        assert got[r["doc_id"]] == pytest.approx(brute_score(model, x), abs=1e-9)
+
+
 def test_toxicity_of_awkward_rows(spark):
     df = awkward(spark)
     schema = "doc_id long, toxic int, text string"
