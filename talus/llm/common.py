@@ -65,6 +65,11 @@ def discard(*tables: DataFrame) -> None:
             folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out over all shuffle partitions: for short rows that many others are made of."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` with ``value`` evaluated once, however often it is used."""
     return F.transform(F.array(value), body)[0]

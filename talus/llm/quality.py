@@ -26,6 +26,9 @@ MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 SYMBOLS = r"[#*$%&|<>]"
 
+#: The statistics that the base rules' contract names.
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
 #: What the learned conditions may test, from the statistics in ``s``.
 FEATURES = {
     "mean_word_chars": "s.word_chars / s.n_words",

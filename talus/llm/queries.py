@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import exact_dedup, langid, licenses, mixing, packing, quality, simhash, token_counts, toxicity, urls
 from .common import read
@@ -32,8 +33,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = urls.entries(spark, urls.RULES, "rules")
-    listed = urls.entries(spark, urls.LISTED, "listed")
-    return urls.judge(read(spark, sf_dir, "pages"), rules, listed).drop("listed")
+    return urls.judge(read(spark, sf_dir, "pages"), rules, urls.junk_hosts(spark)).drop("listed")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).drop("blocks")
 
 
+def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op1 measures and decides before it learns anything."""
+    s = quality.statistics(F.col("text"))
+    measured = read(spark, sf_dir, "documents").select("doc_id", s.alias("s"))
+    return measured.select("doc_id", *(f"s.{c}" for c in quality.BASE), quality.base_failed(F.col("s")).alias("base_failed"))
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3's mix is to take of each source."""
+    docs = read(spark, sf_dir, "documents")
+    return mixing.source_targets(docs.select("source", mixing.token_count(F.col("text")).alias("size")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -63,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_pack": op9_pack,
     "op10_licenses": op10_licenses,
+    "quality_statistics": quality_statistics,
+    "mix_targets": mix_targets,
 }
 
 
@@ -71,13 +86,66 @@ def _list(words) -> str:
 
 
 _PHRASES = ", ".join(f"({_list(licenses.words(p))}, '{label}')" for p, label in licenses.PHRASES)
-_TEMPLATES = ", ".join(f"({_list(sorted(set(licenses.words(t))))}, '{label}')" for label, t in licenses.TEMPLATES)
+_TEMPLATES = ", ".join(
+    f"({_list(sorted(set(licenses.words(t))))}, '{label}', {len(licenses.words(t))})" for label, t in licenses.TEMPLATES
+)
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_WORDS = [f"unnest([{', '.join(map(repr, words))}])" for words in (urls.FIRST_WORDS, urls.SECOND_WORDS, urls.DOMAINS)]
 _VALUES = [f"('{h}', '{p}', '{a}', 'rule')" for h, p, a in urls.RULES]
-_VALUES += [f"('{h}', '{p}', '{a}', 'listed')" for h, p, a in urls.LISTED]
+
+_SPLIT = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 ORACLE_SQL: dict[str, str] = {
+    "quality_statistics": f"""
+        WITH d AS (
+          SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t, {_SPLIT} AS w,
+                 list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+          FROM documents
+        ),
+        windows AS (
+          SELECT n, i, array_to_string(w[i:i + {quality.WINDOW - 1}], ' ') AS eight
+          FROM (SELECT n, w, unnest(generate_series(1, len(w) - {quality.WINDOW - 1})) AS i FROM d)
+        ),
+        repeated AS (SELECT n, i FROM windows QUALIFY count(*) OVER (PARTITION BY n, eight) > 1),
+        covered AS (
+          SELECT n, count(DISTINCT i + k) AS words FROM repeated, range(0, {quality.WINDOW}) r(k) GROUP BY n
+        ),
+        s AS (
+          SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                 length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                 len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(words, 0) AS n_repeat_words
+          FROM d LEFT JOIN covered USING (n)
+        )
+        SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed FROM s
+    """,
+    "mix_targets": f"""
+        WITH sizes AS (
+          SELECT source, CAST(sum(len({_SPLIT})) AS BIGINT) AS source_size FROM documents GROUP BY source
+        ),
+        weighed AS (
+          SELECT *, 3.0::DOUBLE * source_size AS ceiling,
+                 CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS weight
+          FROM sizes
+        ),
+        levels AS (
+          SELECT (SELECT sum(source_size) FROM weighed) AS total, a.ceiling / a.weight AS level FROM weighed a
+        ),
+        -- Shared out at a level: every source up to its ceiling. The mix's level is where that is all there is.
+        below AS (
+          SELECT max(level) AS level FROM levels
+          WHERE (SELECT sum(least(ceiling, levels.level * weight)) FROM weighed) <= total
+        ),
+        found AS (
+          SELECT coalesce((SELECT level FROM below), 0) AS low,
+                 (SELECT sum(source_size) FROM weighed) AS total
+        )
+        SELECT source, source_size,
+               CASE WHEN ceiling <= low * weight THEN ceiling
+                    ELSE (total - (SELECT coalesce(sum(ceiling), 0) FROM weighed WHERE ceiling <= low * weight))
+                         / (SELECT sum(weight) FROM weighed WHERE ceiling > low * weight) * weight END AS target
+        FROM weighed, found
+    """,
     "op4_exact_dedup": f"""
         WITH t AS (
           SELECT doc_id, {_LOWERED} AS norm
@@ -103,10 +171,21 @@ ORACLE_SQL: dict[str, str] = {
                  translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
           FROM u
         ),
-        r(r_host, r_path, action, kind) AS (VALUES {", ".join(_VALUES)}),
+        looked_up AS (
+          SELECT n, host, path, 'rule' AS kind FROM p
+          UNION ALL
+          SELECT n, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*\\z', ''), '\\.+\\z', ''), '/' || path, 'listed'
+          FROM p
+        ),
+        r(r_host, r_path, action, kind) AS (
+          VALUES {", ".join(_VALUES)}
+          UNION ALL
+          SELECT a || '-' || b || '.' || c, '/', 'block', 'listed'
+          FROM (SELECT {_WORDS[0]} AS a), (SELECT {_WORDS[1]} AS b), (SELECT {_WORDS[2]} AS c)
+        ),
         fit AS (
           SELECT n, kind, arg_max({{'rule': r_host || r_path, 'action': action}}, length(r_host || r_path) * 10000 + length(r_host)) AS best
-          FROM p JOIN r ON (host = r_host OR suffix(host, '.' || r_host)) AND starts_with(path, r_path)
+          FROM looked_up JOIN r USING (kind) WHERE (host = r_host OR suffix(host, '.' || r_host)) AND starts_with(path, r_path)
           GROUP BY n, kind
         )
         SELECT page_id, host, path, a.best.rule AS rule,
@@ -122,7 +201,7 @@ ORACLE_SQL: dict[str, str] = {
           FROM documents
         ),
         phrase(words, label) AS (VALUES {_PHRASES}),
-        template(words, label) AS (VALUES {_TEMPLATES}),
+        template(words, label, n_own) AS (VALUES {_TEMPLATES}),
         place AS (
           SELECT n, label, i - 1 AS word_at
           FROM (SELECT n, w, unnest(generate_series(1, len(w))) AS i FROM d), phrase
@@ -134,8 +213,8 @@ ORACLE_SQL: dict[str, str] = {
           FROM place GROUP BY n
         ),
         block AS (
-          SELECT n, label, len(list_filter(words, lambda x: list_contains(w[s + 1:s + 2 * len(words)], x))) / len(words) AS share
-          FROM (SELECT n, w, words, label, unnest(generate_series(0, len(w) - 1, len(words))) AS s FROM d, template)
+          SELECT n, label, len(list_filter(words, lambda x: list_contains(w[s + 1:s + 2 * n_own + n_own // 4], x))) / len(words) AS share
+          FROM (SELECT n, w, words, label, n_own, unnest(generate_series(0, len(w) - 1, n_own)) AS s FROM d, template)
         ),
         hit AS (SELECT n, label, share FROM block WHERE share >= {licenses.THRESHOLD} - 1e-12),
         both_labels AS (

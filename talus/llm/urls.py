@@ -5,7 +5,8 @@ blocked Bloom filter: each entry sets a few bits of one 512-bit block. A URL's
 candidates are its host and parent domains with every prefix of its path that
 is as long as some listed path; those that the filter lets through go to an
 exact hash join with the list, which removes the false positives. The longest
-entry that fits decides.
+entry that fits decides. Rules are held against a URL's host and path as they
+stand, the list against its canonical form.
 """
 
 from __future__ import annotations
@@ -15,16 +16,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fresh, let, materialise
+from .bloom import BlockedBloom
+from .common import ascii_lower, fresh, let, materialise, spread
 
-#: Bits of a block, bits that an entry sets in it, and bits for each entry.
-BLOCK_BITS = 512
-HASHES = 6
-BITS_PER_ENTRY = 12
-#: The filter never exceeds this: beyond it lets more through, and the join still decides.
-MAX_BLOCKS = 1 << 14
-
-#: Rules that the query is given, as (host, path, action), and hosts listed beside them.
+#: Rules that the query is given, as (host, path, action).
 RULES = (
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -32,12 +27,16 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-LISTED = (
-    ("cheap-pills.example.com", "/", "block"),
-    ("cheap-pills.example.net", "/", "block"),
-    ("spam-farm.example.com", "/", "block"),
-    ("spam-farm.example.net", "/", "block"),
-)
+#: The list beside them, by rule: each first word, a hyphen and a second word under each domain, with all its paths.
+FIRST_WORDS = (
+    "adult", "ads", "bet", "casino", "cash", "cheap", "click", "crypto", "dating", "easy", "fake", "fast", "free",
+    "hot", "loan", "lotto", "lucky", "poker", "porn", "quick", "slots", "spam", "viagra", "xxx",
+)
+SECOND_WORDS = (
+    "bets", "bonus", "cams", "cash", "clicks", "coins", "deals", "farm", "games", "girls", "jackpot", "loans",
+    "money", "pills", "poker", "prizes", "profit", "replica", "slots", "traffic", "track", "tube", "win", "x",
+)
+DOMAINS = ("example.com", "example.net", "example.org")
 
 
 def host(url: Column) -> Column:
@@ -50,56 +49,47 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def entries(spark: SparkSession, rows: Iterable[tuple[str, str, str]], listing: str) -> DataFrame:
-    """A list of ``(host, path, action)`` as the table that the filter takes."""
-    made = [(h.lower(), p, a, listing) for h, p, a in rows]
-    return spark.createDataFrame(made, "host string, path string, action string, listing string")
+def _unescaped(part: Column) -> Column:
+    """Percent escapes resolved, once; a part with broken ones stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B"))), part)
 
 
-def _key(host: Column, path: Column) -> Column:
-    return F.concat(host, F.lit(" "), path)
+def canonical_host(url: Column) -> Column:
+    """The host without user part, port, trailing dots and percent escapes, A-Z lower-cased."""
+    bare = F.regexp_replace(F.regexp_replace(host(url), r"(?s)^.*@", ""), r":[0-9]*\z", "")
+    return F.regexp_replace(ascii_lower(_unescaped(bare)), r"\.+\z", "")
 
 
-def _bits(key: Column) -> Column:
-    """The places in a block, of 9 bits each, that a key sets."""
-    return let(
-        F.xxhash64(key, F.lit(1)),
-        lambda h: F.array(*(F.shiftrightunsigned(h, 9 * i).bitwiseAND(F.lit(BLOCK_BITS - 1)).cast("int") for i in range(HASHES))),
-    )
+def canonical_path(url: Column) -> Column:
+    """The path without percent escapes, empty and ``.`` segments; ``/`` for an empty one."""
+    whole = F.regexp_replace(F.concat(F.lit("/"), _unescaped(path(url))), r"(?:/\.?)+(?=/)", "")
+    return F.regexp_replace(whole, r"/\.\z", "/")
 
 
-class BlockedBloom:
-    """A filter of ``blocks`` x 512 bits, built by an aggregate and held as one literal array."""
+def entries(spark: SparkSession, rows: Iterable[tuple[str, str, str]], listing: str) -> DataFrame:
+    """A short list of ``(host, path, action)`` as the table that the filter takes."""
+    names = ("host", "path", "action", "listing")
+    made = [F.struct(*(F.lit(v).alias(n) for v, n in zip((h.lower(), p, a, listing), names))) for h, p, a in rows]
+    kind = f"array<struct<{','.join(f'{n}:string' for n in names)}>>"
+    return spark.range(1).select(F.inline(F.array(*made).cast(kind)))
+
+
+def junk_hosts(
+    spark: SparkSession,
+    first: Iterable[str] = FIRST_WORDS,
+    second: Iterable[str] = SECOND_WORDS,
+    domains: Iterable[str] = DOMAINS,
+) -> DataFrame:
+    """The list of blocked hosts that the words make; any other table of ``host, path, action`` does as well."""
+    parts = spark.range(1)
+    for name, values in (("a", first), ("b", second), ("c", domains)):
+        parts = parts.withColumn(name, F.explode(F.array(*map(F.lit, values))))
+    named = F.concat_ws(".", F.concat_ws("-", "a", "b"), "c")
+    return parts.select(named.alias("host"), F.lit("/").alias("path"), F.lit("block").alias("action"), F.lit("listed").alias("listing"))
+
 
-    def __init__(self, keys: DataFrame) -> None:
-        """``keys`` has each entry's ``key``; any number of them."""
-        need = max(1, keys.count() * BITS_PER_ENTRY // BLOCK_BITS)
-        self.blocks = min(MAX_BLOCKS, 1 << (need - 1).bit_length())
-        words = self.blocks * (BLOCK_BITS // 64)
-        bit = keys.select(self._block(F.col("key")).alias("block"), F.explode(_bits(F.col("key"))).alias("bit"))
-        set_words = bit.groupBy((F.col("block") * (BLOCK_BITS // 64) + F.shiftright("bit", 6)).alias("word")).agg(
-            F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits")
-        )
-        array = [0] * words
-        for row in set_words.collect():  # MAX_BLOCKS * 8 rows at most
-            array[row["word"]] = row["bits"]
-        self._array = F.split(F.lit(",".join(map(str, array))), ",").cast("array<bigint>")
-
-    def _block(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.blocks))
-
-    def may_contain(self, key: Column) -> Column:
-        base = self._block(key) * (BLOCK_BITS // 64)
-        return let(
-            F.struct(base.alias("base"), _bits(key).alias("bits")),
-            lambda k: F.forall(
-                k["bits"],
-                lambda b: F.getbit(
-                    F.get(self._array, (k["base"] + F.shiftright(b, 6)).cast("int")), b.bitwiseAND(F.lit(63))
-                )
-                == 1,
-            ),
-        )
+def _key(host: Column, path: Column) -> Column:
+    return F.concat(host, F.lit(" "), path)
 
 
 def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
@@ -118,10 +108,10 @@ def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
 def matches(urls: DataFrame, listed: DataFrame) -> DataFrame:
     """``url, host, path, action`` of the longest listed entry that fits, for urls that one fits.
 
-    ``urls`` has distinct ``url``; ``listed`` has ``host, path, action``. An
-    entry fits its host and all subdomains where the path starts with its own.
-    Of entries as long as each other the longer host wins, then the action
-    "allow".
+    ``urls`` has distinct ``url`` with the ``host`` and ``path`` to look up;
+    ``listed`` has ``host, path, action``. An entry fits its host and all
+    subdomains where the path starts with its own. Of entries as long as each
+    other the longer host wins, then the action "allow".
     """
     entry = listed.groupBy(F.col("host").alias("l_host"), F.col("path").alias("l_path")).agg(
         F.min("action").alias("action")
@@ -129,12 +119,9 @@ def matches(urls: DataFrame, listed: DataFrame) -> DataFrame:
     lengths = sorted(r[0] for r in entry.select(F.char_length("l_path")).distinct().collect())
     if not lengths:
         return urls.select("url", F.lit("").alias("host"), F.lit("").alias("path"), F.lit("").alias("action")).where("false")
-    bloom = BlockedBloom(entry.select(_key(F.col("l_host"), F.col("l_path")).alias("key")))
-    hits = let(
-        F.struct(host(F.col("url")).alias("h"), path(F.col("url")).alias("p")),
-        lambda u: F.filter(candidates(u["h"], u["p"], lengths), lambda c: bloom.may_contain(_key(c["host"], c["path"]))),
-    )
-    hit = urls.select("url", F.explode(hits).alias("c")).select("url", "c.host", "c.path")
+    bloom = BlockedBloom(entry.select(_key(F.col("l_host"), F.col("l_path"))))
+    asked = urls.select("url", F.explode(candidates(F.col("host"), F.col("path"), lengths)).alias("c")).select("url", "c.*")
+    hit = bloom.mark(asked, _key(F.col("host"), F.col("path")), "hit").where("hit").drop("hit")
     exact = hit.join(entry, (F.col("host") == F.col("l_host")) & (F.col("path") == F.col("l_path")))
     size = F.char_length("host") + F.char_length("path")
     best = F.max_by(F.struct("host", "path", "action"), F.struct(size, F.char_length("host")))
@@ -151,18 +138,21 @@ def judge(
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, listed`` for each row of ``pages``.
 
-    The longest rule that fits decides; without one the longest listed canonical
-    URL does, then ``default``. Null urls and those without ``://`` have an
-    empty host and path, which nothing fits; repeated rows and null ids each get
-    a row; an empty table gives none. Other columns are not read.
+    The longest rule that fits host and path as they stand decides; without one
+    the longest listed entry that fits the canonical URL does, then ``default``.
+    Null urls and those without ``://`` have an empty host and path, which
+    nothing fits; repeated rows and null ids each get a row; an empty table gives
+    none. Other columns are not read.
     """
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url).cast("string").alias("url"))
     distinct = rows.where(F.contains(F.col("url"), F.lit("://"))).select("url").distinct()
-    distinct = materialise(distinct, "urls")
-    by_rule = matches(distinct, rules).select(
+    url_col = F.col("url")
+    parts = (("host", host), ("path", path), ("c_host", canonical_host), ("c_path", canonical_path))
+    distinct = materialise(spread(distinct).select("url", *(part(url_col).alias(n) for n, part in parts)), "urls")
+    by_rule = matches(distinct.select("url", "host", "path"), rules).select(
         F.col("url").alias("rule_url"), F.concat("host", "path").alias("rule"), F.col("action").alias("rule_action")
     )
-    by_list = matches(distinct, listed).select(
+    by_list = matches(distinct.selectExpr("url", "c_host AS host", "c_path AS path"), listed).select(
         F.col("url").alias("list_url"), F.concat("host", "path").alias("listed"), F.col("action").alias("list_action")
     )
     return (
@@ -180,7 +170,11 @@ def judge(
 
 
 def keep_allowed(pages: DataFrame, rules: DataFrame, listed: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
-    """``pages`` without the rows whose url is blocked, all columns kept."""
+    """``pages`` without the rows whose url is blocked, all columns kept, whatever their names.
+
+    Null urls and those without ``://`` get the default verdict; repeated rows
+    go or stay together; an empty table stays empty.
+    """
     (of,) = fresh(pages, "of")
     judged = judge(pages.select(url).distinct(), rules, listed, url, url, default)
     blocked = judged.where(F.col("verdict") == "block").select(F.col("page_id").alias(of))

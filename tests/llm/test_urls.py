@@ -1,11 +1,12 @@
 import re
+from urllib.parse import unquote_to_bytes
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from talus.llm import urls
+from talus.llm import bloom, urls
 from talus.llm.common import LOWER, UPPER
 
 from ..conftest import DATA
@@ -24,13 +25,29 @@ def brute_rule(host, path, rules):
     return max(fits, key=lambda f: f[:2])[2:] if fits else (None, None)
 
 
+def brute_canonical(host, path):
+    def unescaped(part):
+        if re.search("%(?![0-9A-Fa-f]{2})", part):
+            return part
+        return unquote_to_bytes(part).decode("utf-8", "replace")
+
+    host = re.sub(r":[0-9]*\Z", "", host.rpartition("@")[2])
+    kept = unescaped(path).split("/")
+    tail = kept[-1] if kept[-1] != "." else ""
+    path = "/".join(["", *(s for s in kept[:-1] if s not in ("", ".")), tail])
+    return unescaped(host).translate(str.maketrans(UPPER, LOWER)).rstrip("."), path
+
+
+LISTED = tuple((f"{a}-{b}.{c}", "/", "block") for a in urls.FIRST_WORDS for b in urls.SECOND_WORDS for c in urls.DOMAINS)
+
+
 def expected(rows, rules, listed):
     out = []
     for i, url in rows:
         host, path = brute_parts(url)
         has = url is not None and "://" in url
         rule, action = brute_rule(host, path, rules) if has else (None, None)
-        _, listing = brute_rule(host, path, listed) if has else (None, None)
+        _, listing = brute_rule(*brute_canonical(host, path), listed) if has else (None, None)
         out.append((i, host, path, rule, action or listing or "allow"))
     return sorted(out, key=repr)
 
@@ -46,19 +63,21 @@ EDGES = [
     "http://badexample.org/en/1", "http://example.org?x=/en/1", "http://example.org#/en/1", "http://x.com/fr/", "http://x.com/de/1",
     "ftp://a://b/c", "http://org/", "http://.org/", "http://a..org/x", "http://spam-farm.example.com/x", "http://spam-farm.example.org/x",
     "http://u@www.cheap-pills.example.net:80/", "http://cheap-pills.example.net/a b\nc?d", "http://É.com/fr/é", "http://x.com/FR/",
+    "http://m.casino-win.example.com/de/2", "http://Free-Bets.Example.COM", "http://ads-track.example.com?x", "https://adult-x.example.net:8080/a",
+    "http://a:b@c@spam-farm.example.com./q", "http://spam%2Dfarm.example.com/%zz", "http://notspam-farm.example.com/", "http://spam-farm.example.com.evil.net/",
 ]
 
 
 def test_edges(spark):
     rows = [*enumerate(EDGES), (1, EDGES[8]), (None, EDGES[6]), (None, None)]
-    assert found(spark, rows, urls.RULES, urls.LISTED) == expected(rows, urls.RULES, urls.LISTED)
-    assert found(spark, [], urls.RULES, urls.LISTED) == []
+    assert found(spark, rows, urls.RULES, LISTED) == expected(rows, urls.RULES, LISTED)
+    assert found(spark, [], urls.RULES, LISTED) == []
     assert found(spark, rows, [], []) == expected(rows, [], [])
 
 
 def test_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(str(DATA / "sf0.01" / "pages.parquet")).select("page_id", "url").collect()]
-    assert found(spark, rows, urls.RULES, urls.LISTED) == expected(rows, urls.RULES, urls.LISTED)
+    assert found(spark, rows, urls.RULES, LISTED) == expected(rows, urls.RULES, LISTED)
 
 
 label = st.sampled_from(["a", "b", "org", "com"])
@@ -78,7 +97,7 @@ def test_any_rules(spark, rules, pages):
 
 def test_a_full_filter_still_gives_exact_results(spark, monkeypatch):
     """One block for hundreds of entries lets nearly all through; the join removes them."""
-    monkeypatch.setattr(urls, "MAX_BLOCKS", 1)
+    monkeypatch.setattr(bloom, "MAX_BLOCKS", 1)
     listed = [(f"h{i}.net", "/", "block") for i in range(600)]
     rows = [(i, f"http://h{i}.net/") for i in range(0, 1200, 7)]
     assert found(spark, rows, [], listed) == expected(rows, [], listed)
@@ -86,18 +105,31 @@ def test_a_full_filter_still_gives_exact_results(spark, monkeypatch):
 
 def test_the_filter_has_no_false_negatives_and_few_false_positives(spark):
     keys = spark.range(3000).selectExpr("concat('k', id) AS key")
-    bloom = urls.BlockedBloom(keys)
-    assert bloom.blocks == 128
-    assert keys.where(~bloom.may_contain(F.col("key"))).count() == 0
+    made = urls.BlockedBloom(keys)
+    assert made.blocks == 128
+    assert made.mark(keys, F.col("key"), "hit").where("NOT hit").count() == 0
     others = spark.range(20_000).selectExpr("concat('other', id) AS key")
-    assert others.where(bloom.may_contain(F.col("key"))).count() < 1000
+    assert made.mark(others, F.col("key"), "hit").where("hit").count() < 1000
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_rows_without_listed_ids(spark, monkeypatch, broadcast):
+    """Exact under a filter that lets most through, with null and repeated ids and clashing names."""
+    monkeypatch.setattr(bloom, "MAX_BLOCKS", 1)
+    monkeypatch.setattr(bloom, "MAX_BROADCAST", broadcast)
+    rows = [(i if i % 50 else None, f"t{i}", i, "x") for i in range(600)] + [(7, "again", 1, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _hit int, _of string")
+    for gone in ([7, 8, 9, *range(100, 400), 5000], [None, 3], []):
+        out = bloom.without(df, "doc_id", spark.createDataFrame([(g,) for g in gone], "x long"))
+        assert out.columns == df.columns
+        assert sorted(r["text"] for r in out.collect()) == sorted(t for i, t, _, _ in rows if i not in gone)
 
 
 def test_keeping_allowed_pages(spark):
     rows = [*enumerate(EDGES), (1, EDGES[6])]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("_of", F.lit(1))
-    left = urls.keep_allowed(pages, urls.entries(spark, urls.RULES, ""), urls.entries(spark, urls.LISTED, ""))
-    blocked = {r[0] for r in expected(list(enumerate(EDGES)), urls.RULES, urls.LISTED) if r[4] == "block"}
+    left = urls.keep_allowed(pages, urls.entries(spark, urls.RULES, ""), urls.entries(spark, LISTED, ""))
+    blocked = {r[0] for r in expected(list(enumerate(EDGES)), urls.RULES, LISTED) if r[4] == "block"}
     assert left.columns == pages.columns
     assert sorted(r["url"] or "" for r in left.collect()) == sorted(
         u or "" for i, u in [*enumerate(EDGES), (6, EDGES[6])] if i not in blocked
@@ -108,3 +140,9 @@ def test_keeping_allowed_pages(spark):
 def test_parts(spark, url):
     row = spark.createDataFrame([(url,)], "u string").select(urls.host(F.col("u")), urls.path(F.col("u"))).first()
     assert tuple(row) == brute_parts(url)
+
+
+@pytest.mark.parametrize("url", [*(u for u in EDGES if u), "http://x.com//a/./b/.", "http://x.com/%61%2fb+c", "http://x.com/a/..", "http://x.com/./", "http://x.com/.a/"])
+def test_canonical_parts(spark, url):
+    df = spark.createDataFrame([(url,)], "u string")
+    assert tuple(df.select(urls.canonical_host(F.col("u")), urls.canonical_path(F.col("u"))).first()) == brute_canonical(*brute_parts(url))
