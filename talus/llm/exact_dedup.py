@@ -22,15 +22,24 @@ MIN_CHARS = 256
 MAX_CHARS = 4096
 
 
+#: Scripts beyond ASCII, with the period after which classes of their code points repeat.
+SCRIPTS = ((0xA0, 0x700, 32), (0x900, 0xE80, 32), (0x3040, 0x3100, 32), (0x4E00, 0xA000, 1024), (0xAC00, 0xD7A4, 1024))
+
+
 def chunk_pattern(low: int = MIN_CHARS, high: int = MAX_CHARS, mask: int = 8) -> str:
     """A regular expression whose matches tile a text.
 
     A chunk ends at the first place, ``low`` characters on, where three
     characters fall into three fixed classes of 1 in ``mask`` code points each,
-    or after ``high`` characters.
+    or after ``high`` characters. In ASCII every ``mask``-th code point is of a
+    class; beyond, a run of them in every period of the script.
     """
+
     def one_in(rest: int) -> str:
-        return "[" + "".join(f"\\x{c:02x}" for c in range(0x20, 0x7F) if (c * 5) % mask == rest) + "]"
+        plain = "".join(f"\\x{c:02x}" for c in range(0x20, 0x7F) if (c * 5) % mask == rest)
+        runs = ((c + step // 2 + rest * (step // mask), step // mask) for low, end, step in SCRIPTS for c in range(low & -step, end, step))
+        other = "".join(f"\\u{first:04x}-\\u{first + width - 1:04x}" for first, width in runs)
+        return f"(?:[{plain}]|(?![\\x00-\\x7f])[{other}])"
 
     edge = one_in(0) + one_in(1) + one_in(1)
     return f"(?s).{{{low},{high - 3}}}?{edge}|.{{1,{high}}}"

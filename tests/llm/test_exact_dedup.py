@@ -1,6 +1,8 @@
 import hashlib
+import random
 from collections import defaultdict
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -92,3 +94,14 @@ def test_dropping_copies(spark):
 def test_lower_casing_touches_ascii_only(spark):
     df = spark.createDataFrame([("ÀÉ A Z İ",), ("PLAIN",)], "t string").select(ascii_lower(F.col("t")))
     assert [r[0] for r in df.collect()] == ["ÀÉ a z İ", "plain"]
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz ", "абвгдежзийклмнопрстуфхцчшщъыьэюя ", "αβγδεζηθικλμνξοπρστυφχψω ", "אבגדהוזחטיכלמנסעפצקרשת ", "".join(map(chr, range(0x4E00, 0x9F00, 7)))])
+def test_edges_follow_the_content_in_any_script(spark, letters):
+    """A character put in at the start changes the first chunk only."""
+    rng = random.Random(1)
+    text = "".join(rng.choice(letters) for _ in range(60_000))
+    rows = spark.createDataFrame([(text,), ("x" + text,)], "t string").select(exact_dedup.chunks(F.col("t")).alias("c")).collect()
+    one, other = (r["c"] for r in rows)
+    assert "".join(one) == text and "".join(other) == "x" + text
+    assert len(one) > 20 and len(set(one) & set(other)) >= len(one) - 3

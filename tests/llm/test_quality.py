@@ -68,6 +68,66 @@ def test_judged_table(spark):
     assert sum(kept[1]) > 0.99 * len(kept[1]) and sum(kept[0]) < 0.2 * len(kept[0])
 
 
+def brute_values(text):
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = brute(text)
+    text = text or ""
+    lines = [line for line in text.split("\n") if re.search("[^\x20\x09-\x0d]", line)]
+
+    def share(over, under):
+        return over / under if under else 0.0
+
+    return {
+        "mean_word_chars": share(word_chars, n_words),
+        "symbols_per_word": share(n_symbols, n_words),
+        "dup_line_share": share(n_dup_lines, len(lines)),
+        "repeat_word_share": share(n_repeat_words, n_words),
+        "upper_share": share(sum("A" <= c <= "Z" for c in text), word_chars),
+        "digit_share": share(sum("0" <= c <= "9" for c in text), word_chars),
+        "bangs_per_word": share(text.count("!"), n_words),
+    }
+
+
+def brute_rule(values, rules):
+    """The number of the first rule whose conditions all hold."""
+    for nth, rule in enumerate(rules, 1):
+        if all((values[c.feature] >= c.threshold) == c.above for c in rule.conditions):
+            return nth
+    return 0
+
+
+def test_verdicts_against_brute_force(spark):
+    """The learned list and one with conjunctions, evaluated text by text."""
+    docs, labels = (spark.read.parquet(str(DATA / "sf0.01" / f"{t}.parquet")) for t in ("documents", "labels"))
+    rules = quality.learn_rules(docs, labels)
+    made = [
+        quality.Rule((quality.Condition("digit_share", True, 0.02), quality.Condition("upper_share", False, 0.05)), 1.0),
+        quality.Rule((quality.Condition("bangs_per_word", True, 0.01), quality.Condition("mean_word_chars", True, 4.5), quality.Condition("dup_line_share", False, 0.5)), 1.0),
+        quality.Rule((quality.Condition("repeat_word_share", True, 0.001),), 1.0),
+    ]
+    both = docs.select("doc_id", "text").union(awkward(spark).select("doc_id", "text")).collect()
+    df = spark.createDataFrame([(i, r["text"]) for i, r in enumerate(both)], "doc_id long, text string")
+    s = quality.statistics(F.col("text"))
+    rows = df.select("text", quality.let(s, lambda s: F.struct(quality.verdict(s, rules).alias("a"), quality.verdict(s, made).alias("b"))).alias("v")).collect()
+    for r in rows:
+        values = brute_values(r["text"])
+        assert (r["v"]["a"], r["v"]["b"]) == (brute_rule(values, rules), brute_rule(values, made))
+    assert rules and len({r["v"]["b"] for r in rows}) == 4
+    learned = {r["doc_id"]: (r["kept"], r["rule"]) for r in quality.judge(docs, labels).collect()}
+    for r in docs.collect():
+        n, *_, repeated = brute(r["text"])
+        rule = brute_rule(brute_values(r["text"]), rules)
+        assert learned[r["doc_id"]] == (n >= 20 and 100 * repeated <= 30 * n and rule == 0, rule)
+
+
+def test_learning_reads_the_same_rows_as_judging(spark):
+    """The Bloom filter of labelled ids leaves out no labelled text."""
+    docs, labels = (spark.read.parquet(str(DATA / "sf0.1" / f"{t}.parquet")) for t in ("documents", "labels"))
+    rules = quality.learn_rules(docs, labels)
+    judged = quality.judge(docs, labels)
+    kept = {r["doc_id"] for r in quality.keep_good(docs, labels).select("doc_id").collect()}
+    assert rules and kept == {r["doc_id"] for r in judged.where("kept").collect()}
+
+
 def test_no_labels_or_one_class_teach_nothing(spark):
     docs = awkward(spark)
     schema = "doc_id long, quality int, text string"
