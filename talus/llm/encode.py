@@ -62,6 +62,11 @@ class WordEncoder:
             self._parts[part] = found
         return found
 
+    def forget(self) -> None:
+        """Give back the tables' memory, at the end of a task: the worker may be idle, or do other work, next."""
+        self._parts.clear()
+        self._pieces.clear()
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text, four bytes each; none for a null or blank one."""
         known = self._parts.get

@@ -96,8 +96,10 @@ def packed(
     ``ids``.
 
     A null or blank text is the end id alone. Repeated rows and ids are packed
-    as often as they occur, null ids stay null, an empty table gives no rows. A
-    very long document spans blocks. Ids of sequences combine task and number,
+    as often as they occur, null ids stay null, an empty table gives no rows.
+    Costs are balanced within a task's block of about ``block_tokens``, not
+    across blocks; a document is always of one block, however long. Ids of
+    sequences combine task and number,
     so a task that runs again gives the same ones. Other columns are not read.
     """
     if length & (length - 1):
@@ -106,7 +108,8 @@ def packed(
     end = END.to_bytes(4, "little")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        words = encoder(path)
+        encode = words.encode
         nth = TaskContext.get().partitionId() << 36
         block: list[tuple[int | None, bytes]] = []
         held = 0
@@ -132,6 +135,7 @@ def packed(
                 if held >= block_tokens:
                     yield flush()
                     block, held = [], 0
+        words.forget()
         if block:
             yield flush()
 

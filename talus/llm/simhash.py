@@ -15,14 +15,15 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talus.shipping import with_package
 
 from .bloom import MAX_BROADCAST, BlockedBloom, without
-from .common import fresh, materialise
+from .common import fresh, materialise, spread
 from .graph import components
 
 #: Words of a shingle, bits that linked fingerprints may differ in, and segments, of about as
@@ -31,18 +32,29 @@ WORDS = 4
 DISTANCE = 4
 SEGMENTS = 3
 SEED = 42
-#: A table bucket with more nodes than this keeps its most frequent chain from meeting itself.
+#: A table bucket with more nodes than this keeps its most frequent chain from meeting itself, and
+#: more near copies than this are a crowd.
 HOT = 64
+#: Nodes of a crowd that all others of it are compared with.
+HUBS = 4
 #: Nodes of one bucket that are put in order together, about.
 WINDOW = 4096
-#: Near copies by similarity: words of a shingle and least similarity; words of their fingerprints,
-#: bits that the first of these and all of them may differ in. At a similarity of 0.8 a bit differs
-#: with a probability of 0.15: 10 of 64 and 39 of 256, with a deviation of 2.9 and 5.7.
+#: Near copies by similarity: words of a shingle and least similarity; 64-bit words of their
+#: fingerprints and bits of a segment; bits that the first word, and every word on average, may
+#: differ in. At a similarity of 0.8 a bit differs with a probability of 0.15: 10 of 64 and 39 of
+#: 256, with a deviation of 2.9 and 5.7.
 NEAR_WORDS = 5
 SIMILARITY = 0.8
 WIDE_WORDS = 4
-SKETCH_BITS = 20
-WIDE_DISTANCE = 60
+SEGMENT_BITS = 18
+SKETCH_BITS = 16
+WIDE_DISTANCE = 15
+#: Neighbours in a table's order that chains are made of, and bits a word that they may differ in: chains
+#: may leave links out, which the search then finds.
+LAGS = 2
+CHAIN_DISTANCE = 9
+#: Rows whose shingles a task holds together.
+ROWS = 256
 #: Shingles hashed together: a bound on memory for very long texts.
 BLOCK = 1 << 15
 
@@ -74,12 +86,17 @@ def fingerprint(text: str | None, n: int = WORDS) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", n: int = WORDS) -> DataFrame:
     """``doc_id, fp``: each row's fingerprint as a signed long."""
 
-    @F.pandas_udf("long")
-    def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series(np.array([fingerprint(t, n) for t in batch], dtype=np.uint64).view(np.int64))
+    def fp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = np.fromiter((fingerprint(t.as_py(), n) for t in batch.column("text")), np.uint64, len(batch))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
 
-    return with_package(docs).select(F.col(id_col).alias("doc_id"), fp(F.col(text).cast("string")).alias("fp"))
+    read = _read(docs, text, id_col)
+    return read.mapInArrow(fp, T.StructType([read.schema["doc_id"], T.StructField("fp", T.LongType())]))
+
+
+def _read(docs: DataFrame, text: str, id_col: str) -> DataFrame:
+    return with_package(docs).select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
 def segments(count: int = SEGMENTS, distance: int = DISTANCE) -> list[tuple[int, int, int]]:
@@ -138,6 +155,13 @@ def _table(fps: DataFrame, plan: list[tuple[int, int, int]], words: list[str]) -
     return fps.select(F.inline(F.array(*keys)), "*")
 
 
+def _at(rows: DataFrame, buckets: DataFrame, how: str) -> DataFrame:
+    """``rows`` joined with a list of buckets, whose columns ``seg, value`` become ``h_seg, h_value``."""
+    named = buckets.withColumnsRenamed({"seg": "h_seg", "value": "h_value"})
+    named = F.broadcast(named) if buckets.count() <= MAX_BROADCAST else named
+    return rows.join(named, (F.col("seg") == F.col("h_seg")) & (F.col("value") == F.col("h_value")), how)
+
+
 def _split(rows: DataFrame, hot: DataFrame | None, probe: bool) -> DataFrame:
     """``rows`` with ``part``, which keeps the most frequent chain of a hot bucket from meeting itself.
 
@@ -146,17 +170,25 @@ def _split(rows: DataFrame, hot: DataFrame | None, probe: bool) -> DataFrame:
     """
     if hot is None:
         return rows.withColumn("part", F.lit(0))
-    at = F.broadcast(hot) if hot.count() <= MAX_BROADCAST else hot
-    joined = rows.join(at.withColumnsRenamed({"seg": "h_seg", "value": "h_value"}), (F.col("seg") == F.col("h_seg")) & (F.col("value") == F.col("h_value")), "left")
+    joined = _at(rows, hot, "left")
     same = F.coalesce(F.col("chain") == F.col("main"), F.lit(False))
     if probe:
-        both = F.when(F.col("main").isNull(), F.array(F.lit(0))).when(same, F.array(F.lit(2))).otherwise(F.array(F.lit(1), F.lit(2)))
+        both = F.when(F.col("h_seg").isNull(), F.array(F.lit(0))).when(same, F.array(F.lit(2))).otherwise(F.array(F.lit(1), F.lit(2)))
         part = F.explode(both)
     else:
-        part = F.when(F.col("main").isNull(), 0).when(same, 1).otherwise(2)
+        part = F.when(F.col("h_seg").isNull(), 0).when(same, 1).otherwise(2)
     return joined.withColumn("part", part).drop("h_seg", "h_value", "main")
 
 
+def _asking(
+    nodes: DataFrame, words: list[str], plan: list[tuple[int, int, int]], odd: bool, carried: list[str]
+) -> DataFrame | None:
+    """The probes of all nodes: ``seg, value`` before the carried columns. None if there are no such."""
+    columns = [F.col(w) for w in words]
+    balls = [_probes(i, _segment(columns, s, b), b, r, odd) for i, (s, b, r) in enumerate(plan) if r or not odd]
+    return nodes.select(F.inline(F.flatten(F.array(*balls))), *carried) if balls else None
+
+
 def near_pairs(fps: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
     """``u, v``: all pairs of distinct fingerprints that differ in 1 to ``distance`` bits.
 
@@ -167,12 +199,16 @@ def near_pairs(fps: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS)
     return _search(fps.withColumnRenamed("fp", "node"), ["node"], segments(count, distance), "node", distance)
 
 
-def _search(nodes: DataFrame, words: list[str], plan: list[tuple[int, int, int]], sketch: str, distance: int) -> DataFrame:
+def _search(
+    nodes: DataFrame, words: list[str], plan: list[tuple[int, int, int]], sketch: str, distance: int, similarity: float = 0.0
+) -> DataFrame:
     """``u, v``: nodes that share a table bucket after the probes, with ``sketch`` at most ``distance`` bits apart.
 
-    ``nodes`` has ``node``, the fingerprint's ``words`` and, if chained, ``chain``.
+    ``nodes`` has ``node``, the fingerprint's ``words`` and, if chained, ``chain``;
+    if :func:`_crowded` found any, ``crowd`` and ``room``, and then pairs within a
+    crowd are left out that cannot be as similar as asked.
     """
-    carried = [c for c in dict.fromkeys(("node", sketch, "chain")) if c in nodes.columns]
+    carried = [c for c in dict.fromkeys(("node", sketch, "chain", "crowd", "room")) if c in nodes.columns]
     chain = "chain" in carried
     table = _table(nodes, plan, words).select("seg", "value", *carried)
     hot = None
@@ -180,15 +216,14 @@ def _search(nodes: DataFrame, words: list[str], plan: list[tuple[int, int, int]]
         full = table.groupBy("seg", "value", "chain").agg(F.count("*").alias("n"))
         most = F.max_by("chain", F.when(F.col("chain").isNotNull(), F.col("n")))
         hot = full.groupBy("seg", "value").agg(F.sum("n").alias("n"), most.alias("main"))
-        hot = materialise(hot.where((F.col("n") > HOT) & F.col("main").isNotNull()).drop("n"), "hot")
+        hot = materialise(hot.where(F.col("n") > HOT).drop("n"), "hot")
     table = _split(table, hot, probe=False)
-    columns = [F.col(w) for w in words]
     found = None
     for odd in (False, True):
-        balls = [_probes(i, _segment(columns, s, b), b, r, odd) for i, (s, b, r) in enumerate(plan) if r or not odd]
-        if not balls:
+        asking = _asking(nodes, words, plan, odd, carried)
+        if asking is None:
             continue
-        probe = _split(nodes.select(F.inline(F.flatten(F.array(*balls))), *carried), hot, probe=True)
+        probe = _split(asking, hot, probe=True)
         on = F.bit_count(F.col(f"p.{sketch}").bitwiseXOR(F.col(f"t.{sketch}"))) <= distance
         for key in ("seg", "value", "part"):
             on = (F.col(f"p.{key}") == F.col(f"t.{key}")) & on
@@ -196,6 +231,8 @@ def _search(nodes: DataFrame, words: list[str], plan: list[tuple[int, int, int]]
             on = on & (F.col("p.node") < F.col("t.node"))
         if chain:
             on = on & F.coalesce(F.col("p.chain") != F.col("t.chain"), F.lit(True))
+        if "crowd" in carried:
+            on = on & (F.coalesce(F.col("p.crowd") != F.col("t.crowd"), F.lit(True)) | _may_be_similar("p.room", "t.room", similarity))
         u, v = F.col("p.node"), F.col("t.node")
         pairs = probe.alias("p").join(table.alias("t"), on).select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))
         found = pairs if found is None else found.union(pairs)
@@ -210,18 +247,19 @@ def _beside(nodes: DataFrame, words: list[str], plan: list[tuple[int, int, int]]
     """
     table = _table(nodes, plan, words).select("seg", "value", *dict.fromkeys(("node", sketch, *words)))
     full = table.groupBy("seg", "value").agg(F.count("*").alias("n")).where(F.col("n") > WINDOW)
-    full = materialise(full.toDF("f_seg", "f_value", "n"), "full")
+    full = materialise(full, "full")
     part = F.lit(0)
-    if n_full := full.count():
-        at = F.broadcast(full) if n_full <= MAX_BROADCAST else full
-        table = table.join(at, (F.col("seg") == F.col("f_seg")) & (F.col("value") == F.col("f_value")), "left")
+    if not full.isEmpty():
+        table = _at(table, full, "left")
         parts = F.coalesce(F.ceil(F.col("n") / F.lit(WINDOW)), F.lit(1))
         part = F.pmod(F.xxhash64("node", "seg"), parts)
     order = Window.partitionBy("seg", "value", "part").orderBy(*dict.fromkeys((*words, "node")))
     at = table.withColumn("part", part)
-    at = at.withColumn("u", F.lag("node").over(order)).withColumn("past", F.lag(sketch).over(order))
-    near = F.bit_count(F.col("past").bitwiseXOR(F.col(sketch))) <= distance
-    return at.where(near).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
+    before = (F.struct(F.lag("node", k).over(order).alias("u"), F.lag(sketch, k).over(order).alias("past")) for k in range(1, LAGS + 1))
+    at = at.select(*dict.fromkeys(("node", sketch)), F.array(*before).alias("before"))
+    near = F.filter("before", lambda x: F.bit_count(x["past"].bitwiseXOR(F.col(sketch))) <= distance)
+    pairs = at.select("node", F.inline(near))
+    return pairs.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
 
 
 def _with_chain(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -261,7 +299,7 @@ def near_groups(
     """
     rows = materialise(fingerprints(docs, text, id_col, n), "fingerprints")
     fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    chains = materialise(chained(fps.select("fp"), distance, count), "chains")
+    chains = materialise(spread(chained(fps.select("fp"), distance, count)), "chains")
     along = chains.where("fp != chain").select(F.col("fp").alias("u"), F.col("chain").alias("v"))
     roots = components(along.union(near_pairs(chains, distance, count)))
     rooted = fps.join(roots, F.col("fp") == F.col("node"), "left").select(
@@ -277,18 +315,18 @@ def near_groups(
 # Near copies by similarity: wide fingerprints find them, an exact check of the shingles decides.
 
 
-def _wide(text: str | None, n: int) -> tuple[list[int], int, np.ndarray]:
+def _wide(text: str | None, n: int, wide: int = WIDE_WORDS) -> tuple[list[int], int, np.ndarray]:
     """Fingerprint words, a digest and the sorted distinct hashes of a text's ``n``-word shingles."""
     import xxhash
 
     found = (text or "").encode().lower().split()
     if not found:
-        return [0] * WIDE_WORDS, 0, np.zeros(0, dtype=np.uint64)
+        return [0] * wide, 0, np.zeros(0, dtype=np.uint64)
     hash64 = xxhash.xxh64_intdigest
     shingles = map(b" ".join, zip(*(found[i:] for i in range(n)))) if len(found) >= n else [b" ".join(found)]
     hashes = np.unique(np.fromiter((hash64(s, SEED) for s in shingles), dtype=np.uint64))
     out = []
-    for i in range(WIDE_WORDS):
+    for i in range(wide):
         mixed = hashes * np.uint64(2 * i + 1) + np.uint64(i * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
         mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -301,56 +339,72 @@ def _wide(text: str | None, n: int) -> tuple[list[int], int, np.ndarray]:
     return out, xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63), hashes
 
 
-def _sketched(docs: DataFrame, text: str, id_col: str, n: int, with_hashes: bool) -> DataFrame:
+def _sketched(docs: DataFrame, text: str, id_col: str, n: int, wide: int, with_hashes: bool) -> DataFrame:
     """``doc_id, node`` and the fingerprint's words, or the ``hashes``; rows of one shingle set share the ``node``."""
-    words = [f"w{i}" for i in range(WIDE_WORDS)]
-    schema = "node long, " + ", ".join(f"{w} long" for w in words) + ", hashes array<long>"
+    words = [f"w{i}" for i in range(wide)]
+    kinds = {"node": pa.int64()} | ({"hashes": pa.list_(pa.int64())} if with_hashes else dict.fromkeys(words, pa.int64()))
 
-    @F.pandas_udf(schema)
-    def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            rows = [_wide(t, n)[: 2 + with_hashes] for t in batch]
-            made = {"node": np.array([r[1] for r in rows], dtype=np.int64)}
-            for i, w in enumerate(words):
-                made[w] = np.array([r[0][i] for r in rows], dtype=np.int64)
-            made["hashes"] = [r[2].view(np.int64) if with_hashes else None for r in rows]
-            yield pd.DataFrame(made)
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), ROWS):
+                part = batch.slice(start, ROWS)
+                rows = []
+                for value in part.column("text"):
+                    fp, node, hashes = _wide(value.as_py(), n, wide)
+                    rows.append((node, hashes.view(np.int64)) if with_hashes else (node, *fp))
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds.values())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", *kinds])
 
-    made = with_package(docs).select(F.col(id_col).alias("doc_id"), sketch(F.col(text).cast("string")).alias("s"))
-    return made.select("doc_id", "s.node", *(["s.hashes"] if with_hashes else [f"s.{w}" for w in words]))
+    read = _read(docs, text, id_col)
+    more = (T.StructField(c, T.ArrayType(T.LongType()) if c == "hashes" else T.LongType()) for c in kinds)
+    return read.mapInArrow(sketch, T.StructType([read.schema["doc_id"], *more]))
 
 
 def similar_groups(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", n: int = NEAR_WORDS, similarity: float = SIMILARITY
+    docs: DataFrame,
+    text: str = "text",
+    id_col: str = "doc_id",
+    n: int = NEAR_WORDS,
+    similarity: float = SIMILARITY,
+    wide: int = WIDE_WORDS,
+    bits: int = SEGMENT_BITS,
 ) -> DataFrame:
     """``doc_id, keep_id`` for each row of ``docs``: the smallest id of its group of near copies.
 
     Two texts link if the Jaccard similarity of their sets of ``n``-word
     shingles (a shorter text is one shingle) is ``similarity`` or more; groups
-    are the components of links. Candidates come from 256-bit SimHash
-    fingerprints by multi-index hashing with a radius of 1 in 14 segments of 18
-    bits; their complete distance and then their exact similarity is verified,
-    so no group joins texts that no links connect. A pair at the threshold itself
-    has all its segments 2 bits or more apart in about 3 % of cases and is then
-    missed; far fewer above it (the README has measured figures).
+    are the components of links. Candidates come from SimHash fingerprints of
+    ``wide`` 64-bit words by multi-index hashing with a radius of 1 in segments of
+    ``bits`` bits; their complete distance and then their exact similarity is
+    verified, so no group joins texts that no links connect. A pair at the
+    threshold itself has all its segments (14 of 18 bits by default) 2 bits or
+    more apart in about 3 % of cases and is then missed; far fewer above it (the
+    README has measured figures). A table bucket holds one of ``2 ** bits`` of all
+    distinct texts, and probes compare within buckets, so 18 bits suit up to some
+    10^8 texts; beyond, 8 words and 24 bits keep nearly the same recall.
 
     Null and blank texts have no shingles and equal each other. A null id is
     passed over in the minimum (null where there is no other). Repeated rows each
     get a row; an empty table gives none; other columns are not read.
     """
-    words = [f"w{i}" for i in range(WIDE_WORDS)]
-    rows = materialise(_sketched(docs, text, id_col, n, False), "wide")
+    words = [f"w{i}" for i in range(wide)]
+    rows = materialise(_sketched(docs, text, id_col, n, wide, False), "wide")
     least = F.min("doc_id").alias("least")
     nodes = materialise(rows.groupBy("node").agg(least, *(F.first(w).alias(w) for w in words)), "nodes")
-    plan = [(18 * i, 18, 1) for i in range(64 * WIDE_WORDS // 18)]
+    plan = [(bits * i, bits, 1) for i in range(64 * wide // bits)]
     search = nodes.select("node", *words)
 
-    near = materialise(_beside(search, words, plan, "w0", SKETCH_BITS), "beside")
-    near = _complete(near, search, words)
-    along = _verified(docs, rows, near, text, id_col, n, similarity)
-    chains = materialise(_with_chain(search, along), "chains")
-    across = materialise(_search(chains, words, plan, "w0", SKETCH_BITS).distinct(), "across")
-    across = _verified(docs, rows, _complete(across, search, words), text, id_col, n, similarity)
+    near_by = materialise(_beside(search, words, plan, "w0", SKETCH_BITS), "beside")
+    near = _complete(near_by, search, words, CHAIN_DISTANCE)
+    along = _similar(near, _sets(docs, rows, _nodes_of(near), text, id_col, n), similarity)
+    if (crowds := _crowded(near_by)) is not None:
+        rooms, links = _spokes(crowds, _sets(docs, rows, crowds.select(F.col("node").alias("of")), text, id_col, n), similarity)
+        along = materialise(along.union(links), "along")
+        search = search.join(rooms.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").drop("of")
+    chains = materialise(spread(_with_chain(search, along)), "chains")
+    across = materialise(_search(chains, words, plan, "w0", SKETCH_BITS, similarity).distinct(), "across")
+    across = _complete(across, nodes.select("node", *words), words, WIDE_DISTANCE)
+    across = _similar(across, _sets(docs, rows, _nodes_of(across), text, id_col, n), similarity)
     roots = components(along.union(across))
     rooted = nodes.join(roots.toDF("of", "root"), F.col("node") == F.col("of"), "left").select(
         "node", "least", F.coalesce("root", "node").alias("root")
@@ -360,35 +414,94 @@ def similar_groups(
     return rows.join(label, F.col("node") == F.col("of")).select("doc_id", "keep_id")
 
 
-def _complete(pairs: DataFrame, nodes: DataFrame, words: list[str]) -> DataFrame:
-    """Candidate pairs whose complete fingerprints differ in ``WIDE_DISTANCE`` bits at most."""
+def _complete(pairs: DataFrame, nodes: DataFrame, words: list[str], distance: int) -> DataFrame:
+    """Candidate pairs whose complete fingerprints differ in ``distance`` bits a word at most."""
     of_u = nodes.toDF("u", *(f"u_{w}" for w in words))
     of_v = nodes.toDF("v", *(f"v_{w}" for w in words))
     apart = sum((F.bit_count(F.col(f"u_{w}").bitwiseXOR(F.col(f"v_{w}"))) for w in words), F.lit(0))
-    return materialise(pairs.join(of_u, "u").join(of_v, "v").where(apart <= WIDE_DISTANCE).select("u", "v"), "close")
+    return materialise(pairs.join(of_u, "u").join(of_v, "v").where(apart <= distance * len(words)).select("u", "v"), "close")
 
 
-def _verified(
-    docs: DataFrame, rows: DataFrame, pairs: DataFrame, text: str, id_col: str, n: int, similarity: float
-) -> DataFrame:
-    """Pairs whose shingle sets are as similar as asked, from the texts themselves.
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return materialise(pairs.select("u").union(pairs.select("v")).distinct().toDF("of"), "asked")
 
-    Only rows whose id passes a Bloom filter of the pairs' rows are read into
-    shingles, and only shingles of nodes in pairs are moved.
+
+def _sets(docs: DataFrame, rows: DataFrame, asked: DataFrame, text: str, id_col: str, n: int) -> DataFrame:
+    """``node, hashes``: the shingles of the nodes ``of`` in ``asked``, from the texts themselves.
+
+    Only rows whose id passes a Bloom filter of one row for each node are read
+    into shingles, and only the shingles asked for are moved.
     """
-    asked = materialise(pairs.select("u").union(pairs.select("v")).distinct().toDF("of"), "asked")
     ids = rows.join(asked, F.col("node") == F.col("of"), "left_semi").groupBy("node").agg(F.min("doc_id").alias("id"))
     (hit,) = fresh(docs, "hit")
     maybe = BlockedBloom(ids.select("id").distinct()).mark(docs, F.col(id_col), hit).where(hit)
-    own = _sketched(maybe, text, id_col, n, True)
+    own = _sketched(maybe, text, id_col, n, 0, True)
     own = own.join(asked, F.col("node") == F.col("of"), "left_semi")
-    sets = materialise(own.groupBy("node").agg(F.first("hashes").alias("hashes")), "shingles")
+    return materialise(own.groupBy("node").agg(F.first("hashes").alias("hashes")), "shingles")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose sets of shingles are as similar as asked."""
     both = F.size(F.array_intersect("u_set", "v_set"))
     jaccard = both / F.greatest(F.lit(1), F.size("u_set") + F.size("v_set") - both)
     joined = pairs.join(sets.toDF("u", "u_set"), "u").join(sets.toDF("v", "v_set"), "v")
     return materialise(joined.where(jaccard >= similarity).select("u", "v"), "verified")
 
 
+def _crowded(near_by: DataFrame) -> DataFrame | None:
+    """``node, crowd`` of nodes that are near each other in the tables, more than ``HOT`` together; None without such.
+
+    A crowd is a component of neighbours by the first word of their fingerprints
+    alone. It only says whose pairs are worth a closer look before they are made.
+    """
+    roots = components(near_by)
+    members = roots.select("node", F.col("root").alias("crowd")).union(roots.select("root", "root")).distinct()
+    large = materialise(members.groupBy("crowd").agg(F.count("*").alias("n")).where(F.col("n") > HOT).drop("n"), "large")
+    return None if large.isEmpty() else materialise(members.join(large, "crowd").select("node", "crowd"), "crowds")
+
+
+def _spokes(crowds: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``node, crowd, room`` and verified links ``u, v`` from some nodes of each crowd to all others.
+
+    In a group of very many near copies pairs grow with its square. Two things
+    make most of them needless. ``room`` is how many shingles a node has and,
+    in its lower half, how many of them any other of the crowd has too: two nodes
+    cannot share more than the lesser of those. And the ``HUBS`` nodes with the
+    least shingles of their own are compared with all, which brings almost every
+    node that has links into a chain.
+    """
+    each = sets.join(crowds.toDF("of", "crowd"), F.col("node") == F.col("of")).drop("of")
+    # A shingle that one node alone has carries its node with it: no join, and partial sums for frequent ones.
+    own = each.select("crowd", "node", F.explode("hashes").alias("h")).groupBy("crowd", "h").agg(
+        F.count("*").alias("n"), F.min("node").alias("node")
+    )
+    own = own.where("n = 1").groupBy("node").agg(F.count("*").alias("own")).withColumnRenamed("node", "of")
+    counted = each.select("node", "crowd", F.size("hashes").cast("long").alias("size"))
+    counted = counted.join(own, F.col("node") == F.col("of"), "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    room = F.shiftleft("size", 32).bitwiseOR(F.col("size") - F.col("own"))
+    rooms = materialise(counted.select("node", "crowd", "own", room.alias("room")), "rooms")
+    nth = F.pmod(F.xxhash64("node"), F.lit(HUBS))
+    hubs = rooms.groupBy("crowd", nth.alias("nth")).agg(F.min_by(F.struct("node", "room"), F.struct("own", "node")).alias("hub"))
+    hubs = materialise(hubs.select(F.col("crowd").alias("of"), F.col("hub.node").alias("hub"), F.col("hub.room").alias("h_room")), "hubs")
+    hubs = F.broadcast(hubs) if hubs.count() <= MAX_BROADCAST else hubs
+    pairs = rooms.join(hubs, (F.col("crowd") == F.col("of")) & (F.col("node") != F.col("hub")) & _may_be_similar("room", "h_room", similarity))
+    pairs = pairs.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
+    return rooms.drop("own"), _similar(materialise(pairs, "spokes"), sets, similarity)
+
+
+def _may_be_similar(room: str, other: str, similarity: float) -> Column:
+    """Whether two nodes of a crowd could share so much, from what each has and shares with any of it."""
+
+    def size(c: str) -> Column:
+        return F.shiftrightunsigned(F.col(c), 32)
+
+    def shared(c: str) -> Column:
+        return F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
+
+    most = F.least(shared(room), shared(other))
+    return most >= F.lit(similarity) * (size(room) + size(other) - most)
+
+
 def drop_near_copies(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", n: int = NEAR_WORDS, similarity: float = SIMILARITY
 ) -> DataFrame:

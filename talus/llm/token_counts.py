@@ -32,10 +32,11 @@ def lengths(docs: DataFrame, vocabulary: str | None = None, text: str = "text")
     path = vocabulary or word_vocabulary()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        words = encoder(path)
         seen: Counter = Counter()
         for batch in batches:
-            seen.update(len(encode(value.as_py())) // 4 for value in batch.column(0))
+            seen.update(len(words.encode(value.as_py())) // 4 for value in batch.column(0))
+        words.forget()
         yield pa.RecordBatch.from_pydict(
             {"length": pa.array(list(seen), pa.int64()), "docs": pa.array(list(seen.values()), pa.int64())}
         )
