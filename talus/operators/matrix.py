@@ -13,26 +13,68 @@ from talus.schema import MATRIX_KEY, POT, SIZE
 SOURCE = "hazard matrix"
 VERSION = "2025-11"
 BOTH = "res / rel"
+REL = "rel"
 ALIASES = {"moderat": "moderate"}
 
-#: For each hazard level and size the admissible (PPM, PEM) of both geometries
-#: and, after the bar, of release areas only.
-CELLS = {
-    ("very high", 5): "55 44 33 22 |",
-    ("very high", 4): "54 44 33 22 |",
-    ("very high", 3): "53 43 33 22 |",
-    ("very high", 2): "52 42 32 22 |",
-    ("very high", 1): "| 51 41 31 21",
-    ("high", 4): "54 43 32 | 21",
-    ("high", 3): "53 43 32 | 21",
-    ("high", 2): "52 42 32 | 21",
-    ("high", 1): "| 51 41 31 21",
-    ("moderate", 3): "53 42 | 31 21",
-    ("moderate", 2): "52 42 | 31 21",
-    ("moderate", 1): "| 51 41 31 21",
-    ("low", 2): "52 | 41 31 21",
-    ("low", 1): "| 51 41 31 21",
-}
+#: Hazard level, size, PPM, PEM and the geometries that the cell admits.
+CELLS = (
+    ("very high", 5, 5, 5, BOTH),
+    ("very high", 5, 4, 4, BOTH),
+    ("very high", 5, 3, 3, BOTH),
+    ("very high", 5, 2, 2, BOTH),
+    ("very high", 4, 5, 4, BOTH),
+    ("very high", 4, 4, 4, BOTH),
+    ("very high", 4, 3, 3, BOTH),
+    ("very high", 4, 2, 2, BOTH),
+    ("very high", 3, 5, 3, BOTH),
+    ("very high", 3, 4, 3, BOTH),
+    ("very high", 3, 3, 3, BOTH),
+    ("very high", 3, 2, 2, BOTH),
+    ("very high", 2, 5, 2, BOTH),
+    ("very high", 2, 4, 2, BOTH),
+    ("very high", 2, 3, 2, BOTH),
+    ("very high", 2, 2, 2, BOTH),
+    ("very high", 1, 5, 1, REL),
+    ("very high", 1, 4, 1, REL),
+    ("very high", 1, 3, 1, REL),
+    ("very high", 1, 2, 1, REL),
+    ("high", 4, 5, 4, BOTH),
+    ("high", 4, 4, 3, BOTH),
+    ("high", 4, 3, 2, BOTH),
+    ("high", 4, 2, 1, REL),
+    ("high", 3, 5, 3, BOTH),
+    ("high", 3, 4, 3, BOTH),
+    ("high", 3, 3, 2, BOTH),
+    ("high", 3, 2, 1, REL),
+    ("high", 2, 5, 2, BOTH),
+    ("high", 2, 4, 2, BOTH),
+    ("high", 2, 3, 2, BOTH),
+    ("high", 2, 2, 1, REL),
+    ("high", 1, 5, 1, REL),
+    ("high", 1, 4, 1, REL),
+    ("high", 1, 3, 1, REL),
+    ("high", 1, 2, 1, REL),
+    ("moderate", 3, 5, 3, BOTH),
+    ("moderate", 3, 4, 2, BOTH),
+    ("moderate", 3, 3, 1, REL),
+    ("moderate", 3, 2, 1, REL),
+    ("moderate", 2, 5, 2, BOTH),
+    ("moderate", 2, 4, 2, BOTH),
+    ("moderate", 2, 3, 1, REL),
+    ("moderate", 2, 2, 1, REL),
+    ("moderate", 1, 5, 1, REL),
+    ("moderate", 1, 4, 1, REL),
+    ("moderate", 1, 3, 1, REL),
+    ("moderate", 1, 2, 1, REL),
+    ("low", 2, 5, 2, BOTH),
+    ("low", 2, 4, 1, REL),
+    ("low", 2, 3, 1, REL),
+    ("low", 2, 2, 1, REL),
+    ("low", 1, 5, 1, REL),
+    ("low", 1, 4, 1, REL),
+    ("low", 1, 3, 1, REL),
+    ("low", 1, 2, 1, REL),
+)
 
 SCHEMA = f"{POT} string, {SIZE} long, PPM long, PEM long, rSize long, modType string, Source string, Version string"
 
@@ -58,13 +100,7 @@ def r_size(ppm: Column, pem: Column) -> Column:
 
 def cells() -> list[Cell]:
     """All rows of the built-in matrix."""
-    out = []
-    for (pot, size), text in CELLS.items():
-        for part, mod_type in zip(text.split("|"), (BOTH, "rel")):
-            for pair in part.split():
-                ppm, pem = map(int, pair)
-                out.append(Cell(pot, size, ppm, pem, r_size_of(ppm, pem), mod_type))
-    return out
+    return [Cell(pot, size, ppm, pem, r_size_of(ppm, pem), mod_type) for pot, size, ppm, pem, mod_type in CELLS]
 
 
 def matrix(spark: SparkSession) -> DataFrame:

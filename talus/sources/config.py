@@ -5,6 +5,7 @@ from __future__ import annotations
 import configparser
 import logging
 import os
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
@@ -46,31 +47,36 @@ def resolve_paths(cfg: configparser.ConfigParser) -> Paths:
     base folder, where the input may be one level deeper: one such file wins
     over one directly in the folder, several raise RuntimeError.
     """
-    mode = cfg.get("WORKFLOW", "mapperPathMode", fallback="").strip().lower()
-    base = Path(os.path.expandvars(cfg.get("PATHS", "baseDir", fallback=os.getcwd()))).expanduser()
-    if mode == "custompaths":
-        paths = Paths(
-            base,
-            Path(cfg.get("PATHS", "avaDirectoryResults")).expanduser(),
-            Path(cfg.get("PATHS", "avaScenMapsDir")).expanduser(),
-            Path(cfg.get("PATHS", "refTif", fallback="")).expanduser(),
-        )
+    given = dict(cfg["PATHS"]) if cfg.has_section("PATHS") else {}
+
+    def place(key: str, default: str | Path = "") -> Path:
+        return Path(os.path.expandvars(str(given.get(key.lower(), default)))).expanduser()
+
+    base = place("baseDir", Path.cwd())
+    if cfg.get("WORKFLOW", "mapperPathMode", fallback="").strip().lower() == "custompaths":
+        lacking = [key for key in ("avaDirectoryResults", "avaScenMapsDir") if key.lower() not in given]
+        if lacking:
+            raise KeyError(f"customPaths mode needs {' and '.join(lacking)} in [PATHS]")
+        paths = Paths(base, place("avaDirectoryResults"), place("avaScenMapsDir"), place("refTif"))
     else:
-        root = base / INPUT_DIR
-        deeper = sorted(root.glob(f"*/{INPUT_FILE}"))
-        if len(deeper) > 1:
-            raise RuntimeError(f"several inputs, name one in customPaths mode: {', '.join(map(str, deeper))}")
-        rasters = sorted((base / RASTER_DIR).glob(RASTER_GLOB))
         paths = Paths(
             base,
-            deeper[0] if deeper else root / INPUT_FILE,
+            _only_one((base / INPUT_DIR).glob(f"*/{INPUT_FILE}"), base / INPUT_DIR / INPUT_FILE),
             base / OUTPUT_DIR,
-            rasters[0] if rasters else base / RASTER_DIR / RASTER_FILE,
+            min((base / RASTER_DIR).glob(RASTER_GLOB), default=base / RASTER_DIR / RASTER_FILE),
         )
     paths.output.mkdir(parents=True, exist_ok=True)
     return paths
 
 
+def _only_one(found: Iterable[Path], otherwise: Path) -> Path:
+    """The one path found, ``otherwise`` if there is none."""
+    first, *more = sorted(found) or [otherwise]
+    if more:
+        raise RuntimeError(f"several inputs, name one in customPaths mode: {', '.join(map(str, (first, *more)))}")
+    return first
+
+
 def as_list(value: Any) -> list:
     """None is empty, text splits at commas without blanks and empty parts, all else is a list already."""
     if value is None:
@@ -110,70 +116,87 @@ class Scenario:
         return "".join(c for c in self.name if c.isalnum() or c in "-_") or "unnamed"
 
     @classmethod
-    def from_criteria(cls, crit: dict[str, Any]) -> Scenario:
-        """From a criteria mapping, whose keys are those of the configuration's sections."""
-        pots = crit.get("AvaDistributionPotential")
-        size = crit.get("AvaSizePotential")
-        return cls(
-            name=crit.get("name", "unnamed"),
-            lk=tuple(map(str, as_list(crit.get("LKRegionID")))),
-            lwd=tuple(map(str, as_list(crit.get("LwdRegionID")))),
-            region_mode=crit.get("regionMode") or "or",
-            sub_catchments=tuple(int(v) for v in as_list(crit.get("subCs"))),
-            sectors=tuple(as_list(crit.get("sectors"))),
-            flows=tuple(as_list(crit.get("flows"))),
-            elev_min=crit.get("elevMin"),
-            elev_max=crit.get("elevMax"),
-            pots=tuple(p for p in as_list(pots) if str(p).strip()),
-            size=None if size is None else int(size),
-            single_r_size=crit.get("applySingleRsizeRule", True),
-            debug_keys=bool(crit.get("debugJoinKeys", False)),
-            pots_given=bool(pots),
-        )
+    def from_criteria(cls, crit: Mapping[str, Any]) -> Scenario:
+        """From a mapping of criteria, with numbers as numbers and lists as lists or comma-separated text."""
+        return cls(**_fields(crit, _CRITERIA))
 
 
-def _whole(section: configparser.SectionProxy, key: str) -> int | None:
-    text = section.get(key, fallback="").strip()
-    if not text:
-        return None
-    try:
-        return int(text)
-    except ValueError:
-        log.warning("[%s] %s = %s is not a whole number; it is left out", section.name, key, text)
-        return None
-
-
-def _criteria(short: str, section: configparser.SectionProxy) -> dict[str, Any]:
-    def texts(key: str) -> list[str] | None:
-        return as_list(section.get(key, fallback=None)) or None
-
-    out = {
-        "name": section.get("name", fallback=short),
-        "LwdRegionID": texts("LwdRegionID"),
-        "LKRegionID": texts("LKRegionID"),
-        "regionMode": section.get("regionMode", fallback="or"),
-        "sectors": texts("sector"),
-        "flows": texts("flow"),
-        "elevMin": _whole(section, "elevMin"),
-        "elevMax": _whole(section, "elevMax"),
-        "AvaDistributionPotential": texts("AvaDistributionPotential"),
-        "AvaSizePotential": _whole(section, "AvaSizePotential"),
-        "applySingleRsizeRule": section.getboolean("applySingleRsizeRule", fallback=True),
-    }
-    sub_catchment = _whole(section, "subC")
-    if sub_catchment is not None:
-        out["subCs"] = [sub_catchment]
-    return out
+def _texts(value: Any) -> tuple[str, ...]:
+    return tuple(str(part) for part in as_list(value) if str(part).strip())
+
+
+def _whole(value: Any) -> int | None:
+    """A whole number; None for nothing, and with a warning for other text."""
+    if isinstance(value, str):
+        if not value.strip():
+            return None
+        try:
+            return int(value)
+        except ValueError:
+            log.warning("%r is not a whole number; it is left out", value)
+            return None
+    return None if value is None else int(value)
+
+
+def _flag(value: Any) -> bool:
+    if isinstance(value, str):
+        try:
+            return configparser.ConfigParser.BOOLEAN_STATES[value.strip().lower()]
+        except KeyError:
+            raise ValueError(f"not a yes or no: {value!r}") from None
+    return bool(value)
+
+
+def _one_whole(value: Any) -> tuple[int, ...]:
+    number = _whole(value)
+    return () if number is None else (number,)
+
+
+#: What a scenario may say, with the field that it fills and how its value is read.
+_COMMON = {
+    "name": ("name", str),
+    "LKRegionID": ("lk", _texts),
+    "LwdRegionID": ("lwd", _texts),
+    "regionMode": ("region_mode", lambda v: str(v).strip() or "or"),
+    "AvaDistributionPotential": ("pots", _texts),
+    "AvaSizePotential": ("size", _whole),
+    "applySingleRsizeRule": ("single_r_size", _flag),
+}
+#: The further keys of a section of the configuration.
+_SECTION = _COMMON | {
+    "subC": ("sub_catchments", _one_whole),
+    "sector": ("sectors", _texts),
+    "flow": ("flows", _texts),
+    "elevMin": ("elev_min", _whole),
+    "elevMax": ("elev_max", _whole),
+}
+#: The further keys of a mapping of criteria.
+_CRITERIA = _COMMON | {
+    "subCs": ("sub_catchments", lambda v: tuple(int(x) for x in as_list(v))),
+    "sectors": ("sectors", lambda v: tuple(as_list(v))),
+    "flows": ("flows", lambda v: tuple(as_list(v))),
+    "elevMin": ("elev_min", lambda v: v),
+    "elevMax": ("elev_max", lambda v: v),
+    "debugJoinKeys": ("debug_keys", _flag),
+}
+
+
+def _fields(given: Mapping[str, Any], table: Mapping[str, tuple[str, Callable]]) -> dict[str, Any]:
+    """The fields of a :class:`Scenario` that the given keys fill; a key without a value fills none."""
+    found = {field: read(given[key]) for key, (field, read) in table.items() if given.get(key) is not None}
+    return found | {"pots_given": bool(given.get("AvaDistributionPotential"))}
 
 
 def scenarios(cfg: configparser.ConfigParser) -> list[Scenario]:
     """The listed scenarios in order; a listed one without a section is left out with a warning."""
     out = []
     for short in as_list(cfg.get("FILTER", "filters", fallback=None)):
-        if cfg.has_section(f"FILTER.{short}"):
-            out.append(Scenario.from_criteria(_criteria(short, cfg[f"FILTER.{short}"])))
-        else:
+        if not cfg.has_section(f"FILTER.{short}"):
             log.warning("there is no section [FILTER.%s]", short)
+            continue
+        fields = _fields(cfg[f"FILTER.{short}"], _SECTION)
+        # In a file, levels of blanks alone are no levels.
+        out.append(Scenario(**({"name": short} | fields | {"pots_given": bool(fields.get("pots"))})))
     return out
 
 
