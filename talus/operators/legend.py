@@ -37,6 +37,10 @@ def check_keys(df: DataFrame) -> None:
         raise UnusableKeys(f"rows whose key is not a whole number: {wrong}")
 
 
+def warn_of_no_cell(pots: Iterable[str], size: int | None, rows: list[matrix.Cell]) -> None:
+    log.warning("no cell for %s, size %s; largest sizes: %s", list(pots), size, matrix.max_sizes(rows, pots))
+
+
 def tag(df: DataFrame, pots: Iterable[str], size: int) -> DataFrame:
     """The scenario's levels and size as constant columns, over any of that name."""
     return df.withColumn(POT, F.lit(",".join(sorted(set(matrix.canonical(pots)))))).withColumn(
@@ -67,7 +71,7 @@ def apply(df: DataFrame, pots: Iterable[str], size: int, rows: list[matrix.Cell]
     pots = list(pots)
     selection = matrix.select(rows, pots, size)
     if not selection:
-        log.warning("no cell for %s, size %s; largest sizes: %s", pots, size, matrix.max_sizes(rows, pots))
+        warn_of_no_cell(pots, size, rows)
         return df.where(F.lit(False))
     df = tag(df, pots, size)
     if size != 1:

@@ -7,6 +7,7 @@ with a warning; one that isn't asked for is None.
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Iterable
 from functools import reduce
 
@@ -84,6 +85,40 @@ def pushable_elevation(df: DataFrame, low: float | None = None, high: float | No
     return df
 
 
+def pushable(
+    df: DataFrame,
+    lk: Iterable[str] = (),
+    lwd: Iterable[str] = (),
+    mode: str = "or",
+    sub_catchments: Iterable[int] = (),
+    low: float | None = None,
+    high: float | None = None,
+) -> Column | None:
+    """A weaker form of the other predicates on a raw frame's own columns, all of it fit for the scan; None without one.
+
+    Where several scenarios are tested together, a disjunction reaches the scan
+    only if each of its parts does in whole.
+    """
+
+    def typed(name: str, *kinds: type) -> bool:
+        return name in df.columns and isinstance(df.schema[name].dataType, kinds)
+
+    parts = []
+    asked = [name for name, ids in (("LKGebietID", lk), ("LWDGebietID", lwd)) if ids]
+    if asked and all(typed(name, T.StringType) for name in asked):
+        parts.append(region(df, lk, lwd, mode))
+    if sub_catchments and typed("subC", T.IntegralType):
+        parts.append(F.col("subC").isin(list(sub_catchments)))
+    # Whole columns take whole bounds: a cast of the column would hide it from the scan.
+    for name, bound, test, rounded in (("elevMin", low, Column.__ge__, math.ceil), ("elevMax", high, Column.__le__, math.floor)):
+        if bound is not None and math.isfinite(bound):
+            if typed(name, T.IntegralType):
+                parts.append(test(F.col(name), rounded(bound)))
+            elif typed(name, T.FloatType, T.DoubleType):
+                parts.append(test(F.col(name), float(bound)))
+    return reduce(lambda a, b: a & b, parts) if parts else None
+
+
 def where_all(df: DataFrame, predicates: Iterable[Column | None]) -> DataFrame:
     for p in predicates:
         if p is not None:

@@ -65,11 +65,17 @@ def run_together(df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cel
     Equal to :func:`filter_scenario` for each, with the tags null where a
     scenario has no matrix stage, and for scenarios that keep variants too.
     Each row is tested against all predicates at once, and only matches go on.
+    A cell of another matrix with a null in its key matches no row.
     """
     rows = matrix.cells() if rows is None else rows
+    asked = [predicates.pushable(df, s.lk, s.lwd, s.region_mode, s.sub_catchments, s.elev_min, s.elev_max) for s in scenarios]
+    if all(a is not None for a in asked):
+        df = df.where(reduce(lambda a, b: a | b, asked))
     base = normalize(df)
     tests = []
-    for i, s in enumerate(scenarios):
+    for s in scenarios:
+        if s.uses_matrix and not matrix.select(rows, s.pots, s.size):
+            legend.warn_of_no_cell(s.pots, s.size, rows)
         test = F.lit(True)
         for _, p in attribute_predicates(base, s):
             if p is not None:
@@ -77,7 +83,6 @@ def run_together(df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cel
         if s.uses_matrix and s.size == 1:
             test = test & (F.col("modType") == "rel")
         tests.append(test)
-    # Their disjunction first: as a filter it reaches the scan.
     matching = F.array(*(F.when(test, F.lit(i)) for i, test in enumerate(tests)))
     hit = base.where(reduce(lambda a, b: a | b, tests)).withColumn("scenario", F.explode(F.array_compact(matching)))
 
@@ -98,14 +103,17 @@ def run_together(df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cel
         for i, s in enumerate(scenarios)
         if s.uses_matrix and s.size != 1
         for c in matrix.select(rows, s.pots, s.size)
+        if None not in (c.ppm, c.pem, c.r_size)
         for kind in c.mod_type.split(" / ")
     ]
     # A scenario without a matrix stage, or of size 1 with a cell, takes any key.
     free = [not s.uses_matrix or (s.size == 1 and bool(matrix.select(rows, s.pots, 1))) for s in scenarios]
     schema = "scenario int, PPM long, PEM long, rSize long, modType string"
-    cells = F.broadcast(df.sparkSession.createDataFrame(sorted(set(keys)), schema))
+    cells = df.sparkSession.createDataFrame(sorted(set(keys), key=repr), schema)
+    if len(keys) <= legend.BROADCAST_CELLS:
+        cells = F.broadcast(cells)
     by_key = tagged.where(~of(free)).join(cells, ["scenario", *MATRIX_KEY], "left_semi")
-    by_key = by_key.withColumns({c: F.col(c).cast("long") for c in MATRIX_KEY[:3]})
+    by_key = by_key.withColumns({c: F.col(c).cast("long") for c in MATRIX_KEY[:3] if c in base.columns})
     first = [s.uses_matrix and s.size == 1 for s in scenarios]
     parts = [by_key]
     if any(free):
@@ -119,3 +127,12 @@ def run_together(df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cel
     if all(s.single_r_size for s in scenarios):
         return dedup.single_r_size(every, ("scenario",))
     return dedup.single_r_size(every.where(single), ("scenario",)).unionByName(every.where(~single))
+
+
+def one_of(together: DataFrame, s: Scenario, position: int) -> DataFrame:
+    """A scenario's own rows of :func:`run_together`, with the columns that :func:`filter_scenario` gives it.
+
+    The order is that of the joint table, which puts the matrix key first.
+    """
+    rows = together.where(F.col("scenario") == position).drop("scenario")
+    return rows if s.uses_matrix else rows.drop(POT, SIZE)

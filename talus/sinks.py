@@ -3,7 +3,7 @@
 Everything is written beside its place and renamed at the end, so that a
 half-written output never looks like a whole one. Parquet and CSV are single
 files where ``single_file`` is set (results are of scenario size) and folders
-of part files otherwise; GeoJSON and GeoPackage are single files by nature and
+of part files, written by as many tasks, otherwise; GeoJSON and GeoPackage are single files by nature and
 stream through the driver, a partition at a time.
 """
 
@@ -15,10 +15,11 @@ import shutil
 import sqlite3
 import struct
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +41,7 @@ class Outputs:
     csv: Path | None = None
     csv_wkt: bool = False
     single_file: bool = True
+    by_size: bool = False
     crs: object | None = None
 
     def paths(self) -> list[Path]:
@@ -83,13 +85,29 @@ def _with_geo_footer(path: Path, crs: object | None) -> None:
     with pq.ParquetWriter(beside, schema) as writer:
         for group in range(source.num_row_groups):
             writer.write_table(source.read_row_group(group).cast(schema))
+    path.with_name(f".{path.name}.crc").unlink(missing_ok=True)  # of the file as it was
     beside.replace(path)
 
 
 def write_parquet(df: DataFrame, path: Path, single_file: bool = True, crs: object | None = None) -> None:
-    _written(df, path, single_file, lambda d, to: d.write.parquet(to))
-    if single_file and GEOMETRY in df.columns:
-        _with_geo_footer(path, crs)
+    """One geo-parquet file, or a folder of them, whose footers the tasks that hold them complete."""
+
+    def write_parts(d: DataFrame, to: str) -> None:
+        d.write.parquet(to)
+        if GEOMETRY not in df.columns:
+            return
+        parts = [(str(p), p.name) for p in sorted(Path(to.removeprefix("file://")).glob("part-*"))]
+
+        def complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in batch.column("part"):
+                    _with_geo_footer(Path(part.as_py()), crs)
+                yield batch.select(["part"])
+
+        files = df.sparkSession.createDataFrame(parts, "part string, name string")
+        with_package(files).repartition(max(1, len(parts)), "name").mapInArrow(complete, "part string").count()
+
+    _written(df, path, single_file, write_parts)
 
 
 def attributes(df: DataFrame, with_wkt: bool = False) -> DataFrame:
@@ -208,6 +226,8 @@ def write(df: DataFrame, to: Outputs) -> list[Path]:
     if df.isEmpty():
         log.warning("no rows, nothing is written")
         return []
+    if to.by_size and "rSize" in df.columns:
+        df = df.orderBy(F.desc_nulls_last("rSize"))
     paths = [p for p in (to.parquet, to.geojson, to.gpkg, to.csv) if p is not None]
     if paths:
         paths[0].parent.mkdir(parents=True, exist_ok=True)

@@ -49,9 +49,10 @@ def read_directory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_attributes(spark: SparkSession, path: str) -> DataFrame:
-    """Only the columns that the diagnostic mode needs; the scan reads no others."""
+    """Only the columns that the diagnostic mode needs, in whatever case; the scan reads no others."""
     df = read_directory(spark, path)
-    return df.select(*(c for c in RANGED if c in df.columns))
+    wanted = {c.lower() for c in RANGED}
+    return df.select(*(f"`{c}`" for c in df.columns if c.lower() in wanted))
 
 
 def read_crs(path: str) -> object | None:

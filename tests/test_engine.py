@@ -162,6 +162,13 @@ def test_custom_matrix(spark):
     assert filter_scenario(frame(spark, {}), Scenario(pots=("wild",), size=7), rows).count() == 1
 
 
+def test_a_matrix_with_null_cells_in_one_pass(spark):
+    schema = "AvaDistributionPotential string, AvaSizePotential int, PPM int, PEM int, rSize int, modType string"
+    rows = matrix.from_frame(spark.createDataFrame([("wild", 7, 5, 5, 5, "rel"), ("wild", 7, None, 5, 5, "rel"), ("wild", 7, 4, None, None, "res / rel")], schema))
+    s = Scenario(pots=("wild",), size=7)
+    assert ids(run_together(frame(spark, {}), [s, s], rows)) == ids(filter_scenario(frame(spark, {}), s, rows)) * 2 == ["a", "a"]
+
+
 def test_dedup_keeps_the_largest_and_breaks_ties_by_id(spark):
     df = frame(spark, {"rSize": 3, "resultID": "a"}, {"rSize": 4, "resultID": "c"}, {"rSize": 4, "resultID": "b"}, {"rSize": None, "resultID": "0"})
     assert ids(dedup.single_r_size(df)) == ["b"]

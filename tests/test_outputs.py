@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from talus import sinks
 from talus.functions import geometry, viewer
 from talus.plans import cli, workflow
+from talus.plans.scenario import filter_scenario
 from talus.sources import config, directory
 from talus.sources.fixtures import directory as view
 from talus.sources.fixtures import with_geometry
@@ -188,10 +189,62 @@ def test_geojson_source_with_mixed_shapes(spark, tmp_path):
         directory.read_directory(spark, str(tmp_path / "none.parquet"))
 
 
+def test_scenarios_of_a_run_share_one_scan(spark, tmp_path, monkeypatch):
+    """The joint plan of a configured run pushes the scenarios' disjunction to the scan, and stages each apart."""
+    source = view(spark, str(DATA / "sf0.001"))
+    source.write.parquet(str(tmp_path / "12_avaDirectory" / "one" / "avaDirectoryResults.parquet"))
+    path = winter_ini(tmp_path, "logFilterSteps = yes\nsortOutputs = yes", "winter, spring")
+    path.write_text(path.read_text() + "[FILTER.spring]\nname = Spring\nLKRegionID = 70601\nelevMin = 1800\nelevMax = 2200\nAvaDistributionPotential = very high\nAvaSizePotential = 3\n")
+    seen = []
+    real = workflow.run_together
+
+    def spied(df, scenarios, rows):
+        out = real(df, scenarios, rows)
+        spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+        seen.append(out._jdf.queryExecution().executedPlan().toString())
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        return out
+
+    monkeypatch.setattr(workflow, "run_together", spied)
+    monkeypatch.setattr(workflow, "filter_scenario", lambda *a: pytest.fail("run alone"))
+    written = workflow.run(config.read_config(path))
+    assert sorted(p.name for p in written) == ["avaScen_Spring.parquet", "avaScen_WinterA.parquet"]
+    (plan,) = seen
+    pushed = plan[plan.index("PushedFilters") :].split("\n")[0]
+    assert "Or(" in pushed and "GreaterThanOrEqual(elevMin,1800" in pushed and "In(LKGebietID, [70601,70602])" in pushed
+    assert plan.count("FileScan") <= 1 + plan.count("Union") and "InMemoryTableScan" not in plan
+    monkeypatch.undo()
+    for s in config.scenarios(config.read_config(path)):
+        alone = filter_scenario(source, s)
+        joint = spark.read.parquet(f"file://{tmp_path}/13_avaScenMaps/avaScen_{s.stem}.parquet")
+        assert joint.columns == alone.columns and sorted(joint.collect()) == sorted(alone.collect())
+        sizes = [r["rSize"] for r in joint.coalesce(1).collect()]
+        assert sizes == sorted(sizes, reverse=True)
+
+
+def test_a_joint_failure_falls_back_to_single_runs(spark, tmp_path):
+    df = view(spark, str(DATA / "sf0.001"))
+    broken = df.withColumn("PPM", df.PPM + 0.5)
+    both = [config.Scenario(name="x", pots=("high",), size=4), config.Scenario(name="y"), config.Scenario(name="z", lk=("70601",))]
+    results = workflow.run_scenarios(broken, both, staging=tmp_path / "staging")
+    assert [s.name for s, _ in results] == ["y", "z"]
+    whole = workflow.run_scenarios(df, both, staging=tmp_path / "again")
+    assert [s.name for s, _ in whole] == ["x", "y", "z"]
+    for s, result in whole:
+        alone = filter_scenario(df, s)
+        assert set(result.columns) == set(alone.columns)
+        assert sorted(result.select(*alone.columns).collect()) == sorted(alone.collect())
+
+
 def test_folder_outputs(spark, tmp_path):
     rows = view(spark, str(DATA / "sf0.001")).limit(50)
     sinks.write_parquet(rows, tmp_path / "d.parquet", single_file=False)
     assert spark.read.parquet(f"file://{tmp_path}/d.parquet").count() == 50
+    shaped = with_geometry(rows).repartition(3)
+    sinks.write_parquet(shaped, tmp_path / "g.parquet", single_file=False, crs={"id": "x"})
+    parts = list((tmp_path / "g.parquet").glob("part-*.parquet"))
+    assert len(parts) > 1 and all(directory.read_crs(str(p)) == {"id": "x"} for p in parts)
+    assert sorted(map(repr, spark.read.parquet(f"file://{tmp_path}/g.parquet").collect())) == sorted(map(repr, shaped.collect()))
 
 
 def test_viewer_columns(spark):
