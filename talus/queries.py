@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable
 from dataclasses import replace
@@ -106,6 +107,42 @@ def _with(body: str, ctes: str = f"{_VIEW}, {_MATRIX}") -> str:
     return f"WITH {ctes} {body}"
 
 
+def _shape_sql(s: Scenario, number: str, point: str, ring: str, polygon: str, multi: str) -> str:
+    """The scenario's rows with the fixture's squares as text; the formats hold numbers, points, rings and shapes."""
+
+    def rings(sign: str) -> str:
+        corners = ("x", "y"), ("x + side", "y"), ("x + side", "y + side"), ("x", "y + side"), ("x", "y")
+        points = (point.format(number.format(sign + f"({a})"), number.format(b)) for a, b in corners)
+        return ring.format(" || ".join(points))
+
+    shape = f"CASE modType WHEN 'rel' THEN {polygon.format(rings(''))} ELSE {multi.format(rings(''), rings('-'))} END"
+    return f"""SELECT * EXCLUDE (x, y, side), {shape} AS geometry FROM (
+        SELECT *, CAST(11 AS DOUBLE) + (praID % 997) / CAST(1000 AS DOUBLE) AS x, CAST(46 AS DOUBLE) + (praID % 499) / CAST(1000 AS DOUBLE) AS y,
+        CASE modType WHEN 'rel' THEN CAST(0.001 AS DOUBLE) ELSE CAST(0.01 AS DOUBLE) END AS side FROM ({_scenario_sql(s)}) w)"""
+
+
+def _json_sql(s: Scenario) -> str:
+    return _shape_sql(
+        s,
+        "CAST({} AS VARCHAR)",
+        "'[' || {} || ',' || {} || '],'",
+        "'[' || rtrim({}, ',') || ']'",
+        "'{{\"type\":\"Polygon\",\"coordinates\":[' || {} || ']}}'",
+        "'{{\"type\":\"MultiPolygon\",\"coordinates\":[[' || {} || '],[' || {} || ']]}}'",
+    )
+
+
+def _wkt_sql(s: Scenario) -> str:
+    return _shape_sql(
+        s,
+        "regexp_replace(CAST({} AS VARCHAR), '[.]0$', '')",
+        "{} || ' ' || {} || ', '",
+        "'(' || rtrim({}, ', ') || ')'",
+        "'POLYGON (' || {} || ')'",
+        "'MULTIPOLYGON ((' || {} || '), (' || {} || '))'",
+    )
+
+
 # ------------------------------------------------------------------- queries
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +170,8 @@ def _folder(spark: SparkSession) -> Path:
     base = Path(shared.removeprefix("file://")) if shared.startswith(("/", "file:/")) else None
     if base is not None:
         base.mkdir(parents=True, exist_ok=True)
+    elif not re.match(r"local(\[.*\])?$", spark.sparkContext.master):
+        raise RuntimeError("sinks need a mounted folder that driver and executors share in spark.checkpoint.dir")
     return Path(tempfile.mkdtemp(prefix="talus-out-", dir=base))
 
 
@@ -141,7 +180,7 @@ def scan_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return directory(spark, sf_dir)
 
 
-@_register("scan_geojson")
+@_register("scan_geojson", _with(_json_sql(WINTER)))
 def scan_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark) / "winter.geojson"
     sinks.write_geojson(with_geometry(scenario_winter(spark, sf_dir)), path)
@@ -230,8 +269,9 @@ def legend_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("legend_empty", _with(f"SELECT 'low' AS pot, max({SIZE}) AS max_size, CAST(0 AS BIGINT) AS selected FROM mat WHERE {POT} = 'low'", _MATRIX))
 def legend_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nothing = legend.apply(_normal(spark, sf_dir), ["low"], 5).agg(F.count("*").alias("selected"))
-    return diagnostics.max_size_for_pots(matrix.matrix(spark), ["low"]).join(nothing)
+    nothing = legend.apply(_normal(spark, sf_dir), ["low"], 5).select(F.lit("low").alias("pot"), F.lit(None).cast("long").alias("size"), F.lit(1).alias("n"))
+    largest = diagnostics.max_size_for_pots(matrix.matrix(spark), ["low"]).select("pot", F.col("max_size").alias("size"), F.lit(0).alias("n"))
+    return nothing.union(largest).groupBy("pot").agg(F.max("size").alias("max_size"), F.sum("n").cast("long").alias("selected"))
 
 
 @_register("tag_scenario", _with(f"SELECT *, {_tags_sql(_MULTI)} FROM dir"))
@@ -362,6 +402,13 @@ def rel_res_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.rel_res_pairs(directory(spark, sf_dir))
 
 
+@_register("sink_parquet_folder", _with(_wkt_sql(WINTER)))
+def sink_parquet_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark) / "winter.parquet"
+    sinks.write_parquet(with_geometry(scenario_winter(spark, sf_dir)), path, single_file=False)
+    return sinks.attributes(read_directory(spark, f"file://{path}"), with_wkt=True)
+
+
 @_register("sink_parquet", _with(_scenario_sql(WINTER)))
 def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark) / "winter.parquet"
@@ -380,26 +427,26 @@ def csv_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _csv(spark, path, sinks.attributes(rows))
 
 
-@_register("csv_wkt")
+@_register("csv_wkt", _with(_wkt_sql(WINTER)))
 def csv_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder(spark) / "winter.csv"
     sinks.write_csv(rows, path, with_wkt=True)
     return _csv(spark, path, sinks.attributes(rows, with_wkt=True))
 
 
-@_register("sink_geojson")
+@_register("sink_geojson", _with(_wkt_sql(WINTER)))
 def sink_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark) / "winter.geojson"
     sinks.write_geojson(with_geometry(scenario_winter(spark, sf_dir)), path)
-    return read_directory(spark, f"file://{path}")
+    return sinks.attributes(read_directory(spark, f"file://{path}"), with_wkt=True)
 
 
-@_register("sink_gpkg")
+@_register("sink_gpkg", _with(_wkt_sql(WINTER)))
 def sink_gpkg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder(spark) / "winter.gpkg"
     sinks.write_gpkg(rows, path)
     found = [tuple(r[c] for c in rows.columns) for r in sinks.read_gpkg(path)]
-    return spark.createDataFrame(found, rows.schema)
+    return sinks.attributes(spark.createDataFrame(found, rows.schema), with_wkt=True)
 
 
 @_register("viewer_visible", _with("SELECT praID, resultID, modType, modType = 'rel' AS viewer_visible FROM dir"))

@@ -37,16 +37,10 @@ def test_query_equals_its_sql(spark, duck, name):
     assert comparable(df.collect(), df.columns, order) == comparable(twin.fetchall(), twin.columns, order)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLE_SQL])
-def test_round_trips_keep_all_rows(spark, name):
-    """The sinks' round trips return the winter scenario's 32 rows."""
-    assert QUERIES[name](spark, str(SF)).count() == 32
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 @pytest.mark.parametrize(("name", "rows"), [("scenario_winter", 32), ("scenario_spring", 10), ("scenario_winter_and", 12), ("scenario_high4", 27), ("scenario_low2", 19), ("size1_rel_only", 17), ("master_union", 42), ("legend_multi_pot", 312)])
 def test_measured_counts(spark, name, rows):
     assert QUERIES[name](spark, str(SF)).count() == rows
-
-
-def test_every_key_has_a_query():
-    assert set(ORACLE_SQL) <= set(QUERIES)
