@@ -41,15 +41,26 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Spark's switch for giving back a query's shuffle files at its end.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage: lost executors cost a re-read, not the work before.
+    So nothing needs the shuffle files that led to the table, and they go at
+    once; else iterations pile them up until the driver collects its garbage.
     The table goes with :func:`discard`, or when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/talus-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     table = spark.read.schema(df.schema).parquet(path)
