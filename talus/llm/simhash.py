@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from talus.shipping import with_package
 
 from .bloom import MAX_BROADCAST, BlockedBloom, without
-from .common import fresh, materialise, spread
+from .common import discard, fresh, materialise, spread
 from .graph import components
 
 #: Words of a shingle, bits that linked fingerprints may differ in, and segments, of about as
@@ -394,17 +394,27 @@ def similar_groups(
     plan = [(bits * i, bits, 1) for i in range(64 * wide // bits)]
     search = nodes.select("node", *words)
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        asked = _nodes_of(pairs)
+        sets = _sets(docs, rows, asked, text, id_col, n)
+        found = _similar(pairs, sets, similarity)
+        discard(pairs, asked, sets)
+        return found
+
     near_by = materialise(_beside(search, words, plan, "w0", SKETCH_BITS), "beside")
-    near = _complete(near_by, search, words, CHAIN_DISTANCE)
-    along = _similar(near, _sets(docs, rows, _nodes_of(near), text, id_col, n), similarity)
+    along = verified(_complete(near_by, search, words, CHAIN_DISTANCE))
     if (crowds := _crowded(near_by)) is not None:
-        rooms, links = _spokes(crowds, _sets(docs, rows, crowds.select(F.col("node").alias("of")), text, id_col, n), similarity)
-        along = materialise(along.union(links), "along")
+        sets = _sets(docs, rows, crowds.select(F.col("node").alias("of")), text, id_col, n)
+        rooms, links = _spokes(crowds, sets, similarity)
+        discard(sets, crowds)
+        along = along.union(links)
         search = search.join(rooms.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").drop("of")
+    discard(near_by)
     chains = materialise(spread(_with_chain(search, along)), "chains")
     across = materialise(_search(chains, words, plan, "w0", SKETCH_BITS, similarity).distinct(), "across")
-    across = _complete(across, nodes.select("node", *words), words, WIDE_DISTANCE)
-    across = _similar(across, _sets(docs, rows, _nodes_of(across), text, id_col, n), similarity)
+    near = _complete(across, nodes.select("node", *words), words, WIDE_DISTANCE)
+    discard(across, chains)
+    across = verified(near)
     roots = components(along.union(across))
     rooted = nodes.join(roots.toDF("of", "root"), F.col("node") == F.col("of"), "left").select(
         "node", "least", F.coalesce("root", "node").alias("root")
@@ -434,10 +444,13 @@ def _sets(docs: DataFrame, rows: DataFrame, asked: DataFrame, text: str, id_col:
     """
     ids = rows.join(asked, F.col("node") == F.col("of"), "left_semi").groupBy("node").agg(F.min("doc_id").alias("id"))
     (hit,) = fresh(docs, "hit")
-    maybe = BlockedBloom(ids.select("id").distinct()).mark(docs, F.col(id_col), hit).where(hit)
+    known = BlockedBloom(ids.select("id").distinct())
+    maybe = known.mark(docs, F.col(id_col), hit).where(hit)
     own = _sketched(maybe, text, id_col, n, 0, True)
     own = own.join(asked, F.col("node") == F.col("of"), "left_semi")
-    return materialise(own.groupBy("node").agg(F.first("hashes").alias("hashes")), "shingles")
+    sets = materialise(own.groupBy("node").agg(F.first("hashes").alias("hashes")), "shingles")
+    discard(known.table)
+    return sets
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
