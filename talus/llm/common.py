@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talus.shipping import with_package
+
 #: Characters that separate words: space and \t \n \v \f \r.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -76,6 +78,19 @@ def discard(*tables: DataFrame) -> None:
             folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Spark's setting for the rows of a batch that goes to a Python worker, and what whole texts leave room for.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_ROWS = 1000
+
+
+def to_workers(df: DataFrame) -> DataFrame:
+    """``df`` for functions of this package over whole texts, in batches that neither side need hold many of."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_ROWS)) <= MOST_ROWS:
+        conf.set(BATCH_ROWS, str(MOST_ROWS))
+    return with_package(df)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt out over all shuffle partitions: for short rows that many others are made of."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

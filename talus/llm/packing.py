@@ -20,8 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talus.shipping import with_package
-
+from .common import to_workers
 from .encode import encoder, word_vocabulary
 
 LENGTH = 2048
@@ -141,5 +140,5 @@ def packed(
 
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
     arrow = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")] + [("ids", pa.list_(pa.int32()))] * with_ids)
-    read = with_package(docs).select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    read = to_workers(docs).select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return read.mapInArrow(rows, schema)

@@ -20,10 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talus.shipping import with_package
-
 from .bloom import MAX_BROADCAST, BlockedBloom, without
-from .common import discard, fresh, materialise, spread
+from .common import discard, fresh, materialise, spread, to_workers
 from .graph import components
 
 #: Words of a shingle, bits that linked fingerprints may differ in, and segments, of about as
@@ -47,8 +45,8 @@ NEAR_WORDS = 5
 SIMILARITY = 0.8
 WIDE_WORDS = 4
 SEGMENT_BITS = 18
-SKETCH_BITS = 16
-WIDE_DISTANCE = 15
+SKETCH_BITS = 15
+WIDE_DISTANCE = 12
 #: Neighbours in a table's order that chains are made of, and bits a word that they may differ in: chains
 #: may leave links out, which the search then finds.
 LAGS = 2
@@ -96,7 +94,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", n:
 
 
 def _read(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    return with_package(docs).select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return to_workers(docs).select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
 def segments(count: int = SEGMENTS, distance: int = DISTANCE) -> list[tuple[int, int, int]]:
@@ -240,7 +238,9 @@ def _search(
 
 
 def _beside(nodes: DataFrame, words: list[str], plan: list[tuple[int, int, int]], sketch: str, distance: int) -> DataFrame:
-    """``u, v``: neighbours in a table's order with ``sketch`` at most ``distance`` bits apart.
+    """``u, v, apart``: neighbours in a table's order with ``sketch`` at most ``distance`` bits apart.
+
+    ``apart`` counts the bits of all words.
 
     A bucket of more than ``WINDOW`` nodes is ordered in parts of about that
     many, dealt by a hash that differs in every table.
@@ -255,11 +255,18 @@ def _beside(nodes: DataFrame, words: list[str], plan: list[tuple[int, int, int]]
         part = F.pmod(F.xxhash64("node", "seg"), parts)
     order = Window.partitionBy("seg", "value", "part").orderBy(*dict.fromkeys((*words, "node")))
     at = table.withColumn("part", part)
-    before = (F.struct(F.lag("node", k).over(order).alias("u"), F.lag(sketch, k).over(order).alias("past")) for k in range(1, LAGS + 1))
-    at = at.select(*dict.fromkeys(("node", sketch)), F.array(*before).alias("before"))
-    near = F.filter("before", lambda x: F.bit_count(x["past"].bitwiseXOR(F.col(sketch))) <= distance)
-    pairs = at.select("node", F.inline(near))
-    return pairs.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
+    every = F.struct(*dict.fromkeys(("node", *words)))
+    before = F.array(*(F.lag(every, k).over(order) for k in range(1, LAGS + 1)))
+
+    def bits(x: Column, w: str) -> Column:
+        return F.bit_count(x[w].bitwiseXOR(F.col(w)))
+
+    near = F.filter(before, lambda x: bits(x, sketch) <= distance)
+    pairs = at.select(*dict.fromkeys(("node", *words)), near.alias("near")).select(
+        "node",
+        F.inline(F.transform("near", lambda x: F.struct(x["node"].alias("u"), sum((bits(x, w) for w in words), F.lit(0)).alias("apart")))),
+    )
+    return pairs.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"), "apart").distinct()
 
 
 def _with_chain(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -277,7 +284,7 @@ def chained(fps: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) ->
     of it, and the search need not emit the rest.
     """
     nodes = fps.withColumnRenamed("fp", "node")
-    links = _beside(nodes, ["node"], segments(count, distance), "node", distance)
+    links = _beside(nodes, ["node"], segments(count, distance), "node", distance).select("u", "v")
     return _with_chain(nodes, links).withColumnRenamed("node", "fp")
 
 
@@ -402,8 +409,9 @@ def similar_groups(
         return found
 
     near_by = materialise(_beside(search, words, plan, "w0", SKETCH_BITS), "beside")
-    along = verified(_complete(near_by, search, words, CHAIN_DISTANCE))
-    if (crowds := _crowded(near_by)) is not None:
+    close = near_by.where(F.col("apart") <= CHAIN_DISTANCE * wide).select("u", "v")
+    along = verified(materialise(close, "close"))
+    if (crowds := _crowded(near_by.select("u", "v"))) is not None:
         sets = _sets(docs, rows, crowds.select(F.col("node").alias("of")), text, id_col, n)
         rooms, links = _spokes(crowds, sets, similarity)
         discard(sets, crowds)
