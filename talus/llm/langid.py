@@ -46,19 +46,18 @@ _PLAINLY_OTHER = re.compile(r"[\W\d_]+")
 
 
 @cache
-def _other() -> tuple[re.Pattern, re.Pattern]:
+def _other() -> tuple[frozenset[str], re.Pattern]:
     """Marks and numbers, and runs of anything but letters and the marks that stand on them."""
     marks = "".join(chr(c) for c in range(0x300, 0x1E900) if unicodedata.category(chr(c))[0] == "M")
     numbers = "".join(chr(c) for c in range(0xB2, 0x1FC00) if unicodedata.category(chr(c)) in ("No", "Nl"))
-    odd = re.compile(f"[{re.escape(marks + numbers)}]")
-    return odd, re.compile(rf"(?:[^\w{re.escape(marks)}]|[\d_{re.escape(numbers)}])+")
+    return frozenset(marks + numbers), re.compile(rf"(?:[^\w{re.escape(marks)}]|[\d_{re.escape(numbers)}])+")
 
 
 def _plain(text: str) -> str:
     low = text.lower()
     odd, other = _other()
     # Without marks and such numbers the plain class says the same, much faster.
-    return f" {(other if odd.search(low) else _PLAINLY_OTHER).sub(' ', low).strip()} "
+    return f" {(_PLAINLY_OTHER if odd.isdisjoint(low) else other).sub(' ', low).strip()} "
 
 
 def has_letter(text: str | None) -> bool:
