@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, licenses, mixing, packing, quality, simhash, token_counts, toxicity, urls
+from . import exact_dedup, langid, licenses, mixing, packing, quality, simhash, token_counts, toxicity, urls, whitening
 from .common import read
 
 
@@ -52,6 +52,16 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).drop("blocks")
 
 
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def vector_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op12 says of each row without its components."""
+    return op12_whiten(spark, sf_dir).where("component = 1").select("vec_id", "n", "deviation")
+
+
 def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op1 measures and decides before it learns anything."""
     s = quality.statistics(F.col("text"))
@@ -76,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_pack": op9_pack,
     "op10_licenses": op10_licenses,
+    "op12_whiten": op12_whiten,
+    "vector_deviations": vector_deviations,
     "quality_statistics": quality_statistics,
     "mix_targets": mix_targets,
 }
@@ -119,6 +131,23 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed FROM s
     """,
+    "vector_deviations": f"""
+        WITH u AS (
+          SELECT vec_id, list_transform(embedding, c -> CAST(floor({whitening.SCALE} * CAST(c AS DOUBLE)) AS HUGEINT)) AS x
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+        ),
+        longest AS (SELECT max(len(x)) AS size FROM u),
+        padded AS (
+          SELECT row_number() OVER () AS r, vec_id, list_concat(x, list_transform(range(size - len(x)), i -> 0::HUGEINT)) AS x FROM u, longest
+        ),
+        fit AS (SELECT DISTINCT x FROM padded),
+        sums AS (SELECT d, sum(x[d]) AS s FROM fit, (SELECT unnest(range(1, size + 1)) AS d FROM longest) GROUP BY d),
+        counted AS (SELECT count(*) AS n FROM fit),
+        entries AS (SELECT r, vec_id, unnest(x) AS c, unnest(range(1, len(x) + 1)) AS d FROM padded)
+        SELECT any_value(vec_id) AS vec_id, any_value(n) AS n, CAST(sum((n * c - s) * (n * c - s)) AS BIGINT) AS deviation
+        FROM entries JOIN sums USING (d), counted GROUP BY r
+    """,
     "mix_targets": f"""
         WITH sizes AS (
           SELECT source, CAST(sum(len({_SPLIT})) AS BIGINT) AS source_size FROM documents GROUP BY source
