@@ -133,13 +133,13 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "vector_deviations": f"""
         WITH u AS (
-          SELECT vec_id, list_transform(embedding, c -> CAST(floor({whitening.SCALE} * CAST(c AS DOUBLE)) AS HUGEINT)) AS x
+          SELECT vec_id, list_transform(embedding, lambda c: CAST(floor({whitening.SCALE} * CAST(c AS DOUBLE)) AS HUGEINT)) AS x
           FROM embeddings
-          WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
         ),
         longest AS (SELECT max(len(x)) AS size FROM u),
         padded AS (
-          SELECT row_number() OVER () AS r, vec_id, list_concat(x, list_transform(range(size - len(x)), i -> 0::HUGEINT)) AS x FROM u, longest
+          SELECT row_number() OVER () AS r, vec_id, list_concat(x, list_transform(range(size - len(x)), lambda i: 0::HUGEINT)) AS x FROM u, longest
         ),
         fit AS (SELECT DISTINCT x FROM padded),
         sums AS (SELECT d, sum(x[d]) AS s FROM fit, (SELECT unnest(range(1, size + 1)) AS d FROM longest) GROUP BY d),
