@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, licenses, mixing, packing, quality, simhash, token_counts, toxicity, urls, whitening
+from . import exact_dedup, langid, licenses, mixing, negatives, packing, quality, simhash, token_counts, toxicity, urls, whitening
 from .common import read
+from .vectors import SCALE
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,13 @@ def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(rows.withColumn("label", moved))
+
+
 def vector_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op12 says of each row without its components."""
     return op12_whiten(spark, sf_dir).where("component = 1").select("vec_id", "n", "deviation")
@@ -87,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pack": op9_pack,
     "op10_licenses": op10_licenses,
     "op12_whiten": op12_whiten,
+    "op13_hard_negatives": op13_hard_negatives,
     "vector_deviations": vector_deviations,
     "quality_statistics": quality_statistics,
     "mix_targets": mix_targets,
@@ -131,9 +140,34 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed FROM s
     """,
+    "op13_hard_negatives": f"""
+        WITH ok AS (
+          SELECT row_number() OVER () AS r, vec_id,
+                 CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda c: greatest(least(CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS HUGEINT), {negatives.MOST_COMPONENT}), -{negatives.MOST_COMPONENT})) AS x
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ),
+        longest AS (SELECT max(len(x)) AS size FROM ok),
+        rows AS (SELECT r, vec_id, label, list_concat(x, list_transform(range(size - len(x)), lambda i: 0)) AS x FROM ok, longest),
+        scored AS (
+          SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same,
+                 CAST(list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i])) AS BIGINT) AS score
+          FROM rows a JOIN rows b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+        ),
+        positive AS (
+          SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id NULLS LAST, b) <= 5
+        )
+        SELECT p.anchor_id, p.id AS positive_id,
+               CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.id NULLS LAST, n.b) AS INTEGER) AS rank,
+               n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positive p JOIN scored n ON p.a = n.a AND NOT n.same
+         AND 80 * CAST(p.score AS HUGEINT) <= 100 * CAST(n.score AS HUGEINT) AND n.score <= p.score
+        QUALIFY rank <= 5
+    """,
     "vector_deviations": f"""
         WITH u AS (
-          SELECT vec_id, list_transform(embedding, lambda c: CAST(floor({whitening.SCALE} * CAST(c AS DOUBLE)) AS HUGEINT)) AS x
+          SELECT vec_id, list_transform(embedding, lambda c: CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS HUGEINT)) AS x
           FROM embeddings
           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
         ),
