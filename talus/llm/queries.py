@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, licenses, mixing, negatives, packing, quality, simhash, token_counts, toxicity, urls, whitening
+from . import exact_dedup, factorisation, langid, licenses, mixing, negatives, packing, quality, simhash, token_counts, toxicity, urls, whitening
 from .common import read
 from .vectors import SCALE
 
@@ -53,6 +53,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).drop("blocks")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factorisation.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = whitening.whiten(read(spark, sf_dir, "embeddings"))
     return out.withColumn("deviation", F.col("deviation").try_cast("long"))
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_pack": op9_pack,
     "op10_licenses": op10_licenses,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_whiten": op12_whiten,
     "op13_hard_negatives": op13_hard_negatives,
     "vector_deviations": vector_deviations,

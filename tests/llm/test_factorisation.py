@@ -1,0 +1,123 @@
+"""The factorisation machine: its identity, what it learns, held-out labels, bounded samples and awkward rows."""
+
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from talus.llm import factorisation, samples
+from talus.llm.queries import QUERIES
+
+from ..conftest import DATA
+from .rows import awkward
+
+
+def model_of(rng, edges=1):
+    model = factorisation.Model((), [np.array([0.5, 1.5])] * edges, bias=0.3)
+    model.weights, model.vectors = rng.normal(size=model.size), rng.normal(size=(model.size, factorisation.RANK))
+    return model
+
+
+@settings(deadline=None, max_examples=30)
+@given(st.lists(st.lists(st.integers(0, factorisation.BUCKETS - 1), unique=True, max_size=9), min_size=1, max_size=5), st.integers(0, 2**32 - 1))
+def test_one_pass_equals_all_pairs(buckets, seed):
+    rng = np.random.default_rng(seed)
+    model = model_of(rng, edges=2)
+    weights = [rng.normal(size=len(b)) for b in buckets]
+    numbers = rng.choice([0.0, 1.0, 2.0, np.nan], (len(buckets), 2))
+    rows = model.rows([np.array(b, dtype=int) for b in buckets], weights, numbers)
+    for i, score in enumerate(model.scores(rows)):
+        places, values = (a[rows.starts[i] : rows.starts[i + 1]] for a in (rows.places, rows.values))
+        assert places[: len(buckets[i])].tolist() == buckets[i] and len(places) == len(buckets[i]) + 2
+        assert [p >= factorisation.BUCKETS for p in places] == [False] * len(buckets[i]) + [True, True]
+        margin = model.bias + model.weights[places] @ values
+        margin += sum(model.vectors[p] @ model.vectors[q] * a * b for (p, a), (q, b) in combinations(zip(places, values), 2))
+        assert score == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9)
+
+
+def test_pairs_are_learned_that_no_weight_could():
+    """Two words that are good alone and together bad: the sum of their weights can't say so."""
+    rng = np.random.default_rng(1)
+    kinds = rng.integers(0, 4, 1200)
+    buckets = [np.array([10 + 2 * (k >> 1), 11 + 2 * (k & 1)]) for k in kinds]
+    y = np.array([float((k >> 1) != (k & 1)) for k in kinds])
+    model = factorisation.Model(())
+    rows = model.rows(buckets, [np.ones(2)] * len(kinds), np.zeros((len(kinds), 0)))
+    for _ in range(4):
+        model.train(rows, y)
+    assert ((model.scores(rows) > 0.5) == y).all()
+
+
+def test_what_is_read_of_a_text():
+    reader = factorisation.Reader()
+    buckets, weights, statistics = reader("And and AND b!!\nb!! | 12\n| 12\n")
+    named = dict(zip(factorisation.STATISTICS, statistics))
+    words = {zlib.crc32(w) % factorisation.BUCKETS for w in (b"and", b"b!!", b"|", b"12")}
+    assert set(buckets.tolist()) == words and np.sqrt((weights**2).sum()) == pytest.approx(1, abs=1e-6)
+    assert named["words"] == np.log1p(9) and named["stutters"] == 1 / 9 and named["bars"] == 2 / 9 and named["bangs"] == 4 / 9
+    assert named["shouted"] == 1 / 9 and named["capitals"] == 4 / 11 and named["distinct"] == 6 / 9 and named["repeated_lines"] == 0
+    assert reader("a b\na b\n\n c")[2][factorisation.STATISTICS.index("repeated_lines")] == pytest.approx(1 / 3)
+    for nothing in (None, "", " \n\t"):
+        assert [len(part) for part in reader(nothing)] == [0, 0, len(factorisation.STATISTICS)] and sum(reader(nothing)[2]) == 0
+
+
+def test_held_out_labels(spark):
+    folder = str(DATA / "sf0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("quality IS NOT NULL")
+    out = QUERIES["op11_quality_classifier"](spark, folder)
+    assert out.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    rows = out.cache().join(labels, "doc_id").where("held_out").select("quality", "predicted", "score").collect()
+    assert out.count() == 10_000 and out.where("score < 0 OR score > 1 OR predicted <> cast(score >= 0.3 as int)").count() == 0
+    assert out.where("held_out <> (crc32(cast(cast(doc_id as string) as binary)) % 5 = 0)").count() == 0
+    good = np.array([r["quality"] for r in rows]) == 1
+    said = np.array([r["predicted"] for r in rows]) == 1
+    assert said[good].mean() > 0.99 and (~said[~good]).mean() > 0.85
+    # Ranked: a good document scores above a bad one.
+    scores = np.array([r["score"] for r in rows])
+    assert (scores[good][:, None] > scores[~good][None, :]).mean() > 0.97
+
+
+def test_columns_that_are_no_inputs(spark):
+    df = spark.read.parquet(str(DATA / "sf0.01" / "documents.parquet"))
+    labels = spark.read.parquet(str(DATA / "sf0.01" / "labels.parquet"))
+    model = factorisation.fit(df, labels)
+    other = df.withColumns({"lang": F.lit("xx"), "source": F.lit(None).cast("string"), "doc_id": -F.col("doc_id")})
+    one, two = (sorted((abs(r["doc_id"]), r["score"]) for r in factorisation.score(d, model).collect()) for d in (df, other))
+    assert one == two
+    # Reruns agree, however the rows come.
+    again = factorisation.fit(df.repartition(7), labels.repartition(3))
+    assert np.array_equal(again.weights, model.weights) and np.array_equal(again.vectors, model.vectors)
+
+
+def test_a_sample_is_bounded_by_rows_not_ids(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(300)] + [(1, "copy")] * 300 + [(2, "b"), (None, "c"), (4, "no label")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (2, 0), (3, 1), (None, 1), (5, None)], "doc_id long, quality int")
+    picked = samples.labelled(docs, labels, {"text": F.col("text")}, "doc_id", "quality", F.lit(True), 50).collect()
+    assert len(picked) <= 50 and len({(r["of"], r["text"]) for r in picked}) == len(picked)
+    whole = samples.labelled(docs, labels, {"text": F.col("text")}, "doc_id", "quality", F.lit(True), 5000).collect()
+    assert len(whole) == 302 and {r["text"] for r in whole if r["of"] == 2} == {"b"} and {r["y"] for r in whole if r["of"] == 2} == {0}
+    # And by hashed words: all texts are of one or two.
+    few = factorisation.fit(docs, labels, entries=20)
+    assert 0 < few.prior <= 1
+    assert factorisation.fit(docs, labels, entries=0).prior == 0.5
+
+
+def test_awkward_rows(spark):
+    df = awkward(spark).withColumns({"y": F.lit(1), "h": F.lit(2), "m0": F.lit("z"), "text_": F.lit(3), "_id": F.lit(4), "part": F.lit(5)})
+    labels = spark.createDataFrame([(i, i % 2, 0, "x", 1) for i in range(13)], "doc_id long, quality int, y int, text string, h int")
+    rows = factorisation.rate(df, labels).collect()
+    assert len(rows) == df.count() and all(0 <= r["score"] <= 1 for r in rows)
+    texts = {r["doc_id"]: r["score"] for r in rows}
+    assert texts[7] == texts[8]  # one text, and one n_chars
+    assert factorisation.rate(awkward(spark, empty=True), labels).count() == 0
+    none = factorisation.rate(df, labels.where("false")).collect()
+    assert {(r["score"], r["predicted"]) for r in none} == {(0.5, 1)}
+    ones = factorisation.rate(df.drop("n_chars"), labels.withColumn("quality", F.lit(1))).collect()
+    assert {r["score"] for r in ones} == {1.0}
+    model = factorisation.fit(df.where("n_chars IS NOT NULL"), labels)
+    assert factorisation.score(df.withColumn("n_chars", F.lit("many")), model).where("score IS NULL OR isnan(score)").count() == 0
+    assert factorisation.score(df.drop("n_chars"), model).count() == df.count()
