@@ -69,6 +69,23 @@ def decode(wkb: bytes | None) -> dict | None:
     return None if wkb is None else _decode(_Reader(bytes(wkb)))
 
 
+def bounds(wkb: bytes | None) -> tuple[float, float, float, float] | None:
+    """Least x and y, greatest x and y of a geometry; None for a null or an empty one."""
+    if wkb is None:
+        return None
+
+    def points(part: dict) -> list:
+        if part["type"] == "GeometryCollection":
+            return [p for g in part["geometries"] for p in points(g)]
+        level = [part["coordinates"]] if part["type"] == "Point" else part["coordinates"]
+        while level and level[0] and isinstance(level[0][0], list):
+            level = [p for below in level for p in below]
+        return [p for p in level if p]
+
+    found = points(decode(wkb))
+    return (*map(min, zip(*(p[:2] for p in found))), *map(max, zip(*(p[:2] for p in found)))) if found else None
+
+
 def encode(geometry: dict | None) -> bytes | None:
     """Little-endian WKB of a GeoJSON geometry; the inverse of :func:`decode`."""
     if geometry is None:

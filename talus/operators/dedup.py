@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talus.schema import VARIANT_KEY
 
 
-def _first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+def _first(df: DataFrame, keys: list, order: list) -> DataFrame:
     nth = "__nth"
     ranked = df.withColumn(nth, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col(nth) == 1).drop(nth)
@@ -36,3 +38,31 @@ def one_per_area(df: DataFrame) -> DataFrame:
     order += [F.desc_nulls_last("rSize")] if "rSize" in df.columns else []
     order += [F.col("resultID")] if "resultID" in df.columns else []
     return _first(df, ["praID"], order or [F.lit(0)])
+
+
+def ranked_together(df: DataFrame, of: Callable[[list], Column], areas: list[bool], singles: list[bool]) -> DataFrame:
+    """The rows that each scenario of a joint table keeps, by one window whatever their kinds.
+
+    ``of`` gives a scenario's constant. Scenarios in ``areas`` keep a row for
+    each ``praID`` as :func:`one_per_area` does, which leaves nothing for the
+    other rule; those in ``singles`` one for each group of variants as
+    :func:`single_r_size` does; all others every row.
+    """
+    areas = [a and "praID" in df.columns for a in areas]
+    singles = [s and not a and "rSize" in df.columns for a, s in zip(areas, singles)]
+    if all(singles):
+        return single_r_size(df, ("scenario",))
+    if not any(areas) and not any(singles):
+        return df
+    area, single = of(areas), of(singles)
+    alone, of_area = "__alone", "__of_area"
+    # A row that isn't ranked is a group of its own.
+    rows = df.withColumns({alone: F.when(~(area | single), F.monotonically_increasing_id()), of_area: area})
+    keys = ["scenario", alone, "praID"] if "praID" in df.columns else ["scenario", alone]
+    keys += [F.when(~F.col(of_area), F.col(c)) for c in VARIANT_KEY if c in df.columns and c != "praID"]
+    have = [c for c in ("PEM", "PPM") if c in df.columns]
+    order = [F.asc_nulls_last(F.when(F.col(of_area), F.col("PEM")))] if "PEM" in have else []
+    order += [F.desc_nulls_last("rSize")] if "rSize" in df.columns else []
+    order += [F.col("resultID")] if "resultID" in df.columns else []
+    order += [F.when(~F.col(of_area), F.col(c)) for c in have]
+    return _first(rows, keys, order or [F.lit(0)]).drop(alone, of_area)

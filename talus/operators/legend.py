@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,21 @@ def check_keys(df: DataFrame) -> None:
         raise UnusableKeys(f"rows whose key is not a whole number: {wrong}")
 
 
+def whole_key(df: DataFrame, name: str, bound: Column) -> Column:
+    """A key column as whole numbers; where ``bound``, a number that isn't whole fails the query that meets it.
+
+    So a run needs no look at the data before its own. Other rows' keys that
+    aren't whole become null.
+    """
+    value, dtype = F.col(name), df.schema[name].dataType
+    if not isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return value.cast("long")
+    inf = float("inf")
+    loose = (value != F.floor(value)) | value.cast("double").isin(inf, -inf)
+    said = F.concat(F.lit(f"UnusableKeys: {name} is not a whole number: "), value.cast("string"))
+    return F.when(~F.coalesce(loose, F.lit(False)), value.try_cast("long")).when(bound, F.raise_error(said).cast("long"))
+
+
 def warn_of_no_cell(pots: Iterable[str], size: int | None, rows: list[matrix.Cell]) -> None:
     log.warning("no cell for %s, size %s; largest sizes: %s", list(pots), size, matrix.max_sizes(rows, pots))
 
@@ -48,20 +63,28 @@ def tag(df: DataFrame, pots: Iterable[str], size: int) -> DataFrame:
     )
 
 
-def admissible(df: DataFrame, selection: list[matrix.Cell]) -> DataFrame:
-    """Rows whose key is among the selected cells; zero rows if a key column is missing."""
+def admissible(df: DataFrame, selection: list[matrix.Cell], eager: bool = True) -> DataFrame:
+    """Rows whose key is among the selected cells; zero rows if a key column is missing.
+
+    Keys are checked here, or with ``eager`` unset by the query itself.
+    """
     if not set(MATRIX_KEY) <= set(df.columns):
         log.warning("the matrix join needs the columns %s", ", ".join(MATRIX_KEY))
         return df.where(F.lit(False))
-    check_keys(df)
-    keyed = df.withColumns({c: F.col(c).cast("long") for c in MATRIX_KEY[:3]})
+    if eager:
+        check_keys(df)
+        keyed = df.withColumns({c: F.col(c).cast("long") for c in MATRIX_KEY[:3]})
+    else:
+        keyed = df.withColumns({c: whole_key(df, c, F.lit(True)) for c in MATRIX_KEY[:3]})
     keys = matrix.allowed(df.sparkSession, selection)
     if len(selection) <= BROADCAST_CELLS:
         keys = F.broadcast(keys)
     return keyed.join(keys, list(MATRIX_KEY), "left_semi")
 
 
-def apply(df: DataFrame, pots: Iterable[str], size: int, rows: list[matrix.Cell] | None = None) -> DataFrame:
+def apply(
+    df: DataFrame, pots: Iterable[str], size: int, rows: list[matrix.Cell] | None = None, eager: bool = True
+) -> DataFrame:
     """The whole stage. No cell for the levels and size: zero rows, untagged.
 
     Size 1 asks only for release areas, one for each ``praID``; the cells'
@@ -75,7 +98,7 @@ def apply(df: DataFrame, pots: Iterable[str], size: int, rows: list[matrix.Cell]
         return df.where(F.lit(False))
     df = tag(df, pots, size)
     if size != 1:
-        return admissible(df, selection)
+        return admissible(df, selection, eager)
     if "modType" not in df.columns:
         log.error("size 1 needs the column modType")
         return df.where(F.lit(False))

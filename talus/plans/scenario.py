@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from talus.functions.normalize import normalize
@@ -17,18 +17,23 @@ from talus.sources.config import Scenario
 log = logging.getLogger(__name__)
 
 
+#: The predicates of a scenario, in their order.
+STEPS = ("region", "subC", "sector", "flow", "elevMin", "elevMax")
+
+
 def attribute_predicates(df: DataFrame, s: Scenario) -> list[tuple[str, Column | None]]:
     """The named predicates of a scenario, in their order, over a normalised frame."""
     low = predicates.elevation(df, low=s.elev_min)
     high = predicates.elevation(df, high=s.elev_max)
-    return [
-        ("region", predicates.region(df, s.lk, s.lwd, s.region_mode)),
-        ("subC", predicates.sub_catchment(df, s.sub_catchments)),
-        ("sector", predicates.sector(df, s.sectors)),
-        ("flow", predicates.flow(df, s.flows)),
-        ("elevMin", low[0] if low else None),
-        ("elevMax", high[0] if high else None),
-    ]
+    found = (
+        predicates.region(df, s.lk, s.lwd, s.region_mode),
+        predicates.sub_catchment(df, s.sub_catchments),
+        predicates.sector(df, s.sectors),
+        predicates.flow(df, s.flows),
+        low[0] if low else None,
+        high[0] if high else None,
+    )
+    return list(zip(STEPS, found))
 
 
 def filtered(df: DataFrame, s: Scenario) -> DataFrame:
@@ -39,18 +44,19 @@ def filtered(df: DataFrame, s: Scenario) -> DataFrame:
     return out
 
 
-def filter_scenario(df: DataFrame, s: Scenario, rows: list[matrix.Cell] | None = None) -> DataFrame:
+def filter_scenario(df: DataFrame, s: Scenario, rows: list[matrix.Cell] | None = None, eager: bool = True) -> DataFrame:
     """The scenario's rows of a directory table.
 
     ``rows`` is another hazard matrix. Raises UnusableKeys where a surviving
-    row's matrix key isn't whole.
+    row's matrix key isn't whole; with ``eager`` unset no look is taken at the
+    data here, and the query that meets such a row fails.
     """
     out = filtered(normalize(predicates.pushable_elevation(df, s.elev_min, s.elev_max)), s)
     if s.debug_keys and set(MATRIX_KEY) <= set(out.columns):
         for r in diagnostics.join_key_topn(out).collect():
             log.info("matrix key %s", r.asDict())
     if s.uses_matrix:
-        out = legend.apply(out, s.pots, s.size, rows)
+        out = legend.apply(out, s.pots, s.size, rows, eager)
     return dedup.single_r_size(out) if s.single_r_size else out
 
 
@@ -59,30 +65,34 @@ def master(results: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
 
 
-def run_together(df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cell] | None = None) -> DataFrame:
-    """All scenarios' rows in one pass over the data and one shuffle, with a column ``scenario`` (position, from 0).
+def run_together(
+    df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cell] | None = None, counts: Observation | None = None
+) -> DataFrame:
+    """All scenarios' rows in one scan of the data and one shuffle, with a column ``scenario`` (position, from 0).
 
-    Equal to :func:`filter_scenario` for each, with the tags null where a
-    scenario has no matrix stage, and for scenarios that keep variants too.
-    Each row is tested against all predicates at once, and only matches go on.
-    A cell of another matrix with a null in its key matches no row.
+    Equal to :func:`filter_scenario` for each, whatever mix of kinds they are,
+    with the tags null where a scenario has no matrix stage. Each row is tested
+    against all predicates at once, and only matches go on. A cell of another
+    matrix with a null in its key matches no row; a key that isn't whole fails
+    the query. ``counts`` receives how many rows each step of each scenario
+    leaves (:func:`diagnostics.steps_of`): then all rows are read, since a
+    predicate that reached the scan would leave its rows uncounted.
     """
     rows = matrix.cells() if rows is None else rows
-    asked = [predicates.pushable(df, s.lk, s.lwd, s.region_mode, s.sub_catchments, s.elev_min, s.elev_max) for s in scenarios]
-    if all(a is not None for a in asked):
-        df = df.where(reduce(lambda a, b: a | b, asked))
+    if counts is None:
+        asked = [predicates.pushable(df, s.lk, s.lwd, s.region_mode, s.sub_catchments, s.elev_min, s.elev_max) for s in scenarios]
+        if all(a is not None for a in asked):
+            df = df.where(reduce(lambda a, b: a | b, asked))
     base = normalize(df)
+    steps = [attribute_predicates(base, s) for s in scenarios]
+    if counts is not None:
+        base = base.observe(counts, *diagnostics.step_counts(steps))
     tests = []
-    for s in scenarios:
+    for s, own in zip(scenarios, steps):
         if s.uses_matrix and not matrix.select(rows, s.pots, s.size):
             legend.warn_of_no_cell(s.pots, s.size, rows)
-        test = F.lit(True)
-        for _, p in attribute_predicates(base, s):
-            if p is not None:
-                test = test & p
-        if s.uses_matrix and s.size == 1:
-            test = test & (F.col("modType") == "rel")
-        tests.append(test)
+        test = reduce(lambda a, b: a & b, (p for _, p in own if p is not None), F.lit(True))
+        tests.append(test & (F.col("modType") == "rel") if s.uses_matrix and s.size == 1 else test)
     matching = F.array(*(F.when(test, F.lit(i)) for i, test in enumerate(tests)))
     hit = base.where(reduce(lambda a, b: a | b, tests)).withColumn("scenario", F.explode(F.array_compact(matching)))
 
@@ -97,36 +107,38 @@ def run_together(df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cel
             "sector": F.when(of([bool(s.sectors) for s in scenarios]), predicates.uppered(F.col("sector"))).otherwise(F.col("sector")),
         }
     )
-    legend.check_keys(tagged.where(F.col(SIZE) > 1))
-    keys = [
+    # A scenario without a matrix stage, or of size 1 with a cell, takes any key.
+    free = [not s.uses_matrix or (s.size == 1 and bool(matrix.select(rows, s.pots, 1))) for s in scenarios]
+    every = tagged if all(free) else _of_cells(tagged, scenarios, rows, of, free)
+    areas = [s.uses_matrix and s.size == 1 for s in scenarios]
+    return dedup.ranked_together(every, of, areas, [s.single_r_size for s in scenarios])
+
+
+def _of_cells(tagged: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cell], of: Callable, free: list[bool]) -> DataFrame:
+    """Rows whose key is among the cells that their scenario selects, and all rows of free scenarios."""
+    keys = {
         (i, c.ppm, c.pem, c.r_size, kind)
         for i, s in enumerate(scenarios)
         if s.uses_matrix and s.size != 1
         for c in matrix.select(rows, s.pots, s.size)
         if None not in (c.ppm, c.pem, c.r_size)
         for kind in c.mod_type.split(" / ")
-    ]
-    # A scenario without a matrix stage, or of size 1 with a cell, takes any key.
-    free = [not s.uses_matrix or (s.size == 1 and bool(matrix.select(rows, s.pots, 1))) for s in scenarios]
-    schema = "scenario int, PPM long, PEM long, rSize long, modType string"
-    cells = df.sparkSession.createDataFrame(sorted(set(keys), key=repr), schema)
+    }
+    names = [f"__{c}" for c in MATRIX_KEY[:3]]
+    schema = f"scenario int, {', '.join(f'{n} long' for n in names)}, modType string"
+    cells = tagged.sparkSession.createDataFrame(sorted(keys, key=repr), schema)
     if len(keys) <= legend.BROADCAST_CELLS:
         cells = F.broadcast(cells)
-    by_key = tagged.where(~of(free)).join(cells, ["scenario", *MATRIX_KEY], "left_semi")
-    by_key = by_key.withColumns({c: F.col(c).cast("long") for c in MATRIX_KEY[:3] if c in base.columns})
-    first = [s.uses_matrix and s.size == 1 for s in scenarios]
-    parts = [by_key]
-    if any(free):
-        parts.append(tagged.where(of(free) & ~of(first)))
-    if any(first):
-        areas = tagged.where(of(free) & of(first))
-        key = F.struct("scenario", "praID")
-        parts.append(dedup.one_per_area(areas.withColumn("__pra", F.col("praID")).withColumn("praID", key)).withColumn("praID", F.col("__pra")).drop("__pra"))
-    every = reduce(lambda a, b: a.unionByName(b), parts)
-    single = of([s.single_r_size for s in scenarios])
-    if all(s.single_r_size for s in scenarios):
-        return dedup.single_r_size(every, ("scenario",))
-    return dedup.single_r_size(every.where(single), ("scenario",)).unionByName(every.where(~single))
+    bound = F.lit(True) if not any(free) else ~of(free)
+    checked = {n: legend.whole_key(tagged, c, bound & (F.col(SIZE) > 1)) for n, c in zip(names, MATRIX_KEY)}
+    keyed, on = tagged.withColumns(checked), ["scenario", *names, "modType"]
+    if not any(free):
+        found = keyed.join(cells, on, "left_semi")
+        whole = {c: F.col(n) for n, c in zip(names, MATRIX_KEY)}
+        return found.withColumns(whole).select("scenario", *MATRIX_KEY, *(c for c in tagged.columns if c not in ("scenario", *MATRIX_KEY)))
+    listed = cells.withColumn("__listed", F.lit(True))
+    found = keyed.join(listed, on, "left").where(of(free) | F.col("__listed"))
+    return found.select("scenario", *MATRIX_KEY, *(c for c in tagged.columns if c not in ("scenario", *MATRIX_KEY)))
 
 
 def one_of(together: DataFrame, s: Scenario, position: int) -> DataFrame:

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from talus import sinks
 from talus.functions import viewer
-from talus.functions.geometry import wkb_to_geojson
+from talus.functions.geometry import wkb_to_geojson, wkb_to_wkt
 from talus.functions.normalize import normalize
 from talus.operators import dedup, diagnostics, legend, matrix, predicates
 from talus.plans.scenario import attribute_predicates, filter_scenario, filtered, master, run_together
-from talus.schema import POT, SIZE, VARIANT_KEY
+from talus.schema import PAIR_KEY, POT, SIZE, VARIANT_KEY
+from talus.shipping import with_package
 from talus.sources.config import Scenario
-from talus.sources.directory import read_geojson, read_directory
+from talus.sources.directory import read_directory, read_geojson, write_bucketed
 from talus.sources.fixtures import RAW_SQL, directory, with_geometry
 
 WINTER = Scenario(
@@ -107,8 +108,8 @@ def _with(body: str, ctes: str = f"{_VIEW}, {_MATRIX}") -> str:
     return f"WITH {ctes} {body}"
 
 
-def _shape_sql(s: Scenario, number: str, point: str, ring: str, polygon: str, multi: str) -> str:
-    """The scenario's rows with the fixture's squares as text; the formats hold numbers, points, rings and shapes."""
+def _shape_sql(source: str, number: str, point: str, ring: str, polygon: str, multi: str) -> str:
+    """A query's rows with the fixture's squares as text; the formats hold numbers, points, rings and shapes."""
 
     def rings(sign: str) -> str:
         corners = ("x", "y"), ("x + side", "y"), ("x + side", "y + side"), ("x", "y + side"), ("x", "y")
@@ -118,12 +119,12 @@ def _shape_sql(s: Scenario, number: str, point: str, ring: str, polygon: str, mu
     shape = f"CASE modType WHEN 'rel' THEN {polygon.format(rings(''))} ELSE {multi.format(rings(''), rings('-'))} END"
     return f"""SELECT * EXCLUDE (x, y, side), {shape} AS geometry FROM (
         SELECT *, CAST(11 AS DOUBLE) + (praID % 997) / CAST(1000 AS DOUBLE) AS x, CAST(46 AS DOUBLE) + (praID % 499) / CAST(1000 AS DOUBLE) AS y,
-        CASE modType WHEN 'rel' THEN CAST(0.001 AS DOUBLE) ELSE CAST(0.01 AS DOUBLE) END AS side FROM ({_scenario_sql(s)}) w)"""
+        CASE modType WHEN 'rel' THEN CAST(0.001 AS DOUBLE) ELSE CAST(0.01 AS DOUBLE) END AS side FROM ({source}) w)"""
 
 
 def _json_sql(s: Scenario) -> str:
     return _shape_sql(
-        s,
+        _scenario_sql(s),
         "CAST({} AS VARCHAR)",
         "'[' || {} || ',' || {} || '],'",
         "'[' || rtrim({}, ',') || ']'",
@@ -133,8 +134,12 @@ def _json_sql(s: Scenario) -> str:
 
 
 def _wkt_sql(s: Scenario) -> str:
+    return _as_wkt_sql(_scenario_sql(s))
+
+
+def _as_wkt_sql(source: str) -> str:
     return _shape_sql(
-        s,
+        source,
         "regexp_replace(CAST({} AS VARCHAR), '[.]0$', '')",
         "{} || ' ' || {} || ', '",
         "'(' || rtrim({}, ', ') || ')'",
@@ -328,6 +333,29 @@ def scenarios_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_together(directory(spark, sf_dir), _ALL)
 
 
+#: All kinds: of the matrix, of size 1, without a matrix stage, and one that keeps all variants.
+FREE = replace(WINTER, name="Free", pots=(), size=None, sub_catchments=(600,))
+EVERY = replace(WINTER, name="Every variant", pots=("high",), size=3, single_r_size=False)
+_MIXED = [WINTER, SIZE1, FREE, EVERY]
+
+
+def _kind_sql(s: Scenario) -> str:
+    untagged = f"CAST(NULL AS VARCHAR) AS {POT}, CAST(NULL AS BIGINT) AS {SIZE}"
+    if not s.uses_matrix:
+        return f"SELECT *, {untagged} FROM ({_filtered_sql(s)}) f QUALIFY {_SINGLE}"
+    if s.size == 1:
+        return f"SELECT *, {_tags_sql(s)} FROM (SELECT * FROM ({_filtered_sql(s)}) f WHERE modType = 'rel') a QUALIFY {_AREA}"
+    return _scenario_sql(s) if s.single_r_size else f"SELECT *, {_tags_sql(s)} FROM ({_joined_sql(s, f'({_filtered_sql(s)}) f')}) j"
+
+
+@_register(
+    "scenarios_mixed",
+    _with(" UNION ALL ".join(f"(SELECT *, CAST({i} AS INTEGER) AS scenario FROM ({_kind_sql(s)}) s{i})" for i, s in enumerate(_MIXED))),
+)
+def scenarios_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_together(directory(spark, sf_dir), _MIXED)
+
+
 @_register(
     "scenario_summary",
     _with(
@@ -402,6 +430,26 @@ def rel_res_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.rel_res_pairs(directory(spark, sf_dir))
 
 
+_SIDE = "SELECT praID, resultID, sector AS {0}_sector, rSize AS {0}_rSize, geometry AS {0}_geometry FROM s WHERE modType = '{0}'"
+_SHAPED = _as_wkt_sql(f"SELECT * FROM dir WHERE {_region_sql(WINTER_AND)}")
+
+
+@_register(
+    "rel_res_joined",
+    _with(f"SELECT * FROM ({_SIDE.format('rel')}) a JOIN ({_SIDE.format('res')}) b USING (praID, resultID)", f"{_VIEW}, s AS ({_SHAPED})"),
+)
+def rel_res_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both geometries of each run, over a bucketed copy of some regions."""
+    df = _normal(spark, sf_dir)
+    rows = with_geometry(df.where(predicates.region(df, WINTER_AND.lk, WINTER_AND.lwd, "and")))
+    folder = _folder(spark) / "runs"
+    table = f"talus_{folder.parent.name.replace('-', '_').lower()}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = write_bucketed(rows.select(*PAIR_KEY, "modType", "sector", "rSize", "geometry"), table, folder, buckets)
+    both = diagnostics.rel_res_joined(runs)
+    return with_package(both).withColumns({f"{k}_geometry": wkb_to_wkt(f"{k}_geometry") for k in ("rel", "res")})
+
+
 @_register("sink_parquet_folder", _with(_wkt_sql(WINTER)))
 def sink_parquet_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark) / "winter.parquet"

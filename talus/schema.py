@@ -17,6 +17,9 @@ LOWERED = ("flow", "modType")
 #: Fixed values. Join key of the hazard matrix.
 MATRIX_KEY = ("PPM", "PEM", "rSize", "modType")
 
+#: Fixed values. What a run's release and runout rows share.
+PAIR_KEY = ("praID", "resultID")
+
 #: Fixed values. Rows that agree in these (as far as present) are variants of one release area.
 VARIANT_KEY = (
     "praID", "praAreaM", "praElevMin", "praElevMax", "praElevMean", "praElevBand", "praElevBandRule",

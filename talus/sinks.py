@@ -1,32 +1,36 @@
-"""Scenario outputs: Parquet, CSV, GeoJSON and GeoPackage.
-
-Everything is written beside its place and renamed at the end, so that a
-half-written output never looks like a whole one. Parquet and CSV are single
-files where ``single_file`` is set (results are of scenario size) and folders
-of part files, written by as many tasks, otherwise; GeoJSON and GeoPackage are single files by nature and
-stream through the driver, a partition at a time.
+"""Scenario outputs: Parquet, CSV, GeoJSON and GeoPackage, on any file system that Spark knows.
+
+Everything is written beside its place and put there at the end, so that a
+half-written output never looks like a whole one. Tasks write all rows; the
+driver joins or merges what they wrote, as bytes. Parquet and CSV are single
+files where ``single_file`` is set (results are of scenario size) and folders of
+part files otherwise; GeoJSON is one FeatureCollection, or with ``parts`` one for
+each task; GeoPackage is a single file by nature.
 """
 
 from __future__ import annotations
 
 import json
 import logging
-import shutil
 import sqlite3
 import struct
-import uuid
+import tempfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talus.functions.geometry import decode, wkb_to_geojson, wkb_to_wkt
+from talus.functions.geometry import bounds, decode, wkb_to_geojson, wkb_to_wkt
 from talus.schema import GEOMETRY
 from talus.shipping import with_package
+from talus.sources import files
+from talus.sources.directory import COMMON
+from talus.sources.files import Place, Uri
 
 log = logging.getLogger(__name__)
 
@@ -35,40 +39,39 @@ log = logging.getLogger(__name__)
 class Outputs:
     """Where to write; None leaves a format out."""
 
-    parquet: Path | None = None
-    geojson: Path | None = None
-    gpkg: Path | None = None
-    csv: Path | None = None
+    parquet: Place | None = None
+    geojson: Place | None = None
+    gpkg: Place | None = None
+    csv: Place | None = None
     csv_wkt: bool = False
     single_file: bool = True
     by_size: bool = False
     crs: object | None = None
+    geojson_parts: bool = False
 
-    def paths(self) -> list[Path]:
+    def paths(self) -> list[Place]:
         return [p for p in (self.parquet, self.gpkg, self.geojson, self.csv) if p is not None]
 
 
-def _replace(made: Path, path: Path) -> None:
-    if path.is_dir():
-        shutil.rmtree(path)
-    made.replace(path)
-
-
-def _written(df: DataFrame, path: Path, single: bool, write: Callable[[DataFrame, str], None]) -> None:
-    beside = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
+def _written(df: DataFrame, path: Place, single: bool, write: Callable[[DataFrame, Place], None]) -> None:
+    """Have tasks write ``df`` next to ``path``, then put it there: the folder, or its only part."""
+    files.check_writable(path)
+    beside = files.beside(path)
     try:
-        write(df.coalesce(1) if single else df, f"file://{beside.absolute()}")
-        if not single:
-            _replace(beside, path)
-            return
-        part = next(p for p in sorted(beside.iterdir()) if p.name.startswith("part-"))
-        _replace(part, path)
+        write(df.coalesce(1) if single else df, beside)
+        files.publish(files.listed(beside, "part-*")[0] if single else beside, path)
     finally:
-        shutil.rmtree(beside, ignore_errors=True)
+        files.delete(beside)
+
+
+def _geo(kinds: set[str], crs: object | None) -> str:
+    """What a footer says that makes a Parquet file with WKB a geo-parquet one; no kind of shape means any."""
+    column = {"encoding": "WKB", "geometry_types": sorted(kinds)} | ({"crs": crs} if crs is not None else {})
+    return json.dumps({"version": "1.0.0", "primary_column": GEOMETRY, "columns": {GEOMETRY: column}})
 
 
 def _with_geo_footer(path: Path, crs: object | None) -> None:
-    """Add the footer that makes a Parquet file with WKB a geo-parquet one."""
+    """Complete the footer of a file that this machine has, with the kinds of shapes in it."""
     import pyarrow.parquet as pq
 
     source = pq.ParquetFile(path)
@@ -78,10 +81,8 @@ def _with_geo_footer(path: Path, crs: object | None) -> None:
         for wkb in source.read_row_group(group, columns=[GEOMETRY]).column(0):
             if wkb.is_valid:
                 kinds.add(decode(wkb.as_py())["type"])
-    column = {"encoding": "WKB", "geometry_types": sorted(kinds)} | ({"crs": crs} if crs is not None else {})
-    geo = {"version": "1.0.0", "primary_column": GEOMETRY, "columns": {GEOMETRY: column}}
     schema = source.schema_arrow
-    schema = schema.with_metadata((schema.metadata or {}) | {b"geo": json.dumps(geo).encode()})
+    schema = schema.with_metadata((schema.metadata or {}) | {b"geo": _geo(kinds, crs).encode()})
     with pq.ParquetWriter(beside, schema) as writer:
         for group in range(source.num_row_groups):
             writer.write_table(source.read_row_group(group).cast(schema))
@@ -89,14 +90,47 @@ def _with_geo_footer(path: Path, crs: object | None) -> None:
     beside.replace(path)
 
 
-def write_parquet(df: DataFrame, path: Path, single_file: bool = True, crs: object | None = None) -> None:
-    """One geo-parquet file, or a folder of them, whose footers the tasks that hold them complete."""
+def _footed(spark: SparkSession, part: Uri, crs: object | None) -> None:
+    """The same for a file of another file system: its pages are copied as they are, under a new footer."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    parquet, util = jvm.org.apache.parquet.hadoop, jvm.org.apache.parquet.hadoop.util
+    made = files.beside(part)
+    source = util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(str(part)), conf)
+    to = util.HadoopOutputFile.fromPath(jvm.org.apache.hadoop.fs.Path(str(made)), conf)
+    reader = parquet.ParquetFileReader.open(source)
+    try:
+        old = reader.getFooter().getFileMetaData()
+        mode = getattr(parquet, "ParquetFileWriter$Mode").CREATE
+        writer = parquet.ParquetFileWriter(to, old.getSchema(), mode, 128 << 20, 8 << 20)
+        writer.start()
+        writer.appendFile(source)
+        said = jvm.java.util.HashMap(old.getKeyValueMetaData())
+        said.put("geo", _geo(set(), crs))
+        writer.end(said)
+    finally:
+        reader.close()
+    files.publish(made, part)
+
+
+def write_parquet(df: DataFrame, path: Place, single_file: bool = True, crs: object | None = None) -> None:
+    """One geo-parquet file, or a folder of them.
 
-    def write_parts(d: DataFrame, to: str) -> None:
-        d.write.parquet(to)
+    On a mounted file system the tasks that hold a folder's parts complete their
+    footers; on any other the folder has one common footer for all of them.
+    """
+    spark = df.sparkSession
+
+    def write_parts(d: DataFrame, to: Place) -> None:
+        d.write.parquet(files.spark_path(to))
         if GEOMETRY not in df.columns:
             return
-        parts = [(str(p), p.name) for p in sorted(Path(to.removeprefix("file://")).glob("part-*"))]
+        parts = files.listed(to, "part-*")
+        if isinstance(to, Uri):
+            if single_file:
+                _footed(spark, parts[0], crs)
+            else:
+                _common_footer(spark, parts, to, crs)
+            return
 
         def complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -104,12 +138,26 @@ def write_parquet(df: DataFrame, path: Path, single_file: bool = True, crs: obje
                     _with_geo_footer(Path(part.as_py()), crs)
                 yield batch.select(["part"])
 
-        files = df.sparkSession.createDataFrame(parts, "part string, name string")
-        with_package(files).repartition(max(1, len(parts)), "name").mapInArrow(complete, "part string").count()
+        names = spark.createDataFrame([(str(p), p.name) for p in parts], "part string, name string")
+        with_package(names).repartition(max(1, len(parts)), "name").mapInArrow(complete, "part string").count()
 
     _written(df, path, single_file, write_parts)
 
 
+def _common_footer(spark: SparkSession, parts: list[Place], folder: Uri, crs: object | None) -> None:
+    """A file without rows whose footer speaks for all of a folder's."""
+    if not parts:
+        return
+    from pyspark.sql.pandas.types import to_arrow_schema
+    import pyarrow.parquet as pq
+
+    schema = to_arrow_schema(spark.read.parquet(str(parts[0])).schema)
+    with tempfile.TemporaryDirectory() as here:
+        local = Path(here) / COMMON
+        pq.write_metadata(schema.with_metadata({b"geo": _geo(set(), crs).encode()}), local)
+        files.put(local, folder / COMMON)
+
+
 def attributes(df: DataFrame, with_wkt: bool = False) -> DataFrame:
     """Columns for a text file: geometry dropped, or as WKT."""
     if GEOMETRY not in df.columns:
@@ -117,9 +165,9 @@ def attributes(df: DataFrame, with_wkt: bool = False) -> DataFrame:
     return with_package(df).withColumn(GEOMETRY, wkb_to_wkt(GEOMETRY)) if with_wkt else df.drop(GEOMETRY)
 
 
-def write_csv(df: DataFrame, path: Path, with_wkt: bool = False, single_file: bool = True) -> None:
+def write_csv(df: DataFrame, path: Place, with_wkt: bool = False, single_file: bool = True) -> None:
     flat = attributes(df, with_wkt)
-    _written(flat, path, single_file, lambda d, to: d.write.option("header", True).option("emptyValue", "").csv(to))
+    _written(flat, path, single_file, lambda d, to: d.write.option("header", True).option("emptyValue", "").csv(files.spark_path(to)))
 
 
 def features(df: DataFrame) -> DataFrame:
@@ -131,14 +179,47 @@ def features(df: DataFrame) -> DataFrame:
     return with_package(df).select(text.alias("feature"))
 
 
-def write_geojson(df: DataFrame, path: Path) -> None:
-    beside = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-    with beside.open("w", encoding="utf-8") as out:
-        out.write(f'{{"type":"FeatureCollection","name":{json.dumps(path.stem)},"features":[\n')
-        for i, row in enumerate(features(df).toLocalIterator(prefetchPartitions=True)):
-            out.write((",\n" if i else "") + row["feature"])
-        out.write("\n]}\n")
-    _replace(beside, path)
+#: What tasks write after each feature, and the driver leaves off after the last.
+_BETWEEN = ",\n"
+
+
+def _collection(name: str) -> str:
+    return f'{{"type":"FeatureCollection","name":{json.dumps(name)},"features":[\n'
+
+
+def _collections(df: DataFrame, name: str) -> DataFrame:
+    """The lines of one FeatureCollection for each partition, a feature on each."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = _collection(name)
+        for batch in batches:
+            texts = batch.column("feature").to_pylist()
+            if texts:
+                yield pa.RecordBatch.from_pydict({"line": [before + texts[0], *("," + t for t in texts[1:])]})
+                before = ","
+        yield pa.RecordBatch.from_pydict({"line": [("" if before == "," else before) + "]}"]})
+
+    return features(df).mapInArrow(lines, "line string")
+
+
+def write_geojson(df: DataFrame, path: Place, parts: bool = False) -> None:
+    """One FeatureCollection, or a folder with one for each task (``parts``).
+
+    Tasks write features, by Spark's own writer: a failed one leaves nothing.
+    For one file their parts are joined in order, stream to stream.
+    """
+    if parts:
+        _written(_collections(df, path.stem), path, False, lambda d, to: d.write.text(files.spark_path(to)))
+        return
+    files.check_writable(path)
+    made, beside = files.beside(path, path.suffix), files.beside(path)
+    try:
+        features(df).write.option("lineSep", _BETWEEN).text(files.spark_path(beside))
+        files.joined(files.listed(beside, "part-*"), made, _collection(path.stem), "\n]}\n", len(_BETWEEN))
+        files.publish(made, path)
+    finally:
+        files.delete(beside)
+        files.delete(made)
 
 
 #: The tables that the GeoPackage standard requires, and its reference systems.
@@ -165,42 +246,101 @@ def _sql_type(dtype: T.DataType) -> str:
     return {"binary": "BLOB", "boolean": "BOOLEAN"}.get(dtype.typeName(), "TEXT")
 
 
-def write_gpkg(df: DataFrame, path: Path, layer: str | None = None, srs_id: int = -1) -> None:
-    """A GeoPackage with one feature layer, named after the file."""
-    layer = layer or path.stem
-    beside = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-    columns = [f for f in df.schema if f.name != GEOMETRY]
-    has_shape = GEOMETRY in df.columns
+#: Rows of one database that a task makes.
+_CHUNK = 5000
+
+
+def _quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
 
-    def quoted(name: str) -> str:
-        return '"' + name.replace('"', '""') + '"'
+def _layer(columns: list[tuple[str, str]], srs_id: int) -> tuple[str, Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]]:
+    """The statement that makes a table ``layer``, and a task's function that fills one after another with its rows."""
+    key = "fid" if "fid" not in {n.lower() for n, _ in columns} else "_fid"
+    create = f"({', '.join([f'{key} INTEGER PRIMARY KEY AUTOINCREMENT', *(f'{_quoted(n)} {kind}' for n, kind in columns)])})"
+    names = [n for n, _ in columns]
+    insert = f"INSERT INTO layer ({', '.join(map(_quoted, names))}) VALUES ({', '.join('?' * len(names))})"
+    head = b"GP\x00\x01" + struct.pack("<i", srs_id)
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, chunk = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, _CHUNK):
+                some = batch.slice(at, _CHUNK)
+                values = [some.column(n).to_pylist() for n in names]
+                box: list[float | None] = [None] * 4
+                if GEOMETRY in names:
+                    place = names.index(GEOMETRY)
+                    boxes = [b for b in map(bounds, values[place]) if b]
+                    if boxes:
+                        low, high = zip(*(b[:2] for b in boxes)), zip(*(b[2:] for b in boxes))
+                        box = [*map(min, low), *map(max, high)]
+                    values[place] = [None if v is None else head + v for v in values[place]]
+                db = sqlite3.connect(":memory:")
+                db.execute(f"CREATE TABLE layer {create}")
+                db.executemany(insert, zip(*values))
+                db.commit()
+                row = {"part": part, "chunk": chunk, "db": db.serialize(), **dict(zip(_BOX, box))}
+                db.close()
+                chunk += 1
+                yield pa.RecordBatch.from_pylist([row], schema=made)
+
+    made = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("db", pa.binary()), *((b, pa.float64()) for b in _BOX)])
+    return create, filled
+
+
+_BOX = ("min_x", "min_y", "max_x", "max_y")
+
+
+def write_gpkg(df: DataFrame, path: Place, layer: str | None = None, srs_id: int = -1) -> None:
+    """A GeoPackage with one feature layer, named after the file, and its extent.
+
+    Tasks turn their rows into small databases, staged as a table next to the
+    place; the driver attaches one at a time and has it copied, page to page.
+    """
+    files.check_writable(path)
+    layer = layer or path.stem
+    plain = (T.IntegralType, T.FractionalType, T.StringType, T.BinaryType, T.BooleanType)
+    shaped = [f for f in df.schema if f.name != GEOMETRY] + [f for f in df.schema if f.name == GEOMETRY]
+    texts = {f.name: F.col(f"`{f.name}`") if isinstance(f.dataType, plain) else F.col(f"`{f.name}`").cast("string") for f in shaped}
+    columns = [(f.name, "BLOB" if f.name == GEOMETRY else _sql_type(f.dataType)) for f in shaped]
+    create, filled = _layer(columns, srs_id)
+    beside = files.beside(path)
+    rows = with_package(df).select(*(c.alias(n) for n, c in texts.items()))
+    schema = f"part int, chunk int, db binary, {', '.join(f'{b} double' for b in _BOX)}"
+    try:
+        rows.mapInArrow(filled, schema).write.parquet(files.spark_path(beside))
+        made = df.sparkSession.read.schema(schema).parquet(files.spark_path(beside))
+        extent = made.agg(*(f(b).alias(b) for f, b in zip((F.min, F.min, F.max, F.max), _BOX))).first()
+        with tempfile.TemporaryDirectory() as here:
+            whole = Path(here) / "whole.gpkg"
+            _merged(made, whole, layer, create, [n for n, _ in columns], srs_id, [extent[b] for b in _BOX])
+            files.put(whole, path)
+    finally:
+        files.delete(beside)
 
-    def blob(wkb: bytes | None) -> bytes | None:
-        return None if wkb is None else b"GP\x00\x01" + struct.pack("<i", srs_id) + bytes(wkb)
 
-    db = sqlite3.connect(beside)
+def _merged(made: DataFrame, whole: Path, layer: str, create: str, names: list[str], srs_id: int, extent: list[float | None]) -> None:
+    """One GeoPackage of the tasks' databases, in their order."""
+    part = whole.with_name("part.db")
+    listed = ", ".join(map(_quoted, names))
+    has_shape = GEOMETRY in names
+    db = sqlite3.connect(whole, isolation_level=None)
     try:
         db.executescript(f"PRAGMA application_id = {_APPLICATION_ID}; PRAGMA user_version = 10200; {_GPKG_TABLES}")
-        own = [f"{quoted(f.name)} {_sql_type(f.dataType)}" for f in columns] + [f"{GEOMETRY} BLOB"] * has_shape
-        key = "fid" if "fid" not in {f.name.lower() for f in columns} else "_fid"
-        db.execute(f"CREATE TABLE {quoted(layer)} ({', '.join([f'{key} INTEGER PRIMARY KEY AUTOINCREMENT', *own])})")
+        db.execute(f"CREATE TABLE {_quoted(layer)} {create}")
+        for row in made.select("part", "chunk", "db").orderBy("part", "chunk").toLocalIterator():
+            part.write_bytes(row["db"])
+            db.execute("ATTACH ? AS part", (str(part),))
+            db.execute(f"INSERT INTO {_quoted(layer)} ({listed}) SELECT {listed} FROM part.layer ORDER BY rowid")
+            db.execute("DETACH part")
+        columns = "table_name, data_type, identifier, srs_id, min_x, min_y, max_x, max_y"
         kind = "features" if has_shape else "attributes"
-        db.execute("INSERT INTO gpkg_contents (table_name, data_type, identifier, srs_id) VALUES (?, ?, ?, ?)", (layer, kind, layer, srs_id))
+        db.execute(f"INSERT INTO gpkg_contents ({columns}) VALUES ({', '.join('?' * 8)})", (layer, kind, layer, srs_id, *extent))
         if has_shape:
             db.execute("INSERT INTO gpkg_geometry_columns VALUES (?, ?, 'GEOMETRY', ?, 0, 0)", (layer, GEOMETRY, srs_id))
-        names = [f.name for f in columns] + [GEOMETRY] * has_shape
-        insert = f"INSERT INTO {quoted(layer)} ({', '.join(map(quoted, names))}) VALUES ({', '.join('?' * len(names))})"
-        plain = (T.IntegralType, T.FractionalType, T.StringType, T.BinaryType, T.BooleanType)
-        convert = [(lambda v: v) if isinstance(f.dataType, plain) else (lambda v: None if v is None else str(v)) for f in columns]
-        rows = (
-            [c(v) for c, v in zip(convert, row)] + ([blob(row[-1])] if has_shape else [])
-            for row in df.select(*names).toLocalIterator(prefetchPartitions=True)
-        )
-        db.executemany(insert, rows)
-        db.commit()
     finally:
         db.close()
-    _replace(beside, path)
 
 
 def read_gpkg(path: Path, layer: str | None = None) -> list[dict]:
@@ -217,7 +357,7 @@ def read_gpkg(path: Path, layer: str | None = None) -> list[dict]:
     return rows
 
 
-def write(df: DataFrame, to: Outputs) -> list[Path]:
+def write(df: DataFrame, to: Outputs) -> list[Place]:
     """Write every asked format; one that fails is logged and the others go on. Returns what was written.
 
     A result without rows writes nothing. Only the folder of the first format
@@ -230,10 +370,10 @@ def write(df: DataFrame, to: Outputs) -> list[Path]:
         df = df.orderBy(F.desc_nulls_last("rSize"))
     paths = [p for p in (to.parquet, to.geojson, to.gpkg, to.csv) if p is not None]
     if paths:
-        paths[0].parent.mkdir(parents=True, exist_ok=True)
+        files.make_folder(paths[0].parent)
     jobs = [
         (to.parquet, lambda p: write_parquet(df, p, to.single_file, to.crs)),
-        (to.geojson, lambda p: write_geojson(df, p)),
+        (to.geojson, lambda p: write_geojson(df, p, to.geojson_parts)),
         (to.gpkg, lambda p: write_gpkg(df, p)),
         (to.csv, lambda p: write_csv(df, p, to.csv_wkt, to.single_file)),
     ]

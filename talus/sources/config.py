@@ -1,15 +1,17 @@
-"""Configuration files, path rules and scenario sections. All on the driver, without Spark."""
+"""Configuration files, path rules and scenario sections. All on the driver."""
 
 from __future__ import annotations
 
 import configparser
 import logging
-import os
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from talus.sources import files
+from talus.sources.files import Place
+
 log = logging.getLogger(__name__)
 
 #: Names in the folder tree that runs share with other steps.
@@ -34,23 +36,24 @@ def read_config(path: str | Path) -> configparser.ConfigParser:
 
 @dataclass(frozen=True)
 class Paths:
-    base: Path
-    directory: Path
-    output: Path
-    raster: Path
+    base: Place
+    directory: Place
+    output: Place
+    raster: Place
 
 
 def resolve_paths(cfg: configparser.ConfigParser) -> Paths:
     """Input and output of a run, and the output folder made.
 
-    In the mode ``customPaths`` they are given. Otherwise they lie under the
-    base folder, where the input may be one level deeper: one such file wins
-    over one directly in the folder, several raise RuntimeError.
+    Places may be on any file system that Spark knows. In the mode
+    ``customPaths`` they are given. Otherwise they lie under the base folder,
+    where the input may be one level deeper: one such file wins over one
+    directly in the folder, several raise RuntimeError.
     """
     given = dict(cfg["PATHS"]) if cfg.has_section("PATHS") else {}
 
-    def place(key: str, default: str | Path = "") -> Path:
-        return Path(os.path.expandvars(str(given.get(key.lower(), default)))).expanduser()
+    def place(key: str, default: object = "") -> Place:
+        return files.place(given.get(key.lower(), default))
 
     base = place("baseDir", Path.cwd())
     if cfg.get("WORKFLOW", "mapperPathMode", fallback="").strip().lower() == "custompaths":
@@ -61,16 +64,16 @@ def resolve_paths(cfg: configparser.ConfigParser) -> Paths:
     else:
         paths = Paths(
             base,
-            _only_one((base / INPUT_DIR).glob(f"*/{INPUT_FILE}"), base / INPUT_DIR / INPUT_FILE),
+            _only_one(files.listed(base / INPUT_DIR, "*", INPUT_FILE), base / INPUT_DIR / INPUT_FILE),
             base / OUTPUT_DIR,
-            min((base / RASTER_DIR).glob(RASTER_GLOB), default=base / RASTER_DIR / RASTER_FILE),
+            min(files.listed(base / RASTER_DIR, RASTER_GLOB), default=base / RASTER_DIR / RASTER_FILE),
         )
-    paths.output.mkdir(parents=True, exist_ok=True)
+    files.make_folder(paths.output)
     return paths
 
 
-def _only_one(found: Iterable[Path], otherwise: Path) -> Path:
-    """The one path found, ``otherwise`` if there is none."""
+def _only_one(found: Iterable[Place], otherwise: Place) -> Place:
+    """The one place found, ``otherwise`` if there is none."""
     first, *more = sorted(found) or [otherwise]
     if more:
         raise RuntimeError(f"several inputs, name one in customPaths mode: {', '.join(map(str, (first, *more)))}")

@@ -5,35 +5,10 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from talus.functions.geometry import geojson_to_wkb
-from talus.schema import GEOMETRY, RANGED
-from talus.shipping import with_package
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is something at a path of any file system that Spark reads."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(str(path))
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def read_geojson(spark: SparkSession, path: str, properties: T.StructType | None = None) -> DataFrame:
-    """The features of a FeatureCollection: properties as columns, geometry as WKB.
-
-    Geometries are read as text, since inference degrades mixed types; the
-    properties' types are inferred where no schema is given.
-    """
-    if properties is None:
-        features = spark.read.option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-        found = next((f.dataType for f in features.schema["f"].dataType if f.name == "properties"), None)
-        properties = found if isinstance(found, T.StructType) else T.StructType()
-    feature = T.StructType().add("properties", properties).add(GEOMETRY, T.StringType())
-    schema = T.StructType().add("features", T.ArrayType(feature))
-    rows = with_package(spark.read.schema(schema).option("multiLine", True).json(path)).select(F.explode("features").alias("f"))
-    columns = [F.col(f"f.properties.`{c}`") for c in properties.names]
-    return rows.select(*columns, geojson_to_wkb(F.col(f"f.{GEOMETRY}")).alias(GEOMETRY))
+from talus.schema import GEOMETRY, PAIR_KEY, RANGED
+from talus.sources import files
+from talus.sources.geojson import read as read_geojson
 
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
@@ -41,11 +16,23 @@ def read_directory(spark: SparkSession, path: str) -> DataFrame:
 
     Raises FileNotFoundError where there is nothing.
     """
-    if not exists(spark, path):
+    at = files.place(path)
+    if not files.exists(at):
         raise FileNotFoundError(path)
-    if str(path).lower().endswith(".geojson"):
-        return read_geojson(spark, str(path))
-    return spark.read.parquet(str(path))
+    if at.suffix.lower() == ".geojson":
+        return read_geojson(spark, files.spark_path(at))
+    return spark.read.parquet(files.spark_path(at))
+
+
+def write_bucketed(df: DataFrame, table: str, at: files.Place, buckets: int) -> DataFrame:
+    """``df`` as a catalog table at a place, in buckets by run, sorted; returns it.
+
+    Joins and groups by run (``praID, resultID``) over the table need no shuffle.
+    """
+    files.check_writable(at)
+    writer = df.repartition(buckets, *PAIR_KEY).write.bucketBy(buckets, *PAIR_KEY).sortBy(*PAIR_KEY)
+    writer.mode("overwrite").option("path", files.spark_path(at)).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def read_attributes(spark: SparkSession, path: str) -> DataFrame:
@@ -55,14 +42,36 @@ def read_attributes(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*(f"`{c}`" for c in df.columns if c.lower() in wanted))
 
 
-def read_crs(path: str) -> object | None:
-    """The coordinate system that a geo-parquet footer names, or None. Looks at one footer on the driver."""
-    import pyarrow.parquet as pq
-    from pathlib import Path
+def _footer(at: files.Place) -> dict[str, str]:
+    """The texts that a Parquet file's footer holds beside its schema."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(files.spark_path(at))
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, spark._jsc.hadoopConfiguration())
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        return dict(reader.getFooter().getFileMetaData().getKeyValueMetaData())
+    finally:
+        reader.close()
+
+
+#: What a folder of Parquet files says of all of them.
+COMMON = "_common_metadata"
 
-    local = Path(str(path).removeprefix("file://"))
-    file = next(iter(sorted(local.rglob("*.parquet"))), None) if local.is_dir() else local
-    if file is None or not file.exists():
+
+def read_crs(path: object) -> object | None:
+    """The coordinate system that a geo-parquet file names, or None; of a folder, what it says of all or its first file.
+
+    Looks at one footer on the driver, on any file system.
+    """
+    at = files.place(path)
+    if files.is_folder(at):
+        common = at / COMMON
+        below = [common] if files.exists(common) else files.listed(at, "*.parquet") or files.listed(at, "*", "*.parquet")
+        if not below:
+            return None
+        at = below[0]
+    elif not files.exists(at):
         return None
-    geo = json.loads((pq.read_schema(file).metadata or {}).get(b"geo", b"{}"))
+    geo = json.loads(_footer(at).get("geo") or "{}")
     return geo.get("columns", {}).get(geo.get("primary_column", GEOMETRY), {}).get("crs")
