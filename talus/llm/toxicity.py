@@ -22,15 +22,18 @@ from pyspark.sql import functions as F
 
 from talus.shipping import with_package
 
-from .common import fold, materialise
+from .common import fold
+from .samples import labelled
 
-#: Labelled documents of the sample, at most, and its parts for lexicon, trees and calibration.
+#: Labelled rows of the sample, at most, and its parts for lexicon, trees and calibration.
 SAMPLE = 24_000
 PARTS = (0.6, 0.85)
 #: Lexicon: entries at most; toxic documents that have an entry, at least, and its precision.
 LEXICON = 20_000
 LEAST_DOCS = 4
 LEAST_PRECISION = 0.8
+#: Entries that a task counts before it passes their counts on.
+COUNTED = 500_000
 #: Lengths of word beginnings that the lexicon may hold.
 STEMS = (4, 5, 6, 7, 8)
 #: Words around a lexicon word that second-person words are looked for in.
@@ -226,26 +229,7 @@ class ToxicityModel:
     def scores(self, x: np.ndarray) -> np.ndarray:
         if self.trees is None or self.knots is None:
             return np.full(len(x), self.prior)
-        margin = self.trees.margin(x)
-        # The margin's own order stays visible within a flat step of the map.
-        calibrated = np.interp(margin, *self.knots)
-        return np.clip(0.98 * calibrated + 0.02 / (1 + np.exp(-margin)), 0.0, 1.0)
-
-
-def _sampled(docs: DataFrame, labels: DataFrame, text: str, id_col: str, label: str, train: Column, size: int) -> DataFrame:
-    """``part, text, y`` of at most ``size`` labelled training documents, the same in every run."""
-    known = (
-        labels.where(train & F.col(label).isNotNull())
-        .groupBy(F.col(id_col).alias("of"))
-        .agg((F.avg(label) >= 0.5).cast("int").alias("y"))
-        .orderBy(F.xxhash64("of"), "of")
-        .limit(size)
-        .withColumn("u", F.pmod(F.xxhash64("of", F.lit(7)), F.lit(10_000)) / 10_000)
-    )
-    part = F.when(F.col("u") < PARTS[0], 0).when(F.col("u") < PARTS[1], 1).otherwise(2)
-    # The sample's ids are SAMPLE rows at most, so they go to the texts and not the texts to them.
-    known = F.broadcast(materialise(known.select("of", "y", part.alias("part")), "labelled"))
-    return docs.join(known, docs[id_col] == known["of"]).select("part", F.col(text).cast("string").alias("text"), "y")
+        return np.interp(self.trees.margin(x), *self.knots)
 
 
 def _lexicon(rows: DataFrame) -> set[str]:
@@ -254,21 +238,24 @@ def _lexicon(rows: DataFrame) -> set[str]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic: Counter = Counter()
         seen: Counter = Counter()
+
+        def counted() -> pa.RecordBatch:
+            # All of them: an entry's clean documents may be spread over tasks one by one.
+            names = list(seen)
+            columns = {"entry": names, "toxic": [toxic[e] for e in names], "docs": [seen[e] for e in names]}
+            toxic.clear()
+            seen.clear()
+            return pa.RecordBatch.from_pydict(columns, schema=pa.schema([("entry", pa.string()), ("toxic", pa.int64()), ("docs", pa.int64())]))
+
         for batch in batches:
             for text, y in zip(batch.column("text"), batch.column("y")):
                 entries = document_entries(text.as_py())
                 seen.update(entries)
                 if y.as_py():
                     toxic.update(entries)
-        # All of them: an entry's clean documents may be spread over tasks one by one.
-        names = list(seen)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "entry": pa.array(names, pa.string()),
-                "toxic": pa.array([toxic[e] for e in names], pa.int64()),
-                "docs": pa.array([seen[e] for e in names], pa.int64()),
-            }
-        )
+                if len(seen) >= COUNTED:
+                    yield counted()
+        yield counted()
 
     counts = with_package(rows).select("text", "y").mapInArrow(count, "entry string, toxic long, docs long")
     best = (
@@ -305,11 +292,16 @@ def fit(
     train: Column | None = None,
     sample: int = SAMPLE,
 ) -> ToxicityModel:
-    """A model from labelled documents whose id meets ``train`` (all by default), ``sample`` of them at most.
+    """A model from labelled rows whose id meets ``train`` (all by default), ``sample`` of them at most.
 
-    Without documents of both classes in each part the score is the rate of toxic labels.
+    An id is toxic if half its labels are or more. Rows with the same id and text
+    count once, null texts as empty; null ids and ids without a label teach
+    nothing. Without rows of both classes in each part the score is the rate of
+    toxic labels, 0 if there is none.
     """
-    picked = _sampled(docs, labels, text, id_col, label, F.lit(True) if train is None else train, sample)
+    picked = labelled(docs, labels, {"text": F.col(text).cast("string")}, id_col, label, F.lit(True) if train is None else train, sample)
+    u = F.pmod(F.xxhash64("of", F.lit(7)), F.lit(10_000)) / 10_000
+    picked = picked.select(F.when(u < PARTS[0], 0).when(u < PARTS[1], 1).otherwise(2).alias("part"), "text", "y")
     lexicon = _lexicon(picked.where("part = 0"))
     rows = _features(picked.where("part > 0"), lexicon)
     model = ToxicityModel(lexicon, prior=float(rows["y"].mean()) if len(rows) else 0.0)
@@ -328,8 +320,9 @@ def fit(
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, score, predicted`` for each row of ``docs``.
 
-    Null and empty texts have all features 0 and are scored so; null ids and
-    repeated rows each get a row. Other columns are not read.
+    A score is the value of the isotonic map, so documents that it doesn't tell
+    apart have the same. Null and empty texts have all features 0 and are scored
+    so; null ids and repeated rows each get a row. Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -344,7 +337,10 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", id_col: str
 
 
 def rate(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", held_out: int = 2) -> DataFrame:
-    """Fit on all folds but ``held_out``, then score every row: ``doc_id, held_out, score, predicted``."""
+    """Fit on all folds but ``held_out``, then score every row: ``doc_id, held_out, score, predicted``.
+
+    Null ids are held out of nothing and teach nothing; see :func:`fit` and :func:`score`.
+    """
     model = fit(docs, labels, text, id_col, train=F.coalesce(fold(F.col(id_col)) != held_out, F.lit(False)))
     return score(docs, model, text, id_col).select(
         "doc_id", F.coalesce(fold(F.col("doc_id")) == held_out, F.lit(False)).alias("held_out"), "score", "predicted"

@@ -170,6 +170,24 @@ def test_the_lexicon_does_not_depend_on_partitions(spark):
         assert toxicity._lexicon(df.repartition(parts)) == {"surely", "=sure", "=surel", "=surely"}
 
 
+def test_a_toxic_sample_is_bounded_by_rows(spark, monkeypatch):
+    """One id with thousands of rows takes its place in the sample, not the driver's memory."""
+    rows = [(1, f"you idiot {i}") for i in range(2000)] + [(i, f"fine words {i}") for i in range(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 40)], "doc_id long, toxic int")
+    seen = []
+    real = toxicity._features
+    monkeypatch.setattr(toxicity, "_features", lambda rows, lexicon: seen.append(rows.count()) or real(rows, lexicon))
+    toxicity.fit(df, labels, sample=10)
+    assert seen[0] <= 10
+
+
+def test_the_lexicon_does_not_depend_on_how_much_a_task_counts(spark, monkeypatch):
+    df = spark.createDataFrame([("surely maybe", 1)] * 5 + [("maybe fine", 0)] * 4, "text string, y int")
+    monkeypatch.setattr(toxicity, "COUNTED", 1)
+    assert toxicity._lexicon(df.repartition(2)) == {"surely", "=sure", "=surel", "=surely"}
+
+
 def brute_features(text, lexicon):
     """Word by word, without tables or arrays."""
     text = text or ""
@@ -224,7 +242,7 @@ def brute_score(model, x):
     else:
         k = max(i for i in range(len(at)) if at[i] <= margin)
         level = y[k] + (y[k + 1] - y[k]) * (margin - at[k]) / (at[k + 1] - at[k])
-    return min(1.0, max(0.0, 0.98 * level + 0.02 / (1 + math.exp(-margin))))
+    return level
 
 
 def test_features_and_scores_against_brute_force(spark, docs, labels):
@@ -242,7 +260,8 @@ def test_features_and_scores_against_brute_force(spark, docs, labels):
 
 
 def test_toxicity_of_awkward_rows(spark):
-    df = awkward(spark)
+    clashing = {"part": F.lit(1), "y": F.lit("y"), "h": F.lit(2), "u": F.lit(3), "toxic": F.lit("no"), "_id": F.lit(4), "_text": F.lit(5)}
+    df = awkward(spark).withColumns(clashing)
     schema = "doc_id long, toxic int, text string"
     for rows in ([], [(3, 0, ""), (7, 0, "")], [(3, 1, ""), (7, 0, ""), (5, 1, ""), (8, 0, ""), (11, 1, ""), (None, 1, ""), (3, 0, "")]):
         out = toxicity.rate(df, spark.createDataFrame(rows, schema)).collect()
