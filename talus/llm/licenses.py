@@ -8,7 +8,9 @@ filter), hold enough words at all (length filter), and after the first shared
 word have enough words left on both sides (positional filter); those that pass
 are counted out. Blocks are windows that start every ``n`` words and are 2 1/4 ``n``
 long, ``n`` being the template's words with repeats: every notice, also one with
-a quarter of its words added, lies within one, wherever it stands.
+a quarter of its words added, lies within one, wherever it stands. Short notices
+of different licenses share most of their words, so a block that contains one
+must also say what tells it from the others.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -73,34 +75,76 @@ TEMPLATES = (
 )
 
 
+#: What a block must say, word after word, one of these at least, for a notice that others resemble: fixed values.
+MARKS = {
+    "Released under the MIT license.": ("mit license",),
+    "Licensed under the Apache License, Version 2.0.": ("apache license", "apache software license"),
+    "Licensed under CC BY-NC 4.0.": tuple(f"by nc {n}" for n in range(1, 5)),
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": tuple(
+        f"attribution {n}" for n in range(1, 5)
+    ),
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": ("attribution sharealike",),
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ("mozilla public",),
+    "This is free and unencumbered software released into the public domain.": ("public domain",),
+    "No part of this publication may be reproduced without prior written permission of the publisher.": ("no part",),
+}
+#: What makes it another license than the label's: fixed values.
+AGAINST = {
+    "gpl": ("lesser general", "library general", "affero general"),
+    "bsd": ("are not permitted",),
+    "public-domain": ("not released into",),
+}
+
+
 def words(text: str | None) -> list[bytes]:
     return _WORD.findall((text or "").encode().lower())
 
 
+def phrases(texts: Iterable[str]) -> tuple[bytes, ...]:
+    """Each text's words as they stand within a text joined by single spaces."""
+    return tuple(b" %b " % b" ".join(words(t)) for t in texts)
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
     tokens: tuple[int, ...]  # ranks, rarest first
     needed: int
     words: int  # with repeats
+    marks: tuple[bytes, ...] = ()
+    against: tuple[bytes, ...] = ()
 
     @property
     def window(self) -> int:
         return 2 * self.words + self.words // 4
 
+    def fits(self, block: list[bytes]) -> bool:
+        """Whether a block with enough of the words says what it must, and nothing that it must not."""
+        if not self.marks and not self.against:
+            return True
+        said = b" %b " % b" ".join(block)
+        return (not self.marks or any(m in said for m in self.marks)) and not any(a in said for a in self.against)
+
 
 class TemplateIndex:
     """Templates over one global order of words, with an inverted index of their prefixes."""
 
-    def __init__(self, templates: Iterable[tuple[str, str]], frequency: dict[bytes, int], threshold: float = THRESHOLD):
-        lists = [(label, words(text)) for label, text in templates]
-        order = sorted(set().union(*(found for _, found in lists)), key=lambda w: (frequency.get(w, 0), w))
+    def __init__(
+        self,
+        templates: Iterable[tuple[str, str]],
+        frequency: dict[bytes, int],
+        threshold: float = THRESHOLD,
+        marks: Mapping[str, tuple[str, ...]] = {},
+        against: Mapping[str, tuple[str, ...]] = {},
+    ):
+        lists = [(label, words(text), phrases(marks.get(text, ()))) for label, text in templates]
+        order = sorted(set().union(*(found for _, found, _ in lists)), key=lambda w: (frequency.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(order)}
         self.templates = []
-        for label, found in lists:
+        for label, found, own in lists:
             if tokens := tuple(sorted(self.rank[w] for w in set(found))):
                 needed = max(1, math.ceil(threshold * len(tokens) - 1e-9))
-                self.templates.append(Template(label, tokens, needed, len(found)))
+                self.templates.append(Template(label, tokens, needed, len(found), own, phrases(against.get(label, ()))))
         self.prefix: dict[int, list[tuple[int, int]]] = {}
         for t, template in enumerate(self.templates):
             for i, token in enumerate(template.tokens[: len(template.tokens) - template.needed + 1]):
@@ -117,7 +161,7 @@ class TemplateIndex:
             size = template.window
             block = sorted({r for _, r in known[bisect_left(at, first) : bisect_left(at, first + size)]})
             overlap = self._overlap(template, block)
-            if overlap >= template.needed:
+            if overlap >= template.needed and template.fits(found[first : first + size]):
                 out.append((template.label, first, min(size, len(found) - first), overlap / len(template.tokens)))
         return out
 
@@ -189,6 +233,8 @@ def scan(
     id_col: str = "doc_id",
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
     threshold: float = THRESHOLD,
+    marks: Mapping[str, tuple[str, ...]] = MARKS,
+    against: Mapping[str, tuple[str, ...]] = AGAINST,
 ) -> DataFrame:
     """What each row of ``docs`` says about its license.
 
@@ -196,10 +242,11 @@ def scan(
     of the phrases; ``labels``, theirs and the templates', distinct, sorted and
     comma-joined; ``score``, 1 for a phrase, else the best containment found;
     and ``blocks``, every block that contains a template, with its place in
-    words. Null and empty texts have no words, no labels and score 0; null ids
+    words. A block that has a template's words but none of its ``marks``, or a
+    phrase ``against`` its label, names another license and doesn't count. Null and empty texts have no words, no labels and score 0; null ids
     and repeated rows each get a row. Other columns are not read.
     """
-    index = TemplateIndex(templates, frequencies(docs, templates, text), threshold)
+    index = TemplateIndex(templates, frequencies(docs, templates, text), threshold, marks, against)
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"]
     block_type = pa.list_(
         pa.struct([("label", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("containment", pa.float64())])

@@ -112,8 +112,15 @@ def _list(words) -> str:
 
 
 _PHRASES = ", ".join(f"({_list(licenses.words(p))}, '{label}')" for p, label in licenses.PHRASES)
+
+
+def _said(texts) -> str:
+    return "[" + ", ".join(f"'{p.decode()}'" for p in licenses.phrases(texts)) + "]::VARCHAR[]"
+
+
 _TEMPLATES = ", ".join(
-    f"({_list(sorted(set(licenses.words(t))))}, '{label}', {len(licenses.words(t))})" for label, t in licenses.TEMPLATES
+    f"({_list(sorted(set(licenses.words(t))))}, '{label}', {len(licenses.words(t))}, {_said(licenses.MARKS.get(t, ()))}, {_said(licenses.AGAINST.get(label, ()))})"
+    for label, t in licenses.TEMPLATES
 )
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -269,7 +276,7 @@ ORACLE_SQL: dict[str, str] = {
           FROM documents
         ),
         phrase(words, label) AS (VALUES {_PHRASES}),
-        template(words, label, n_own) AS (VALUES {_TEMPLATES}),
+        template(words, label, n_own, marks, against) AS (VALUES {_TEMPLATES}),
         place AS (
           SELECT n, label, i - 1 AS word_at
           FROM (SELECT n, w, unnest(generate_series(1, len(w))) AS i FROM d), phrase
@@ -281,10 +288,19 @@ ORACLE_SQL: dict[str, str] = {
           FROM place GROUP BY n
         ),
         block AS (
-          SELECT n, label, len(list_filter(words, lambda x: list_contains(w[s + 1:s + 2 * n_own + n_own // 4], x))) / len(words) AS share
-          FROM (SELECT n, w, words, label, n_own, unnest(generate_series(0, len(w) - 1, n_own)) AS s FROM d, template)
+          SELECT n, label, marks, against, len(list_filter(words, lambda x: list_contains(w[s + 1:s + 2 * n_own + n_own // 4], x))) / len(words) AS share,
+                 w[s + 1:s + 2 * n_own + n_own // 4] AS b
+          FROM (SELECT n, w, words, label, n_own, marks, against, unnest(generate_series(0, len(w) - 1, n_own)) AS s FROM d, template)
+        ),
+        near AS (
+          SELECT n, label, share, marks, against, ' ' || array_to_string(b, ' ') || ' ' AS said FROM block
+          WHERE share >= {licenses.THRESHOLD} - 1e-12
+        ),
+        hit AS (
+          SELECT n, label, share FROM near
+          WHERE (len(marks) = 0 OR len(list_filter(marks, lambda m: contains(said, m))) > 0)
+            AND len(list_filter(against, lambda m: contains(said, m))) = 0
         ),
-        hit AS (SELECT n, label, share FROM block WHERE share >= {licenses.THRESHOLD} - 1e-12),
         both_labels AS (
           SELECT n, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
           FROM (SELECT n, label FROM place UNION ALL SELECT n, label FROM hit) GROUP BY n
