@@ -16,6 +16,7 @@ from talus.functions import viewer
 from talus.functions.geometry import wkb_to_geojson, wkb_to_wkt
 from talus.functions.normalize import normalize
 from talus.operators import dedup, diagnostics, legend, matrix, predicates
+from talus.operators.late import selected_late
 from talus.plans.scenario import attribute_predicates, filter_scenario, filtered, master, run_together
 from talus.schema import PAIR_KEY, POT, SIZE, VARIANT_KEY
 from talus.shipping import with_package
@@ -279,6 +280,88 @@ def legend_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nothing.union(largest).groupBy("pot").agg(F.max("size").alias("max_size"), F.sum("n").cast("long").alias("selected"))
 
 
+# The matrix over the directory's own rows.
+
+
+@_register(
+    "rsize_of_rows",
+    _with(
+        """SELECT praID, resultID, modType, PPM, PEM,
+        CAST(CASE PPM - PEM WHEN 0 THEN 5 WHEN 1 THEN 4 WHEN 2 THEN 3 WHEN 3 THEN 2 ELSE 1 END AS INTEGER) AS derived FROM dir"""
+    ),
+)
+def rsize_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _normal(spark, sf_dir).select("praID", "resultID", "modType", "PPM", "PEM", matrix.r_size(F.col("PPM"), F.col("PEM")).alias("derived"))
+
+
+def _kinds(cells: DataFrame) -> DataFrame:
+    """Cells with a row for each kind that they admit."""
+    return cells.withColumn("kind", F.explode(F.split("modType", " / ")))
+
+
+def _key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _normal(spark, sf_dir).groupBy("PPM", "PEM", "rSize", F.col("modType").alias("kind")).agg(F.count("*").alias("n"))
+
+
+@_register(
+    "matrix_use",
+    _with(
+        f"""SELECT {POT}, {SIZE}, mat.PPM, mat.PEM, mat.rSize, mat.modType, count(d.praID) AS n_rows FROM mat
+        LEFT JOIN dir d ON d.PPM = mat.PPM AND d.PEM = mat.PEM AND d.rSize = mat.rSize AND contains(mat.modType, d.modType) GROUP BY ALL"""
+    ),
+)
+def matrix_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the directory's rows each cell of the matrix admits."""
+    cells = _kinds(matrix.matrix(spark).drop("Source", "Version"))
+    found = cells.join(F.broadcast(_key_counts(spark, sf_dir)), ["PPM", "PEM", "rSize", "kind"], "left")
+    return found.groupBy(POT, SIZE, "PPM", "PEM", "rSize", "modType").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+
+
+@_register("legend_alias_rows", _with(_joined_sql(replace(WINTER, pots=("moderate",), size=3), "dir")))
+def legend_alias_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legend.admissible(_normal(spark, sf_dir), matrix.select(matrix.cells(), ["moderat"], 3))
+
+
+_LEVELS = ("very high", "high", "moderate", "low")
+_EVERY_CELL = [Scenario(name=f"{p} {n}", pots=(p,), size=n, single_r_size=False) for p in _LEVELS for n in range(1, 6)]
+
+
+@_register(
+    "legend_coverage",
+    _with(
+        f"""SELECT pot, size, max_size, CASE WHEN has IS NULL THEN 0 WHEN size = 1 THEN areas ELSE coalesce(n, 0) END AS n_rows
+        FROM (SELECT unnest([{_text(_LEVELS)}]) AS pot) p CROSS JOIN (SELECT CAST(unnest(range(1, 6)) AS BIGINT) AS size) s
+        JOIN (SELECT {POT} AS pot, max({SIZE}) AS max_size FROM mat GROUP BY 1) m USING (pot)
+        LEFT JOIN (SELECT DISTINCT {POT} AS pot, {SIZE} AS size, true AS has FROM mat) h USING (pot, size)
+        LEFT JOIN (
+          SELECT k.{POT} AS pot, k.{SIZE} AS size, count(*) AS n
+          FROM (SELECT DISTINCT * FROM kinds) k JOIN dir USING (PPM, PEM, rSize, modType) GROUP BY 1, 2
+        ) c USING (pot, size)
+        CROSS JOIN (SELECT count(DISTINCT praID) AS areas FROM dir WHERE modType = 'rel')"""
+    ),
+)
+def legend_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each level and size of the matrix selects of the directory, those without a cell included."""
+    chosen = run_together(directory(spark, sf_dir), _EVERY_CELL).groupBy("scenario").agg(F.count("*").alias("n"))
+    asked = spark.createDataFrame([(i, s.pots[0], s.size) for i, s in enumerate(_EVERY_CELL)], "of int, pot string, size long")
+    largest = diagnostics.max_size_for_pots(matrix.matrix(spark), _LEVELS)
+    counted = F.broadcast(asked).join(chosen, F.col("of") == F.col("scenario"), "left").join(largest, "pot")
+    return counted.select("pot", "size", "max_size", F.coalesce("n", F.lit(0)).alias("n_rows"))
+
+
+@_register(
+    "max_size_in_rows",
+    _with(
+        f"""SELECT pot, max(k.{SIZE}) AS max_size FROM (SELECT unnest([{_text((*_LEVELS, 'none'))}]) AS pot) p
+        LEFT JOIN (SELECT * FROM kinds SEMI JOIN dir USING (PPM, PEM, rSize, modType)) k ON k.{POT} = pot GROUP BY pot"""
+    ),
+)
+def max_size_in_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest size of each level that the directory has a row for."""
+    there = _kinds(matrix.matrix(spark)).join(F.broadcast(_key_counts(spark, sf_dir)), ["PPM", "PEM", "rSize", "kind"], "left_semi")
+    return diagnostics.max_size_for_pots(there, ["Very High", "high", "moderat", "low", "none"])
+
+
 @_register("tag_scenario", _with(f"SELECT *, {_tags_sql(_MULTI)} FROM dir"))
 def tag_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legend.tag(_normal(spark, sf_dir), _MULTI.pots, _MULTI.size)
@@ -300,6 +383,16 @@ def single_rsize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.single_r_size(_normal(spark, sf_dir))
 
 
+@_register("single_rsize_late", _with(_as_wkt_sql(f"SELECT * FROM (SELECT * FROM dir WHERE {_region_sql(WINTER_AND)}) d QUALIFY {_SINGLE}")))
+def single_rsize_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The choice among variants over files with geometry, which is read for the chosen alone."""
+    df = directory(spark, sf_dir)
+    path = f"file://{_folder(spark)}/rows.parquet"
+    with_geometry(df.where(predicates.region(df, WINTER_AND.lk, WINTER_AND.lwd, "and"))).write.parquet(path)
+    chosen = selected_late(spark.read.parquet(path), lambda d: dedup.single_r_size(normalize(d)))
+    return sinks.attributes(chosen, with_wkt=True)
+
+
 def _scenario(name: str, s: Scenario) -> Query:
     @_register(name, _with(_scenario_sql(s)))
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -546,3 +639,19 @@ def size_color_ramp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.withColumn("color", viewer.ramp_color(F.col("value")))
 
 
+_PLACED = "rSize + (praID % 9 - 4) / CAST(8 AS DOUBLE)"
+
+
+@_register(
+    "viewer_ramp",
+    _with(
+        f"""SELECT praID, resultID, modType, v AS value, '#' || lower(array_to_string(list_transform(
+            CASE {_RAMP_CASES} ELSE [{', '.join(str(int(viewer.SIZE_COLORS[-1][i : i + 2], 16)) for i in (1, 3, 5))}] END,
+            lambda x: printf('%02x', CAST(floor(x + 0.5) AS INTEGER))), '')) AS color
+        FROM (SELECT *, {_PLACED} AS v FROM dir)"""
+    ),
+)
+def viewer_ramp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The colour of each row by its size, moved by up to half a class so that it lies between two."""
+    df = _normal(spark, sf_dir).selectExpr("praID", "resultID", "modType", f"{_PLACED} AS value")
+    return df.withColumn("color", viewer.ramp_color(F.col("value")))
