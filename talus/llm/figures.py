@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import sys
 from collections import Counter, defaultdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, simhash, toxicity
+from . import factorisation, langid, quality, simhash, toxicity
 from .common import fold, read
 
 TRAIN, HELD_OUT = (0, 1, 3), 2
@@ -60,6 +61,23 @@ def low_quality(docs: DataFrame, labels: DataFrame) -> dict[str, object]:
     return {"rules": [str(r) for r in rules], "held out": _found(rows, "truth", "found")}
 
 
+def classified(docs: DataFrame, labels: DataFrame) -> dict[str, dict[str, float]]:
+    """Each training fold of five by a model of the other three, then the held-out fold by one of all four; bad documents found."""
+    known = labels.where("quality IS NOT NULL")
+
+    def among(*folds: int) -> Column:
+        return F.coalesce(fold(F.col("doc_id"), 5).isin(*folds), F.lit(False))
+
+    def of(train: tuple[int, ...], tested: int) -> DataFrame:
+        model = factorisation.fit(docs, labels, train=among(*train))
+        scored = factorisation.score(docs.where(among(tested)), model).join(known, "doc_id")
+        return scored.select((F.col("quality") == 0).alias("truth"), (F.col("predicted") == 0).alias("found"))
+
+    train = (1, 2, 3, 4)
+    folds = reduce(DataFrame.union, (of(tuple(x for x in train if x != f), f) for f in train))
+    return {"folds": _found(folds, "truth", "found"), "held out": _found(of(train, 0), "truth", "found")}
+
+
 def languages(docs: DataFrame) -> dict[str, float]:
     rows = langid.identify(docs).where("held_out").join(docs.where("lang IS NOT NULL").select("doc_id", "lang"), "doc_id")
     n = rows.agg(F.count("*").alias("n"), F.count_if(F.col("lang") == F.col("lang_pred")).alias("right")).first()
@@ -110,6 +128,7 @@ def main(sf_dir: str) -> None:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     print("quality rules", low_quality(docs, labels))
     print("toxicity", toxic(docs, labels))
+    print("quality classifier", classified(docs, labels))
     print("languages", languages(docs))
     print("near copies", near_copies(docs.where(F.size(F.split("text", " ")) >= 20).dropDuplicates(["text"])))
 

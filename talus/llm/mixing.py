@@ -133,6 +133,9 @@ def solve(levels: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
             "dual",
         )
         discard(last)
+    else:
+        if not state.where("open").isEmpty():
+            raise ValueError(f"targets are not met after {ROUNDS} rounds")
     # Sums of doubles depend on their order in the last digits; copies must not.
     steady = F.when(F.abs("lam") < float("inf"), F.format_string("%.10e", "lam").cast("double")).otherwise(F.col("lam"))
     return state.select("source", "source_size", "target", steady.alias("lam"))

@@ -16,8 +16,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bloom import BlockedBloom
-from .common import ascii_lower, fresh, let, materialise, spread
+from .bloom import BlockedBloom, without
+from .common import ascii_lower, let, materialise, spread
 
 #: Rules that the query is given, as (host, path, action).
 RULES = (
@@ -173,9 +173,8 @@ def keep_allowed(pages: DataFrame, rules: DataFrame, listed: DataFrame, url: str
     """``pages`` without the rows whose url is blocked, all columns kept, whatever their names.
 
     Null urls and those without ``://`` get the default verdict; repeated rows
-    go or stay together; an empty table stays empty.
+    go or stay together; an empty table stays empty. Blocked urls meet the rows
+    through :func:`without`: no page is moved, however hot its url.
     """
-    (of,) = fresh(pages, "of")
     judged = judge(pages.select(url).distinct(), rules, listed, url, url, default)
-    blocked = judged.where(F.col("verdict") == "block").select(F.col("page_id").alias(of))
-    return pages.join(blocked, F.col(url) == F.col(of), "left_anti")
+    return without(pages, url, judged.where(F.col("verdict") == "block").select("page_id"))

@@ -170,3 +170,10 @@ def test_repeated_ids_meet_the_target_when_taken(spark):
     kept = mixing.take_mix(df).groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()
     want = brute_targets(sizes)
     assert all(abs(r["n"] - want[r["source"]]) <= 0.01 * want[r["source"]] + 3 for r in kept) and len(kept) == 4
+
+
+def test_a_mix_that_does_not_converge_raises(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROUNDS", 1)
+    df = spark.createDataFrame([(i, "w " * (1 + i % 7), None, "ab"[i % 3 == 0]) for i in range(60)], "doc_id long, text string, lang string, source string")
+    with pytest.raises(ValueError, match="not met after 1 rounds"):
+        mixing.mix(df).collect()

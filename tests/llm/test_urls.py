@@ -146,3 +146,14 @@ def test_parts(spark, url):
 def test_canonical_parts(spark, url):
     df = spark.createDataFrame([(url,)], "u string")
     assert tuple(df.select(urls.canonical_host(F.col("u")), urls.canonical_path(F.col("u"))).first()) == brute_canonical(*brute_parts(url))
+
+
+def test_a_hot_url_moves_no_page(spark):
+    """Half of all pages have one url: ids of urls meet, pages stay where they are."""
+    rows = [(i, "http://spam-farm.example.com/x" if i % 2 else f"http://a{i}.org/", "html") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    left = urls.keep_allowed(pages, urls.entries(spark, urls.RULES, ""), urls.entries(spark, LISTED, ""))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert not moved and "SortMergeJoin" not in plan
+    assert sorted(r["page_id"] for r in left.collect()) == list(range(0, 400, 2))
