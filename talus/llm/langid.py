@@ -242,7 +242,12 @@ def predict(docs: DataFrame, filters: LanguageFilters, text: str = "text", id_co
 
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", held_out: int = 2) -> DataFrame:
-    """Fit on all folds but ``held_out``, then predict every row: ``doc_id, held_out, lang_pred, score``."""
+    """Fit on all folds but ``held_out``, then predict every row: ``doc_id, held_out, lang_pred, score``.
+
+    Rows without a text or a language teach nothing, null ids are held out of
+    nothing, and repeated rows count as often as they are there; without any row
+    to learn from every text is undetermined. See :func:`predict`.
+    """
     is_out = F.coalesce(fold(F.col(id_col)) == held_out, F.lit(False))
     filters = fit(docs, text, lang, id_col, ~is_out)
     return predict(docs, filters, text, id_col).select(

@@ -286,7 +286,10 @@ def learn_rules(
     """The decision list that labelled documents teach (``label`` 0: low quality).
 
     Only texts whose id passes a Bloom filter of the labelled ids are measured,
-    where they are; the join with the labels sees their statistics alone.
+    where they are; the join with the labels sees their statistics alone. Null
+    texts count as empty; null ids, and ids or labels without the other, teach
+    nothing; repeated rows count as often as they are there; without labels of
+    both classes there is no rule.
     """
     (hit,) = fresh(docs, "hit")
     known = BlockedBloom(labels.where(F.col(label).isNotNull()).select(id_col).distinct())

@@ -33,8 +33,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = urls.entries(spark, urls.RULES, "rules")
-    return urls.judge(read(spark, sf_dir, "pages"), rules, urls.junk_hosts(spark)).drop("listed")
+    pages = read(spark, sf_dir, "pages")
+    listed = urls.junk_hosts(spark).union(urls.flagged(pages))
+    return urls.judge(pages, urls.entries(spark, urls.RULES, "rules"), listed).drop("listed")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,25 +239,33 @@ ORACLE_SQL: dict[str, str] = {
           SELECT page_id, url,
                  regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1) AS raw,
                  regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path,
-                 row_number() OVER () AS n
+                 row_number() OVER () AS n,
+                 len(regexp_extract_all(coalesce(html, ''), '{urls.SIGNS}')) >= {urls.LEAST_SIGNS} AS flagged
           FROM pages
         ),
         p AS (
-          SELECT page_id, n, path,
+          SELECT page_id, n, path, flagged,
                  translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
           FROM u
         ),
+        c AS (
+          SELECT n, page_id,
+                 regexp_replace(translate(url_decode(regexp_replace(regexp_replace(host, '^(?s:.*)@', ''), ':[0-9]*\\z', '')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\\.+\\z', '') AS c_host,
+                 '/' || array_to_string(list_concat(list_filter(k[:-2], lambda s: s NOT IN ('', '.')), [CASE WHEN k[-1] = '.' THEN '' ELSE k[-1] END]), '/') AS c_path
+          FROM (SELECT *, string_split(url_decode(path), '/') AS k FROM p)
+        ),
         looked_up AS (
           SELECT n, host, path, 'rule' AS kind FROM p
           UNION ALL
-          SELECT n, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*\\z', ''), '\\.+\\z', ''), '/' || path, 'listed'
-          FROM p
+          SELECT n, c_host, c_path || chr(65535), 'listed' FROM c
         ),
         r(r_host, r_path, action, kind) AS (
           VALUES {", ".join(_VALUES)}
           UNION ALL
           SELECT a || '-' || b || '.' || c, '/', 'block', 'listed'
           FROM (SELECT {_WORDS[0]} AS a), (SELECT {_WORDS[1]} AS b), (SELECT {_WORDS[2]} AS c)
+          UNION
+          SELECT c_host, c_path || chr(65535), 'block', 'listed' FROM c JOIN p USING (n) WHERE flagged AND c_host <> ''
         ),
         fit AS (
           SELECT n, kind, arg_max({{'rule': r_host || r_path, 'action': action}}, length(r_host || r_path) * 10000 + length(r_host)) AS best

@@ -6,7 +6,8 @@ candidates are its host and parent domains with every prefix of its path that
 is as long as some listed path; those that the filter lets through go to an
 exact hash join with the list, which removes the false positives. The longest
 entry that fits decides. Rules are held against a URL's host and path as they
-stand, the list against its canonical form.
+stand, the list against its canonical form, where an entry may name one path
+alone.
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ SECOND_WORDS = (
     "money", "pills", "poker", "prizes", "profit", "replica", "slots", "traffic", "track", "tube", "win", "x",
 )
 DOMAINS = ("example.com", "example.net", "example.org")
+#: What ends a listed path that fits no longer one; canonical paths are looked up with it.
+END = "\uffff"
+#: Runs of signs in a page's html, and how many of them put its URL on the list.
+SIGNS, LEAST_SIGNS = "[#*$%]{3}", 10
 
 
 def host(url: Column) -> Column:
@@ -88,6 +93,19 @@ def junk_hosts(
     return parts.select(named.alias("host"), F.lit("/").alias("path"), F.lit("block").alias("action"), F.lit("listed").alias("listing"))
 
 
+def flagged(pages: DataFrame, url: str = "url", html: str = "html", signs: str = SIGNS, least: int = LEAST_SIGNS) -> DataFrame:
+    """The list of blocked pages that their own html makes: canonical URLs of those with so many runs of signs.
+
+    An entry fits its path alone, on its host and subdomains, however a URL
+    spells it. Null html has no signs; URLs without a host are not listed; pages
+    that share a canonical URL make one entry.
+    """
+    found = pages.where(F.regexp_count(F.col(html).cast("string"), F.lit(signs)) >= least).select(F.col(url).cast("string").alias("url"))
+    named = found.select(canonical_host(F.col("url")).alias("host"), F.concat(canonical_path(F.col("url")), F.lit(END)).alias("path"))
+    listed = named.where("host <> ''").distinct().select("host", "path", F.lit("block").alias("action"), F.lit("listed").alias("listing"))
+    return materialise(listed, "flagged")  # html is read once, however often the list is
+
+
 def _key(host: Column, path: Column) -> Column:
     return F.concat(host, F.lit(" "), path)
 
@@ -139,7 +157,8 @@ def judge(
     """``page_id, host, path, rule, verdict, listed`` for each row of ``pages``.
 
     The longest rule that fits host and path as they stand decides; without one
-    the longest listed entry that fits the canonical URL does, then ``default``.
+    the longest listed entry that fits the canonical URL does, then ``default``;
+    a listed path that ends in ``END`` fits no longer one.
     Null urls and those without ``://`` have an empty host and path, which
     nothing fits; repeated rows and null ids each get a row; an empty table gives
     none. Other columns are not read.
@@ -152,8 +171,11 @@ def judge(
     by_rule = matches(distinct.select("url", "host", "path"), rules).select(
         F.col("url").alias("rule_url"), F.concat("host", "path").alias("rule"), F.col("action").alias("rule_action")
     )
-    by_list = matches(distinct.selectExpr("url", "c_host AS host", "c_path AS path"), listed).select(
-        F.col("url").alias("list_url"), F.concat("host", "path").alias("listed"), F.col("action").alias("list_action")
+    canonical = distinct.select("url", F.col("c_host").alias("host"), F.concat("c_path", F.lit(END)).alias("path"))
+    by_list = matches(canonical, listed).select(
+        F.col("url").alias("list_url"),
+        F.rtrim(F.concat("host", "path"), F.lit(END)).alias("listed"),
+        F.col("action").alias("list_action"),
     )
     return (
         rows.join(by_rule, rows["url"] == F.col("rule_url"), "left")
@@ -177,4 +199,4 @@ def keep_allowed(pages: DataFrame, rules: DataFrame, listed: DataFrame, url: str
     through :func:`without`: no page is moved, however hot its url.
     """
     judged = judge(pages.select(url).distinct(), rules, listed, url, url, default)
-    return without(pages, url, judged.where(F.col("verdict") == "block").select("page_id"))
+    return without(pages, url, materialise(judged.where(F.col("verdict") == "block").select("page_id"), "blocked"))

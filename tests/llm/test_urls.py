@@ -157,3 +157,33 @@ def test_a_hot_url_moves_no_page(spark):
     moved = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
     assert not moved and "SortMergeJoin" not in plan
     assert sorted(r["page_id"] for r in left.collect()) == list(range(0, 400, 2))
+
+
+def test_pages_listed_by_their_html(spark):
+    """Entries with paths, made by a rule over html: other spellings of a listed path are blocked, longer paths aren't."""
+    junk = "<p>" + "and### of%%% " * 5 + "</p>"
+    spelled = [
+        ("http://A.org/x/%61b/./c", junk, "block"), ("http://a.org//x/ab//c", "", "block"), ("https://m.a.org:80/x/ab/c?q#f", "", "block"),
+        ("http://a.org/x/ab/c/", "", "allow"), ("http://a.org/x/ab/cd", "", "allow"), ("http://a.org/x/ab/", None, "allow"),
+        ("http://b.org/.", junk, "block"), ("http://b.org", "", "block"), ("http://b.org/y", "", "allow"), ("http://c.org/%2e/z", junk[:40], "allow"),
+        ("no scheme", junk, "allow"), (None, junk, "allow"), ("http://", junk, "allow"),
+        ("http://org/x/ab/c", "", "allow"), ("http://d.com/fr/1", junk, "allow"), ("http://www.d.com/fr/1", "", "allow"),
+    ]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(spelled)], "page_id long, url string, html string")
+    listed = urls.flagged(pages)
+    assert sorted(map(tuple, listed.select("host", F.rtrim("path", F.lit(urls.END))).collect())) == [("a.org", "/x/ab/c"), ("b.org", "/"), ("d.com", "/fr/1")]
+    rules = urls.entries(spark, [("com", "/fr/", "allow")], "rules")
+    rows = {r["page_id"]: r for r in urls.judge(pages, rules, listed).collect()}
+    assert [rows[i]["verdict"] for i in range(len(spelled))] == [v for _, _, v in spelled]
+    assert rows[2]["listed"] == "a.org/x/ab/c" and rows[3]["listed"] is None
+    plain = {r["page_id"]: r["verdict"] for r in urls.judge(pages, rules, urls.entries(spark, [], "listed")).collect()}
+    assert set(plain.values()) == {"allow"}  # only the list decides
+
+
+def test_the_list_of_the_query_decides_by_paths(spark):
+    pages = spark.read.parquet(str(DATA / "sf0.01" / "pages.parquet"))
+    rules = urls.entries(spark, urls.RULES, "rules")
+    rows = urls.judge(pages, rules, urls.junk_hosts(spark).union(urls.flagged(pages))).where("rule IS NULL").collect()
+    by_path = [r for r in rows if r["listed"] and not r["listed"].endswith("/")]
+    assert len(by_path) > 5 and {r["verdict"] for r in by_path} == {"block"}
+    assert any(r["listed"] is None and r["verdict"] == "allow" for r in rows)
