@@ -268,7 +268,7 @@ def check_writable(at: Place) -> None:
     ``spark.checkpoint.dir`` or one of the folders that ``spark.talus.mounts`` names.
     """
     spark = _session()
-    if isinstance(at, Uri) or re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+    if isinstance(at, Uri) or re.match(r"local(\[.*\])?$", spark.sparkContext.master):
         return
     named = [spark.conf.get("spark.checkpoint.dir", None) or "", *spark.conf.get(MOUNTS, "").split(",")]
     shared = [place(n.strip()) for n in named if n.strip()]
