@@ -40,6 +40,12 @@ def one_per_area(df: DataFrame) -> DataFrame:
     return _first(df, ["praID"], order or [F.lit(0)])
 
 
+def of_columns(df: DataFrame, areas: list[bool], singles: list[bool]) -> tuple[list[bool], list[bool]]:
+    """Which scenarios each rule applies to, given a table's columns; none has both."""
+    areas = [a and "praID" in df.columns for a in areas]
+    return areas, [s and not a and "rSize" in df.columns for a, s in zip(areas, singles)]
+
+
 def ranked_together(df: DataFrame, of: Callable[[list], Column], areas: list[bool], singles: list[bool]) -> DataFrame:
     """The rows that each scenario of a joint table keeps, by one window whatever their kinds.
 
@@ -48,8 +54,7 @@ def ranked_together(df: DataFrame, of: Callable[[list], Column], areas: list[boo
     other rule; those in ``singles`` one for each group of variants as
     :func:`single_r_size` does; all others every row.
     """
-    areas = [a and "praID" in df.columns for a in areas]
-    singles = [s and not a and "rSize" in df.columns for a, s in zip(areas, singles)]
+    areas, singles = of_columns(df, areas, singles)
     if all(singles):
         return single_r_size(df, ("scenario",))
     if not any(areas) and not any(singles):
@@ -66,3 +71,34 @@ def ranked_together(df: DataFrame, of: Callable[[list], Column], areas: list[boo
     order += [F.col("resultID")] if "resultID" in df.columns else []
     order += [F.when(~F.col(of_area), F.col(c)) for c in have]
     return _first(rows, keys, order or [F.lit(0)]).drop(alone, of_area)
+
+
+#: How many rows a row of :func:`alike` stands for.
+ALIKE = "__alike"
+
+
+def alike(df: DataFrame, columns: list[str], of_group: Column, variants: bool) -> DataFrame:
+    """``df`` with one row for all that agree in ``scenario``, ``columns`` and the keys of the groups they may be in.
+
+    Rows not ``of_group`` are in none; ``variants`` says whether groups are those
+    of :func:`single_r_size` too.
+    """
+    keys = [c for c in VARIANT_KEY if c in df.columns and c not in columns and (variants or c == "praID")]
+    grouped = df.groupBy("scenario", *columns, *(F.when(of_group, F.col(c)).alias(c) for c in keys))
+    return grouped.agg(F.count("*").alias(ALIKE))
+
+
+def counted_together(df: DataFrame, of: Callable[[list], Column], areas: list[bool], singles: list[bool]) -> DataFrame:
+    """``scenario, n``: how many rows :func:`ranked_together` would keep of those that rows of :func:`alike` stand for.
+
+    A rule keeps one row of each group, so its groups are counted, and rows
+    where there is no rule. Tasks do so before they meet: no row is sorted, and
+    of a group's rows each task passes on its keys once.
+    """
+    areas, singles = of_columns(df, areas, singles)
+    area, single = of(areas), of(singles)
+    keys = [F.when(area | single, F.col("praID")).alias("__praID")] if "praID" in df.columns else []
+    if any(singles):
+        keys += [F.when(single, F.col(c)).alias(f"__{c}") for c in VARIANT_KEY if c in df.columns and c != "praID"]
+    groups = df.groupBy("scenario", *keys).agg(F.sum(ALIKE).alias("n"))
+    return groups.groupBy("scenario").agg(F.sum(F.when(area | single, 1).otherwise(F.col("n"))).alias("n"))

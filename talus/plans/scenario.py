@@ -78,6 +78,22 @@ def run_together(
     leaves (:func:`diagnostics.steps_of`): then all rows are read, since a
     predicate that reached the scan would leave its rows uncounted.
     """
+    return dedup.ranked_together(*_matched_together(df, scenarios, rows, counts))
+
+
+def count_together(df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cell] | None = None) -> DataFrame:
+    """``scenario, n``: how many rows :func:`run_together` gives each scenario; one without rows isn't there."""
+    return dedup.counted_together(*_matched_together(df, scenarios, rows, alike=True))
+
+
+def _matched_together(
+    df: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cell] | None = None, counts: Observation | None = None, alike: bool = False
+) -> tuple[DataFrame, Callable, list[bool], list[bool]]:
+    """Each scenario's rows before one of several is chosen, and what that choice needs; see :func:`run_together`.
+
+    With ``alike`` rows that no scenario tells apart are one, with their number
+    as :data:`dedup.ALIKE`, and have only the columns that a count needs.
+    """
     rows = matrix.cells() if rows is None else rows
     if counts is None:
         asked = [predicates.pushable(df, s.lk, s.lwd, s.region_mode, s.sub_catchments, s.elev_min, s.elev_max) for s in scenarios]
@@ -94,24 +110,29 @@ def run_together(
         test = reduce(lambda a, b: a & b, (p for _, p in own if p is not None), F.lit(True))
         tests.append(test & (F.col("modType") == "rel") if s.uses_matrix and s.size == 1 else test)
     matching = F.array(*(F.when(test, F.lit(i)) for i, test in enumerate(tests)))
-    hit = base.where(reduce(lambda a, b: a | b, tests)).withColumn("scenario", F.explode(F.array_compact(matching)))
+    taken = base.where(reduce(lambda a, b: a | b, tests)).withColumn("scenario", F.array_compact(matching))
+    areas, singles = [s.uses_matrix and s.size == 1 for s in scenarios], [s.single_r_size for s in scenarios]
+    if alike:
+        of_area, of_single = dedup.of_columns(base, areas, singles)
+        of_group = reduce(lambda a, b: a | b, (t for t, a, s in zip(tests, of_area, of_single) if a or s), F.lit(False))
+        taken = dedup.alike(taken, [c for c in MATRIX_KEY if c in base.columns], of_group, any(of_single))
+    hit = taken.withColumn("scenario", F.explode("scenario"))
 
     def of(value) -> Column:
         """A scenario's constant, looked up by position."""
         return F.get(F.array(*map(F.lit, value)), F.col("scenario"))
 
-    tagged = hit.withColumns(
-        {
-            POT: of([",".join(sorted(set(matrix.canonical(s.pots)))) if s.uses_matrix else None for s in scenarios]).cast("string"),
-            SIZE: of([s.size if s.uses_matrix else None for s in scenarios]).cast("long"),
-            "sector": F.when(of([bool(s.sectors) for s in scenarios]), predicates.uppered(F.col("sector"))).otherwise(F.col("sector")),
-        }
-    )
+    tags = {
+        POT: of([",".join(sorted(set(matrix.canonical(s.pots)))) if s.uses_matrix else None for s in scenarios]).cast("string"),
+        SIZE: of([s.size if s.uses_matrix else None for s in scenarios]).cast("long"),
+    }
+    if "sector" in hit.columns:
+        tags["sector"] = F.when(of([bool(s.sectors) for s in scenarios]), predicates.uppered(F.col("sector"))).otherwise(F.col("sector"))
+    tagged = hit.withColumns(tags)
     # A scenario without a matrix stage, or of size 1 with a cell, takes any key.
     free = [not s.uses_matrix or (s.size == 1 and bool(matrix.select(rows, s.pots, 1))) for s in scenarios]
     every = tagged if all(free) else _of_cells(tagged, scenarios, rows, of, free)
-    areas = [s.uses_matrix and s.size == 1 for s in scenarios]
-    return dedup.ranked_together(every, of, areas, [s.single_r_size for s in scenarios])
+    return every, of, areas, singles
 
 
 def _of_cells(tagged: DataFrame, scenarios: list[Scenario], rows: list[matrix.Cell], of: Callable, free: list[bool]) -> DataFrame:

@@ -17,7 +17,7 @@ from talus.functions.geometry import wkb_to_geojson, wkb_to_wkt
 from talus.functions.normalize import normalize
 from talus.operators import dedup, diagnostics, legend, matrix, predicates
 from talus.operators.late import selected_late
-from talus.plans.scenario import attribute_predicates, filter_scenario, filtered, master, run_together
+from talus.plans.scenario import attribute_predicates, count_together, filter_scenario, filtered, master, run_together
 from talus.schema import PAIR_KEY, POT, SIZE, VARIANT_KEY
 from talus.shipping import with_package
 from talus.sources.config import Scenario
@@ -342,7 +342,7 @@ _EVERY_CELL = [Scenario(name=f"{p} {n}", pots=(p,), size=n, single_r_size=False)
 )
 def legend_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each level and size of the matrix selects of the directory, those without a cell included."""
-    chosen = run_together(directory(spark, sf_dir), _EVERY_CELL).groupBy("scenario").agg(F.count("*").alias("n"))
+    chosen = count_together(directory(spark, sf_dir), _EVERY_CELL)
     asked = spark.createDataFrame([(i, s.pots[0], s.size) for i, s in enumerate(_EVERY_CELL)], "of int, pot string, size long")
     largest = diagnostics.max_size_for_pots(matrix.matrix(spark), _LEVELS)
     counted = F.broadcast(asked).join(chosen, F.col("of") == F.col("scenario"), "left").join(largest, "pot")

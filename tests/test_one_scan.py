@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from talus.operators import diagnostics, legend
 from talus.plans import workflow
-from talus.plans.scenario import STEPS, attribute_predicates, filter_scenario, one_of, run_together
+from talus.plans.scenario import STEPS, attribute_predicates, count_together, filter_scenario, one_of, run_together
 from talus.functions.normalize import normalize
-from talus.queries import EVERY, FREE, SIZE1, WINTER
+from talus.queries import EVERY, FREE, QUERIES, SIZE1, WINTER
 from talus.schema import MATRIX_KEY
 from talus.sources.config import Scenario
 from talus.sources.directory import write_bucketed
@@ -72,6 +72,19 @@ def test_any_mix_equals_scenario_by_scenario(stored, mix):
     together.unpersist()
 
 
+@pytest.mark.parametrize("mix", [("matrix",), ("size 1", "all variants"), tuple(KINDS)], ids="+".join)
+def test_counts_without_the_rows(stored, mix):
+    scenarios = [KINDS[k] for k in mix]
+    doubled = stored.union(stored.withColumn("praID", F.when(F.col("praID") % 2 == 0, F.col("praID"))))  # null keys are a group
+    want = {r["scenario"]: r["count"] for r in run_together(doubled, scenarios).groupBy("scenario").count().collect()}
+    assert {r["scenario"]: r["n"] for r in count_together(doubled, scenarios).collect()} == want
+
+
+def test_coverage_sorts_and_ranks_no_row(spark):
+    text = plan(QUERIES["legend_coverage"](spark, str(DATA / "sf0.001")))
+    assert "Window" not in text and "SortAggregate" not in text
+
+
 def test_counts_of_the_run_itself(spark, stored, tmp_path, caplog):
     scenarios = [WINTER, SIZE1, FREE, Scenario(name="all")]
     reads = []
