@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talus.schema import VARIANT_KEY
+from talus.schema import GEOMETRY, VARIANT_KEY
 
 
 def _first(df: DataFrame, keys: list, order: list) -> DataFrame:
+    """The first row of each group.
+
+    Groups meet before they are sorted: a task's rows sorted where they lie, to
+    leave the losers out, spill once they outgrow its memory. Rows with geometry
+    are dearer to move than to sort, and only their tasks' winners are moved.
+    """
     nth = "__nth"
-    ranked = df.withColumn(nth, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col(nth) == 1).drop(nth)
+    named = {f"__key{i}": k for i, k in enumerate(keys) if isinstance(k, Column)}
+    keys = [f"__key{i}" if isinstance(k, Column) else k for i, k in enumerate(keys)]
+    rows = df.withColumns(named) if named else df
+    if GEOMETRY not in df.columns:
+        rows = rows.repartition(*keys)
+    ranked = rows.withColumn(nth, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(nth) == 1).drop(nth, *named)
 
 
 def single_r_size(df: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:

@@ -85,6 +85,21 @@ def test_coverage_sorts_and_ranks_no_row(spark):
     assert "Window" not in text and "SortAggregate" not in text
 
 
+@pytest.mark.parametrize("mix", [("matrix",), ("size 1", "free"), tuple(KINDS)], ids="+".join)
+def test_no_row_is_sorted_before_it_is_moved(stored, mix):
+    """A sort below the exchange would hold all rows of a task; only rows with geometry are thinned there."""
+    text = plan(run_together(stored, [KINDS[k] for k in mix]))
+    assert "Sort" in text and "Sort" not in text[text.index("Exchange hashpartitioning") :]
+    assert "Window" not in text[text.index("Exchange hashpartitioning") :]
+    wide = plan(run_together(with_geometry(stored), [KINDS[k] for k in mix]))
+    assert "WindowGroupLimit" in wide[wide.index("Exchange hashpartitioning") :]
+
+
+def test_single_rsize_moves_rows_first(spark):
+    text = plan(QUERIES["single_rsize"](spark, str(DATA / "sf0.001")))
+    assert text.count("Exchange") == 1 and "Sort" not in text[text.index("Exchange") :]
+
+
 def test_counts_of_the_run_itself(spark, stored, tmp_path, caplog):
     scenarios = [WINTER, SIZE1, FREE, Scenario(name="all")]
     reads = []
