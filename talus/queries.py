@@ -586,8 +586,7 @@ def sink_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_gpkg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, path = with_geometry(scenario_winter(spark, sf_dir)), _folder(spark) / "winter.gpkg"
     sinks.write_gpkg(rows, path)
-    found = [tuple(r[c] for c in rows.columns) for r in sinks.read_gpkg(path)]
-    return sinks.attributes(spark.createDataFrame(found, rows.schema), with_wkt=True)
+    return sinks.attributes(sinks.scan_gpkg(spark, path, rows.schema), with_wkt=True)
 
 
 @_register("viewer_visible", _with("SELECT praID, resultID, modType, modType = 'rel' AS viewer_visible FROM dir"))

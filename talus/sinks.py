@@ -18,12 +18,14 @@ import tempfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from talus.functions.geometry import bounds, decode, wkb_to_geojson, wkb_to_wkt
 from talus.schema import GEOMETRY
@@ -148,7 +150,6 @@ def _common_footer(spark: SparkSession, parts: list[Place], folder: Uri, crs: ob
     """A file without rows whose footer speaks for all of a folder's."""
     if not parts:
         return
-    from pyspark.sql.pandas.types import to_arrow_schema
     import pyarrow.parquet as pq
 
     schema = to_arrow_schema(spark.read.parquet(str(parts[0])).schema)
@@ -357,6 +358,47 @@ def read_gpkg(path: Path, layer: str | None = None) -> list[dict]:
     return rows
 
 
+def scan_gpkg(spark: SparkSession, path: Path, schema: T.StructType, layer: str | None = None) -> DataFrame:
+    """Rows of a layer that :func:`write_gpkg` wrote of a table with this schema, read by tasks, each some rows at a time.
+
+    The file must be where all machines have it mounted.
+    """
+    at, table = f"file:{quote(str(path.absolute()))}?mode=ro&immutable=1", _quoted(layer or path.stem)
+    db = sqlite3.connect(at, uri=True)
+    try:
+        last = db.execute(f"SELECT coalesce(max(rowid), 0) FROM {table}").fetchone()[0]
+    finally:
+        db.close()
+
+    def held(dtype: T.DataType) -> T.DataType:
+        if isinstance(dtype, (T.IntegralType, T.BooleanType)):
+            return T.LongType()
+        return T.DoubleType() if isinstance(dtype, T.FractionalType) else dtype if isinstance(dtype, T.BinaryType) else T.StringType()
+
+    stored = T.StructType([T.StructField(f.name, held(f.dataType)) for f in schema])
+    types, names = to_arrow_schema(stored), schema.names
+    wanted = f"SELECT {', '.join(map(_quoted, names))} FROM {table} WHERE rowid > ? AND rowid <= ?"
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        db = sqlite3.connect(at, uri=True)
+        try:
+            for batch in batches:
+                for chunk in batch.column("id").to_pylist():
+                    found = db.execute(wanted, (chunk * _CHUNK, (chunk + 1) * _CHUNK)).fetchall()
+                    values = [list(c) for c in zip(*found)] or [[] for _ in names]
+                    if GEOMETRY in names:
+                        place = names.index(GEOMETRY)
+                        values[place] = [None if v is None else v[8:] for v in values[place]]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, types)], schema=types)
+        finally:
+            db.close()
+
+    chunks = -(-last // _CHUNK)
+    numbers = spark.range(0, chunks, 1, max(1, min(chunks, 4 * spark.sparkContext.defaultParallelism)))
+    back = with_package(numbers).mapInArrow(rows, stored)
+    return back.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema))
+
+
 def write(df: DataFrame, to: Outputs) -> list[Place]:
     """Write every asked format; one that fails is logged and the others go on. Returns what was written.
 

@@ -7,11 +7,13 @@ import struct
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from talus import sinks
 from talus.functions import geometry, viewer
 from talus.plans import cli, workflow
 from talus.plans.scenario import filter_scenario
+from talus.queries import QUERIES
 from talus.sources import config, directory
 from talus.sources.fixtures import directory as view
 from talus.sources.fixtures import with_geometry
@@ -247,6 +249,22 @@ def test_folder_outputs(spark, tmp_path):
     assert sorted(map(repr, spark.read.parquet(f"file://{tmp_path}/g.parquet").collect())) == sorted(map(repr, shaped.collect()))
 
 
+def test_a_geopackage_is_read_back_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_CHUNK", 7)
+    rows = with_geometry(view(spark, str(DATA / "sf0.001")).limit(40)).selectExpr(
+        "*", "praID % 2 = 0 AS even", "nullif(flow, 'DRY ') AS odd", "date_add(date'2026-01-01', int(praID % 9)) AS day", "int(PPM) AS `a b`"
+    )
+    rows = rows.withColumn("geometry", F.when(F.col("even"), F.col("geometry"))).localCheckpoint()
+    sinks.write_gpkg(rows, tmp_path / "a #1.gpkg")
+    monkeypatch.setattr(sinks, "read_gpkg", lambda *a: pytest.fail("all rows pass the driver"))
+    back = sinks.scan_gpkg(spark, tmp_path / "a #1.gpkg", rows.schema)
+    assert back.schema.simpleString() == rows.schema.simpleString() and back.rdd.getNumPartitions() > 1
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, rows.collect()))
+    sinks.write_gpkg(rows.limit(0), tmp_path / "none.gpkg")
+    assert sinks.scan_gpkg(spark, tmp_path / "none.gpkg", rows.schema).collect() == []
+    assert QUERIES["sink_gpkg"](spark, str(DATA / "sf0.001")).count() == 32
+
+
 def test_viewer_columns(spark):
     df = spark.createDataFrame([("REL", "", "#123456", 0.2), ("res", None, None, 9.0), (None, "#ffffff", "", None)], "modType string, hexSize string, hex_rel string, v double")
     rows = viewer.styled(df).withColumn("ramp", viewer.ramp_color(df.v)).collect()
